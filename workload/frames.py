@@ -112,8 +112,9 @@ JOIN ("""
 TRACKING = """
 SELECT o_orderkey AS fixture_id, o_custkey % 26 AS league_id,
        CAST(year(o_orderdate) AS INT) AS season,
-       o_orderstatus = 'F' AS is_fetched_stat,
-       CASE WHEN o_orderstatus = 'F' THEN o_orderdate END AS fetch_stat_time
+       o_orderstatus = 'F' OR o_custkey % 26 = 4 AS is_fetched_stat,
+       CASE WHEN o_orderstatus = 'F' OR o_custkey % 26 = 4 THEN o_orderdate END
+         AS fetch_stat_time
 FROM {orders}
 """
 
