@@ -81,14 +81,17 @@ def _versions(
     tracked: Sequence[str],
     tie_break: Sequence[str],
 ) -> DataFrame:
-    # One exchange by key serves the tie reduction and both window steps.
-    rows = newest_per_key(changes.repartition(*keys), [*keys, sequence_by], tie_break)
+    # One exchange and one sort by key serve the tie reduction and both version steps.
+    rest = [c for c in changes.columns if c not in {*keys, sequence_by, *tie_break}]
+    total_order = Window.partitionBy(*keys).orderBy(sequence_by, *tie_break, *rest)
     in_order = Window.partitionBy(*keys).orderBy(sequence_by)
-    same = F.lag(_state(tracked)).over(in_order).eqNullSafe(_state(tracked))
+    moment, state = F.struct(sequence_by), _state(tracked)
     return (
-        rows.withColumn("__same", same)
+        changes.withColumn("__tie", F.lead(moment).over(total_order).eqNullSafe(moment))
+        .filter("NOT __tie")
+        .withColumn("__same", F.lag(state).over(in_order).eqNullSafe(state))
         .filter("NOT __same")
-        .drop("__same")
+        .drop("__tie", "__same")
         .withColumn(START, F.col(sequence_by))
         .withColumn(END, F.lead(sequence_by).over(in_order))
     )
@@ -104,14 +107,31 @@ def _number(column: Column, changes: DataFrame, name: str) -> Column:
 def _hot_keys(
     changes: DataFrame, keys: Sequence[str], sequence_by: str, hot_rows: int
 ) -> DataFrame | None:
-    """Keys with too many rows, their sequence range and slice count; None if there are none."""
+    """Keys with too many rows, their sequence range and slice count; None if there are none.
+
+    A sample names the candidates, so that the look costs a narrow scan and hardly any
+    shuffle; they are then counted exactly.  A key the sample missed is only slower.
+    """
+    if changes.count() <= hot_rows:
+        return None
+    share = min(1.0, 1000 / hot_rows)
+    candidates = (
+        changes.select(*keys)
+        .sample(share, seed=7)
+        .groupBy(*keys)
+        .count()
+        .filter(F.col("count") > hot_rows * share / 2)
+        .drop("count")
+    )
     position = _number(F.col(sequence_by), changes, sequence_by)
     hot = (
-        changes.groupBy(*keys)
+        changes.select(*keys, position.alias("__at"))
+        .join(candidates, list(keys), "left_semi")
+        .groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias("__rows"),
-            F.min(position).alias("__low"),
-            F.max(position).alias("__high"),
+            F.min("__at").alias("__low"),
+            F.max("__at").alias("__high"),
         )
         .filter(F.col("__rows") > hot_rows)
         .withColumn("__slices", F.ceil(F.col("__rows") / hot_rows))
@@ -232,7 +252,7 @@ def history_from_snapshot(
 def _one_row_per_key(snapshot: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The snapshot itself; fails when it holds a key twice."""
     grouped = snapshot.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__copies"), F.max(F.struct(*snapshot.columns)).alias("__row")
+        F.count(F.lit(1)).alias("__copies"), F.first(F.struct(*snapshot.columns)).alias("__row")
     )
     checked = F.when(
         F.col("__copies") > 1, F.raise_error(F.lit("snapshot holds a key twice"))

@@ -53,6 +53,12 @@ def dense_key(df: DataFrame, name: str, order_by: Sequence[str]) -> DataFrame:
     return df.join(keyed, reduce(lambda a, b: a & b, matches)).drop(*keys)
 
 
+def is_dense(df: DataFrame, key: str) -> bool:
+    """Whether a unique key runs from 1 to the row count; reads only that column."""
+    low, high, rows = df.agg(F.min(key), F.max(key), F.count(F.lit(1))).first()
+    return rows == 0 or (low == 1 and high == rows)
+
+
 def spread_key(df: DataFrame, name: str) -> DataFrame:
     """unique 64-bit key, neither dense nor stable between runs."""
     return df.withColumn(name, F.monotonically_increasing_id())

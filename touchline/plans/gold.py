@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from touchline.functions import scores
 from touchline.functions.calendar import calendar, calendar_covering  # noqa: F401  (N1)
 from touchline.operators.history import END, START, current
-from touchline.operators.keys import dense_key
+from touchline.operators.keys import dense_key, is_dense
 from touchline.operators.sides import goals_of, split_sides
 from touchline.schemas import table_layout
 from touchline.scratch import spill
@@ -235,7 +235,12 @@ def fact_match_stats(
     leagues: DataFrame,
     dates: DataFrame,
 ) -> DataFrame:
-    """One row per fixture and team with statistics, goals and result."""
+    """One row per fixture and team with statistics, goals and result.
+
+    The left joins keep every statistics row once, so numbering the fact in the order of an
+    already dense ``fixture_stat_key`` gives that key again; only a key with gaps (part of
+    the dimension) is numbered anew.
+    """
     star = stats_star(stats, fixtures, teams, dates).join(
         _league_part(leagues), "league_id", "left"
     )
@@ -245,7 +250,10 @@ def fact_match_stats(
             "dim_date_key": F.col("dim_date_key").cast("bigint"),
         }
     )
-    keyed = dense_key(rows, "match_statistic_key", ["dim_fixture_stat_key"])
+    if is_dense(stats, "fixture_stat_key"):
+        keyed = rows.withColumn("match_statistic_key", F.col("dim_fixture_stat_key"))
+    else:
+        keyed = dense_key(rows, "match_statistic_key", ["dim_fixture_stat_key"])
     return _laid_out(keyed, "fact_match_stats")
 
 

@@ -13,7 +13,7 @@ from touchline.functions.calendar import calendar_covering, date_key, season_lab
 from touchline.operators import history, nested, pivot, progress, quality, sides
 from touchline.operators.keys import dense_key, spread_key
 from touchline.plans import bronze, gold, silver
-from touchline.scratch import scratch_dir
+from touchline.scratch import scratch_dir, spill
 from touchline.sinks import manifests, tables as sinks
 from touchline.sources import landing, tables as sources
 from touchline.streaming import flows
@@ -60,9 +60,8 @@ def dim_fixtures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dim_fixture_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.dim_fixture_stats(
-        frame(spark, sf_dir, "stats"), frame(spark, sf_dir, "fixtures")
-    )
+    stats = spill(frame(spark, sf_dir, "stats"), "silver-stats")  # an aggregate: keep it once
+    return gold.dim_fixture_stats(stats, frame(spark, sf_dir, "fixtures"))
 
 
 # --- facts (N6-N11) --------------------------------------------------------------------
@@ -334,8 +333,7 @@ def _naive(df: DataFrame, *columns: str) -> DataFrame:
 def raw_fixture_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     payloads = _fixture_payloads(spark, sf_dir)
     raw = nested.parse_envelope(payloads, schemas.layout(schemas.RAW_FIXTURE))
-    changes = silver.fixture_changes(bronze.flattened(raw, F.lit(LOADED)))
-    versions = silver.fixtures(changes)
+    versions = silver.fixtures(silver.fixture_changes(bronze.flattened(raw, F.lit(LOADED))))
     return _naive(
         history.current(versions).drop("ingestion_time", history.START, history.END),
         "first_period",
