@@ -31,7 +31,10 @@ class Load:
         return read_landing(self.spark, f"{self.landing}/{name}", ddl)
 
     def table(self, layer: str, name: str) -> DataFrame:
-        return read_table(self.spark, self.root, layer, name)
+        declared = {("silver", "fixtures"): "silver_fixture_history"}.get((layer, name), name)
+        known = layer in ("silver", "gold") and declared in schemas.TABLES
+        layout = schemas.table_layout(declared) if known else None
+        return read_table(self.spark, self.root, layer, name, layout)
 
 
 Step = Callable[[Load], DataFrame]

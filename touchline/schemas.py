@@ -104,6 +104,7 @@ _VALIDITY = "__START_AT TIMESTAMP NOT NULL, __END_AT TIMESTAMP"
 
 TABLES = {
     "silver_fixtures": f"{_FIXTURE_BODY}, ingestion_time TIMESTAMP",
+    "silver_fixture_history": f"{_FIXTURE_BODY}, ingestion_time TIMESTAMP, {_VALIDITY}",
     "silver_fixture_stats": f"""
         fixture_id BIGINT NOT NULL, team_id BIGINT NOT NULL, {_STATISTICS},
         ingestion_time TIMESTAMP NOT NULL""",
@@ -156,6 +157,14 @@ TABLES = {
         goals_scored_extratime INT NOT NULL, goals_conceded_extratime INT NOT NULL,
         goals_scored_penalty INT NOT NULL, goals_conceded_penalty INT NOT NULL,
         {_STATISTICS}""",
+    "fact_team_result": """
+        round STRING, season STRING, dim_fixture_key BIGINT, league_name STRING,
+        dim_team_key BIGINT, team_name STRING, goal_scored INT, goal_conceded INT,
+        key BIGINT, win BOOLEAN, lose BOOLEAN, draw BOOLEAN""",
+    "fact_team_result_summary": """
+        dim_team_key BIGINT, team_name STRING, season STRING, competition STRING,
+        match_played BIGINT, total_win BIGINT, total_lose BIGINT, total_draw BIGINT,
+        total_goals_scored BIGINT, total_goals_conceded BIGINT, win_percentage DOUBLE""",
     "fixture_tracking": """
         fixture_id BIGINT NOT NULL, league_id BIGINT NOT NULL,
         is_fetched_stat BOOLEAN NOT NULL, fetch_stat_time TIMESTAMP""",

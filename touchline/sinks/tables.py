@@ -68,10 +68,17 @@ def write_catalog_table(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(name)
-    tags = {**(properties or {}), "comment": comment}
-    listed = ", ".join(f"'{k}' = '{v}'" for k, v in tags.items() if v)
-    if listed:
-        df.sparkSession.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({listed})")
+    spark = df.sparkSession
+    if comment:
+        spark.sql(f"COMMENT ON TABLE {name} IS {_sql_text(comment)}")
+    if properties:
+        listed = ", ".join(f"{_sql_text(k)} = {_sql_text(v)}" for k, v in properties.items())
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({listed})")
+
+
+def _sql_text(value: str) -> str:
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 def write_json_groups(df: DataFrame, path: str, by: str, mode: str = "overwrite") -> None:

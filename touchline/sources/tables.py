@@ -13,9 +13,16 @@ def table_path(root: str, layer: str, name: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{name}"
 
 
-def read_table(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:
-    """A3: a parquet table of a layer."""
-    return spark.read.parquet(table_path(root, layer, name))
+def read_table(
+    spark: SparkSession, root: str, layer: str, name: str, schema: StructType | None = None
+) -> DataFrame:
+    """A3: a parquet table of a layer.
+
+    Give the schema of a partitioned table: without it, partition values are typed by what
+    they look like.
+    """
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(table_path(root, layer, name))
 
 
 def stream_table(
