@@ -101,7 +101,7 @@ def test_json_groups(spark, rows, tmp_path):
 
 
 def test_versions_keep_what_is_being_read(spark, rows, tmp_path):
-    path, ddl = str(tmp_path / "progress"), "k INT, v STRING, version INT"
+    path, ddl = str(tmp_path / "progress"), layout("k INT, v STRING")
     sinks.write_version(spark.createDataFrame([(1, "a")], "k INT, v STRING"), path, 1, "json")
     first = sources.read_version(spark, path, ddl, "json")
     sinks.write_version(first.withColumn("v", F.lit("b")), path, 2, "json")

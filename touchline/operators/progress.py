@@ -15,22 +15,23 @@ PROGRESS_KEYS = ("league_id", "year")
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """M1: full outer join on the keys; a non-null update wins over the target's value."""
-    values = [c for c in target.columns if c not in keys]
-    left = target.select(*keys, F.struct(*values).alias("__old"))
-    given = [c for c in values if c in updates.columns]
-    right = updates.select(*keys, F.struct(*given).alias("__new")) if given else updates.select(*keys)
-    joined = left.join(right, list(keys), "full_outer")
-    return joined.select(
+    """A full outer merge on the keys; a non-null update wins over the target's value.
+
+    Written as a left join plus the updates of unknown keys, because updates are usually few:
+    both joins against the large target can then broadcast them (when the planner finds them
+    small enough), where a full outer join would always shuffle the target.
+    """
+    given = [c for c in target.columns if c not in keys and c in updates.columns]
+    incoming = updates.select(*keys, F.struct(*given).alias("__new"))
+    merged = target.join(incoming, list(keys), "left").select(
         *[
-            F.col(c)
-            if c in keys
-            else F.coalesce(F.col("__new")[c], F.col("__old")[c]).alias(c)
-            if c in given
-            else F.col("__old")[c].alias(c)
+            F.coalesce(F.col("__new")[c], F.col(c)).alias(c) if c in given else F.col(c)
             for c in target.columns
         ]
     )
+    known = target.select(*keys).join(updates.select(*keys), list(keys), "left_semi")
+    unknown = updates.join(known, list(keys), "left_anti")
+    return merged.unionByName(unknown.select(*keys, *given), allowMissingColumns=True)
 
 
 def initial_tracking(fixtures: DataFrame) -> DataFrame:

@@ -166,7 +166,7 @@ TABLES = {
         match_played BIGINT, total_win BIGINT, total_lose BIGINT, total_draw BIGINT,
         total_goals_scored BIGINT, total_goals_conceded BIGINT, win_percentage DOUBLE""",
     "fixture_tracking": """
-        fixture_id BIGINT NOT NULL, league_id BIGINT NOT NULL,
+        fixture_id BIGINT NOT NULL, league_id BIGINT NOT NULL, season INT NOT NULL,
         is_fetched_stat BOOLEAN NOT NULL, fetch_stat_time TIMESTAMP""",
     "league_progress": """
         league_id BIGINT NOT NULL, year INT NOT NULL, total_fixtures INT NOT NULL,

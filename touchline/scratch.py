@@ -42,3 +42,10 @@ def spill(df: DataFrame, label: str) -> DataFrame:
     path = scratch_dir(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(spark: SparkSession) -> bool:
+    """Delete what this application spilled; call it once the results are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_root(spark))
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.delete(path, True)

@@ -11,6 +11,10 @@ from touchline.operators.quality import schema_issues
 from touchline.sources.tables import VERSION
 
 
+# JSON keeps microseconds only when told so
+EXACT_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
+
 def conform(df: DataFrame, expected: StructType, table: str = "table") -> DataFrame:
     """B1: the frame in declared column order, or an error when names or types differ.
 
@@ -83,16 +87,27 @@ def _sql_text(value: str) -> str:
 
 def write_json_groups(df: DataFrame, path: str, by: str, mode: str = "overwrite") -> None:
     """JSON folder per value of ``by``; large groups become several files."""
-    spread_for_write(df, by).write.partitionBy(by).mode(mode).json(path)
+    writer = spread_for_write(df, by).write.partitionBy(by).mode(mode)
+    writer.json(path, timestampFormat=EXACT_TIME)
 
 
-def write_version(df: DataFrame, path: str, version: int, source: str = "parquet") -> None:
+def write_version(
+    df: DataFrame,
+    path: str,
+    version: int,
+    source: str = "parquet",
+    partition_by: Sequence[str] = (),
+) -> None:
     """Whole-table replacement as a new version folder; older versions stay readable.
 
     Writing the same version again replaces only that version, so a retry is harmless, and
     a plan that reads an older version never loses its input.
     """
-    df.write.format(source).mode("overwrite").save(f"{path.rstrip('/')}/{VERSION}={version}")
+    rows = spread_for_write(df, *partition_by) if partition_by else df
+    writer = rows.write.format(source).mode("overwrite").option("timestampFormat", EXACT_TIME)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.save(f"{path.rstrip('/')}/{VERSION}={version}")
 
 
 def replace_partitions(df: DataFrame, path: str, *by: str) -> None:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 VERSION = "version"
 
@@ -35,15 +35,22 @@ def stream_table(
     return reader.parquet(path)
 
 
+def newest_version(spark: SparkSession, path: str, source: str = "parquet") -> int:
+    """The largest version below ``path``; reads no columns but the folder's own."""
+    versions = spark.read.schema(f"{VERSION} INT").format(source).load(path)
+    return versions.agg(F.max(VERSION)).first()[0]
+
+
 def read_version(
     spark: SparkSession,
     path: str,
-    schema: StructType | str,
+    schema: StructType,
     source: str = "parquet",
     version: int | None = None,
 ) -> DataFrame:
     """The newest (or one given) version of a table written by ``sinks.write_version``."""
-    rows = spark.read.schema(schema).format(source).load(path)
     if version is None:
-        version = spark.read.format(source).load(path).agg(F.max(VERSION)).first()[0]
-    return rows.filter(F.col(VERSION) == version).drop(VERSION)
+        version = newest_version(spark, path, source)
+    stored = StructType([*schema, StructField(VERSION, IntegerType())])
+    rows = spark.read.schema(stored).format(source).load(path)
+    return rows.filter(F.col(VERSION) == version).select(*schema.names)

@@ -346,18 +346,19 @@ ORACLES["surrogate_keys"] = """
   FROM customer
 """
 ORACLES["spread_keys"] = """
-  SELECT o_orderkey % 8 AS part, count(*) AS keys, count(*) AS distinct_keys
+  SELECT o_orderstatus, count(*) AS keys, count(*) AS distinct_keys
   FROM orders GROUP BY 1
 """
 ORACLES["json_props"] = """
   SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k, event_type FROM events
 """
 ORACLES["flatten_orders"] = """
-  WITH numbers AS (SELECT CAST(unnest([1, 2, 3]) AS INTEGER) AS no)
+  WITH numbers AS (SELECT CAST(unnest([1, 2, 3, 4]) AS INTEGER) AS no)
   SELECT o_orderkey AS order_id, o_custkey AS order_head_o_custkey,
          o_orderstatus AS order_head_o_orderstatus, no AS order_parts_no,
          no * o_orderkey AS order_parts_code
-  FROM orders LEFT JOIN numbers ON no <= o_orderkey % 4 AND o_orderkey % 5 <> 0
+  FROM orders LEFT JOIN numbers
+    ON no < CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AND o_orderstatus <> 'P'
 """
 ORACLES["pivot_events"] = "SELECT user_id, CAST(ts AS DATE) AS day, " + (
     ", ".join(
@@ -367,14 +368,14 @@ ORACLES["pivot_events"] = "SELECT user_id, CAST(ts AS DATE) AS day, " + (
     + " FROM events GROUP BY 1, 2"
 )
 ORACLES["rejected_texts"] = """
-  SELECT event_type AS measure, count(*) FILTER (WHERE event_id % 7 = 0) AS rejected
+  SELECT event_type AS measure, count(*) FILTER (WHERE value < 10) AS rejected
   FROM events GROUP BY 1
 """
 
 # --- raw payloads -----------------------------------------------------------------------------------
 
 oracle("raw_fixture_to_silver", "SELECT * FROM fixtures", "fixtures")
-oracle("raw_team_to_silver", "SELECT * FROM teams WHERE team_id % 17 <> 0", "teams")
+oracle("raw_team_to_silver", "SELECT * FROM teams WHERE country <> 'NATION_3'", "teams")
 oracle("raw_league_to_silver", "SELECT * FROM leagues", "leagues")
 oracle(
     "league_seasons",
@@ -406,10 +407,11 @@ for _name in ("scd2_events", "scd2_hot_keys", "scd2_stream"):
 ORACLES["current_versions"] = f'SELECT * FROM ({SCD2_EVENTS}) AS v WHERE "__END_AT" IS NULL'
 ORACLES["scd2_snapshot"] = """
   WITH states AS (
-    SELECT c_custkey, 1 AS day, c_mktsegment, c_custkey % 3 <> 0 AS present FROM customer
+    SELECT c_custkey, 1 AS day, c_mktsegment, c_mktsegment <> 'BUILDING' AS present
+    FROM customer
     UNION ALL
-    SELECT c_custkey, 2, CASE WHEN c_custkey % 5 = 0 THEN 'MOVED' ELSE c_mktsegment END,
-           c_custkey % 7 <> 0 FROM customer
+    SELECT c_custkey, 2, CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 'HOME' ELSE c_mktsegment END,
+           c_mktsegment <> 'MACHINERY' FROM customer
     UNION ALL
     SELECT c_custkey, 3, c_mktsegment, true FROM customer),
   steps AS (
@@ -480,9 +482,9 @@ oracle(
 )
 ORACLES["upsert_coalesce"] = """
   WITH updates AS (
-    SELECT CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey ELSE -o_orderkey - 1 END AS k,
-           CASE WHEN o_orderkey % 4 <> 0 THEN o_custkey + 1000 END AS c, 'U' AS s
-    FROM orders WHERE o_orderkey % 3 = 0)
+    SELECT CASE WHEN o_orderstatus = 'F' THEN o_orderkey ELSE -o_orderkey - 1 END AS k,
+           CASE WHEN o_orderpriority <> '5-LOW' THEN o_custkey + 1000 END AS c, 'U' AS s
+    FROM orders WHERE o_orderstatus <> 'P')
   SELECT coalesce(k, o_orderkey) AS o_orderkey, coalesce(c, o_custkey) AS o_custkey,
          coalesce(s, o_orderstatus) AS o_orderstatus
   FROM orders FULL JOIN updates ON k = o_orderkey
@@ -494,7 +496,7 @@ MARKED = """
            AS fetch_stat_time
   FROM tracking
 """
-oracle("mark_fetched", MARKED.format(hit="fixture_id % 4 = 0"), "tracking")
+oracle("mark_fetched", MARKED.format(hit="season < 1997"), "tracking")
 oracle(
     "refresh_progress",
     f"""
@@ -545,7 +547,7 @@ oracle(
   SELECT * REPLACE (
     CASE WHEN league_id = 3 THEN false ELSE is_fetched_stat END AS is_fetched_stat,
     CASE WHEN league_id <> 3 THEN fetch_stat_time END AS fetch_stat_time)
-  FROM tracking WHERE fixture_id % 6 <> 0
+  FROM tracking WHERE season <> 1996
 """,
     "tracking",
 )
@@ -666,5 +668,6 @@ oracle(
     "fixtures",
 )
 ORACLES["empty_payloads"] = """
-  SELECT o_orderkey AS id FROM orders WHERE o_orderkey % 4 = 0 AND o_orderkey % 5 <> 0
+  SELECT o_orderkey AS id FROM orders
+  WHERE o_orderpriority LIKE '1%' AND o_orderstatus <> 'P'
 """

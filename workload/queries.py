@@ -211,8 +211,8 @@ def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def spread_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """how many keys, and whether they are unique; the keys themselves may vary."""
-    keyed = spread_key(table(spark, sf_dir, "orders").select("o_orderkey"), "key")
-    return keyed.groupBy((F.col("o_orderkey") % 8).alias("part")).agg(
+    keyed = spread_key(table(spark, sf_dir, "orders").select("o_orderstatus"), "key")
+    return keyed.groupBy("o_orderstatus").agg(
         F.count("key").alias("keys"), F.countDistinct("key").alias("distinct_keys")
     )
 
@@ -228,20 +228,15 @@ def json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _nested_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with an array of parts inside a struct; empty and null arrays occur."""
-    key = F.col("o_orderkey")
-    parts = F.transform(
-        F.sequence(F.lit(1), (key % 4).cast("int")),
-        lambda i: F.struct(i.alias("no"), (i * key).alias("code")),
-    )
-    empty = F.slice(parts, 1, 0)
+    key, status = F.col("o_orderkey"), F.col("o_orderstatus")
+    count = F.substring("o_orderpriority", 1, 1).cast("int") - 1  # 0 for the most urgent
+    numbers = F.filter(F.sequence(F.lit(0), count), lambda i: i > 0)
+    parts = F.transform(numbers, lambda i: F.struct(i.alias("no"), (i * key).alias("code")))
     return table(spark, sf_dir, "orders").select(
         F.struct(
             key.alias("id"),
             F.struct("o_custkey", "o_orderstatus").alias("head"),
-            F.when(key % 5 == 0, None)
-            .when(key % 4 == 0, empty)
-            .otherwise(parts)
-            .alias("parts"),
+            F.when(status != "P", parts).alias("parts"),
         ).alias("order")
     )
 
@@ -272,7 +267,7 @@ def rejected_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts that a measure's parser cannot read, counted per measure."""
     rows = table(spark, sf_dir, "events").select(
         "event_type",
-        F.when(F.col("event_id") % 7 == 0, F.lit("n/a"))
+        F.when(F.col("value") < 10, F.lit("n/a"))
         .otherwise(F.col("value").cast("string"))
         .alias("text"),
     )
@@ -344,7 +339,7 @@ def raw_fixture_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def raw_team_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     team = F.struct(
-        F.when(F.col("team_id") % 17 != 0, F.col("team_id")).alias("id"),
+        F.when(F.col("country") != "NATION_3", F.col("team_id")).alias("id"),
         "name", "code", "country", "founded", "national", "logo",
     )
     venue = F.struct(
@@ -468,12 +463,13 @@ def current_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scd2_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K2 over three snapshots of the customers, made by rule."""
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    key = F.col("c_custkey")
-    second = customers.filter(key % 7 != 0).withColumn(
-        "c_mktsegment", F.when(key % 5 == 0, "MOVED").otherwise(F.col("c_mktsegment"))
+    segment = F.col("c_mktsegment")
+    first = customers.filter(segment != "BUILDING")
+    second = customers.filter(segment != "MACHINERY").withColumn(
+        "c_mktsegment", F.when(segment == "HOUSEHOLD", "HOME").otherwise(segment)
     )
     versions = None
-    for day, snapshot in enumerate((customers.filter(key % 3 != 0), second, customers), 1):
+    for day, snapshot in enumerate((first, second, customers), 1):
         versions = history.history_from_snapshot(
             versions, snapshot, ["c_custkey"], _at(f"2024-08-0{day} 00:00:00")
         )
@@ -647,8 +643,10 @@ def versioned_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     started = progress.league_progress(tracking.withColumn("is_fetched_stat", F.lit(False)), _at())
     for version, rows in enumerate((started, progress.league_progress(tracking, _at())), 1):
         sinks.write_version(rows.drop("last_updated"), path, version, "json")
-    ddl = "league_id BIGINT, year INT, total_fixtures INT, fetched_count INT, is_complete BOOLEAN, version INT"
-    return sources.read_version(spark, path, ddl, "json")
+    stored = schemas.layout(
+        "league_id BIGINT, year INT, total_fixtures INT, fetched_count INT, is_complete BOOLEAN"
+    )
+    return sources.read_version(spark, path, stored, "json")
 
 
 @query
@@ -666,14 +664,15 @@ def checked_write(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def upsert_coalesce(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    key = F.col("o_orderkey")
-    updates = orders.filter(key % 3 == 0).select(
-        F.when(key % 2 == 0, key).otherwise(-key - 1).alias("o_orderkey"),
-        F.when(key % 4 != 0, F.col("o_custkey") + 1000).alias("o_custkey"),
+    orders = table(spark, sf_dir, "orders")
+    key, finished = F.col("o_orderkey"), F.col("o_orderstatus") == "F"
+    updates = orders.filter(F.col("o_orderstatus") != "P").select(
+        F.when(finished, key).otherwise(-key - 1).alias("o_orderkey"),
+        F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_custkey") + 1000).alias("o_custkey"),
         F.lit("U").alias("o_orderstatus"),
     )
-    return progress.upsert(orders, updates, ["o_orderkey"])
+    target = orders.select("o_orderkey", "o_custkey", "o_orderstatus")
+    return progress.upsert(target, updates, ["o_orderkey"])
 
 
 def _progress(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -695,7 +694,7 @@ def initial_tracking(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def mark_fetched(spark: SparkSession, sf_dir: str) -> DataFrame:
     tracking = frame(spark, sf_dir, "tracking")
-    ids = tracking.filter(F.col("fixture_id") % 4 == 0).select("fixture_id")
+    ids = tracking.filter(F.col("season") < 1997).select("fixture_id")
     return progress.mark_fetched(tracking, ids, _at())
 
 
@@ -742,7 +741,7 @@ def fixture_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 def reset_tracking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Some fixtures forgotten, one league marked for another fetch."""
     tracking = frame(spark, sf_dir, "tracking")
-    ids = tracking.filter(F.col("fixture_id") % 6 == 0).select("fixture_id")
+    ids = tracking.filter(F.col("season") == 1996).select("fixture_id")
     return progress.reset_league(progress.reset_fixtures(tracking, ids), 3, keep_rows=True)
 
 
