@@ -124,6 +124,24 @@ def test_hot_key_with_one_sequence_value(spark):
     assert versions(history_from_changes(df, ["k"], "seq", hot_rows=5)) == [(1, "c", 0, None)]
 
 
+def test_bursts_are_cut_again(spark):
+    from touchline.operators import history
+
+    seconds = [*range(300), 10_000_000]  # nearly all changes at the start of the range
+    df = spark.createDataFrame(
+        [(1, DAY + timedelta(seconds=n), "ab"[n % 2]) for n in seconds],
+        "k INT, seq TIMESTAMP, v STRING",
+    )
+    hot = history._hot_keys(df, ["k"], 50)
+    sliced = history._slice_hot(df, hot, ["k"], "seq", (), 50)
+    sizes = [r["count"] for r in sliced.groupBy("__slice").count().collect()]
+    assert sum(sizes) == 301 and max(sizes) <= 50
+    got = history_from_changes(df, ["k"], "seq", hot_rows=50)
+    want = history_from_changes(df, ["k"], "seq", hot_rows=None)
+    assert {str(r) for r in got.collect()} == {str(r) for r in want.collect()}
+    assert got.count() == 300 + 1 - (seconds[-1] % 2 == 299 % 2)
+
+
 def test_intervals_have_no_gaps_and_one_is_open(spark):
     rng = random.Random(9)
     entries = [(rng.randrange(5), rng.randrange(50), rng.choice("ab")) for _ in range(200)]

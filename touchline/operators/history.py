@@ -58,11 +58,11 @@ def history_from_changes(
     """
     ignored = {sequence_by} if ignore is None else set(ignore)
     tracked = [c for c in changes.columns if c not in {*keys, *ignored}]
-    hot = None if hot_rows is None else _hot_keys(changes, keys, sequence_by, hot_rows)
+    hot = None if hot_rows is None else _hot_keys(changes, keys, hot_rows)
     if hot is None:
         return _versions(changes, keys, sequence_by, tracked, tie_break)
-    cold = changes.join(hot.select(*keys), list(keys), "left_anti")
-    sliced = _slice_hot(changes, hot, keys, sequence_by, tie_break)
+    cold = changes.join(hot, list(keys), "left_anti")
+    sliced = _slice_hot(changes, hot, keys, sequence_by, tie_break, hot_rows)
     return _versions(cold, keys, sequence_by, tracked, tie_break).unionByName(
         _sliced_versions(sliced, keys, sequence_by, tracked).select(
             *changes.columns, START, END
@@ -104,38 +104,19 @@ def _number(column: Column, changes: DataFrame, name: str) -> Column:
     return column.cast("timestamp").cast("double")
 
 
-def _hot_keys(
-    changes: DataFrame, keys: Sequence[str], sequence_by: str, hot_rows: int
-) -> DataFrame | None:
-    """Keys with too many rows, their sequence range and slice count; None if there are none.
+def _hot_keys(changes: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame | None:
+    """Keys that seem to have too many rows; None if there are none.
 
-    A sample names the candidates, so that the look costs a narrow scan and hardly any
-    shuffle; they are then counted exactly.  A key the sample missed is only slower.
+    A sample names them, so that the look costs a narrow scan and hardly any shuffle.  It
+    only steers how a key is computed, never what comes out.
     """
     if changes.count() <= hot_rows:
         return None
     share = min(1.0, 1000 / hot_rows)
-    candidates = (
-        changes.select(*keys)
-        .sample(share, seed=7)
-        .groupBy(*keys)
-        .count()
-        .filter(F.col("count") > hot_rows * share / 2)
-        .drop("count")
-    )
-    position = _number(F.col(sequence_by), changes, sequence_by)
-    hot = (
-        changes.select(*keys, position.alias("__at"))
-        .join(candidates, list(keys), "left_semi")
-        .groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("__rows"),
-            F.min("__at").alias("__low"),
-            F.max("__at").alias("__high"),
-        )
-        .filter(F.col("__rows") > hot_rows)
-        .withColumn("__slices", F.ceil(F.col("__rows") / hot_rows))
+    seen = changes.select(*keys).sample(share, seed=7).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("__seen")
     )
+    hot = seen.filter(F.col("__seen") > hot_rows * share / 2).select(*keys)
     found = spill(hot, "hot-keys")
     return None if found.isEmpty() else found
 
@@ -146,19 +127,42 @@ def _slice_hot(
     keys: Sequence[str],
     sequence_by: str,
     tie_break: Sequence[str],
+    hot_rows: int,
 ) -> DataFrame:
-    position = _number(F.col(sequence_by), changes, sequence_by)
-    share = (position - F.col("__low")) / F.greatest(
-        F.col("__high") - F.col("__low"), F.lit(1e-6)
-    )
-    rows = changes.join(hot, list(keys)).withColumn(
-        "__slice", F.floor(share * F.col("__slices")).cast("bigint")
-    )
-    rows = rows.select(*changes.columns, "__slice")
-    # the slice is a function of key and sequence, so it may join the grouping key
-    return spill(
-        newest_per_key(rows, [*keys, "__slice", sequence_by], tie_break), "hot-rows"
+    """Rows of hot keys with ``__slice``, a path that grows with the sequence.
+
+    The sequence range of a large group is cut into equal parts, and parts that still hold
+    too much (bursts) are cut again within their own range.  Sequence values of a key are
+    distinct here, so this ends; each round multiplies the resolution by eight or more.
+    """
+    rows = newest_per_key(
+        changes.join(hot, list(keys), "left_semi"), [*keys, sequence_by], tie_break
     )
+    part = [*keys, "__slice"]
+    rows = spill(rows.withColumn("__slice", F.array().cast("array<bigint>")), "hot-rows")
+    position = _number(F.col(sequence_by), changes, sequence_by)
+    while True:
+        wide = spill(
+            rows.groupBy(*part)
+            .agg(
+                F.count(F.lit(1)).alias("__rows"),
+                F.min(position).alias("__low"),
+                F.max(position).alias("__high"),
+            )
+            .filter((F.col("__rows") > hot_rows) & (F.col("__high") > F.col("__low"))),
+            "wide-slices",
+        )
+        if wide.isEmpty():
+            return rows
+        share = (position - F.col("__low")) / (F.col("__high") - F.col("__low"))
+        step = F.floor(share * F.ceil(F.col("__rows") / hot_rows) * 4).cast("bigint")
+        path = F.when(F.col("__rows").isNull(), F.col("__slice")).otherwise(
+            F.concat("__slice", F.array(step))
+        )
+        rows = spill(
+            rows.join(wide, part, "left").withColumn("__slice", path).select(*rows.columns),
+            "hot-rows",
+        )
 
 
 def _sliced_versions(
