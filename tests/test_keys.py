@@ -4,14 +4,21 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import Window, functions as F
 
+from touchline.operators import keys
 from touchline.operators.keys import dense_key, is_dense, spread_key
 
 
+@pytest.fixture(params=["whole", "by slices"])
+def way(request, monkeypatch):
+    if request.param == "by slices":
+        monkeypatch.setattr(keys, "SMALL_ROWS", -1)
+
+
 def numbered(df, order):
     return {tuple(r[c] for c in order): r["k"] for r in dense_key(df, "k", order).collect()}
 
 
-def test_equals_row_number(spark):
+def test_equals_row_number(spark, way):
     df = spark.range(5000).select(
         (F.col("id") * 7919 % 5003).alias("a"), (F.col("id") % 13).cast("string").alias("b")
     )
@@ -19,7 +26,7 @@ def test_equals_row_number(spark):
     assert numbered(df, ["b", "a"]) == {(r.b, r.a): r.k for r in want.collect()}
 
 
-def test_many_slices(spark):
+def test_many_slices(spark, way):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         df = spark.range(1000, numPartitions=7).select(F.col("id").alias("a"))
@@ -29,13 +36,13 @@ def test_many_slices(spark):
     assert got == {(i,): i + 1 for i in range(1000)}
 
 
-def test_one_row_empty_and_more_partitions_than_rows(spark):
+def test_one_row_empty_and_more_partitions_than_rows(spark, way):
     one = spark.createDataFrame([(5, "x")], "a INT, v STRING").repartition(6)
     assert [tuple(r) for r in dense_key(one, "k", ["a"]).collect()] == [(5, "x", 1)]
     assert dense_key(one.filter("a > 5"), "k", ["a"]).count() == 0
 
 
-def test_hot_leading_column_and_null_key(spark):
+def test_hot_leading_column_and_null_key(spark, way):
     df = spark.range(300).select(
         F.when(F.col("id") % 3 != 0, F.lit("hot")).alias("a"), F.col("id").alias("b")
     )
@@ -44,14 +51,23 @@ def test_hot_leading_column_and_null_key(spark):
     assert got[(None, 0)] == 1 and got[("hot", 1)] == 101
 
 
-def test_duplicate_order_key_is_refused(spark):
+def test_duplicate_order_key_is_refused(spark, way):
     df = spark.createDataFrame([(1,), (1,), (2,)], "a INT")
     with pytest.raises(PySparkException, match="duplicate order key"):
-        dense_key(df, "k", ["a"]).count()
+        dense_key(df, "k", ["a"]).collect()
+
+
+def test_small_is_counted_not_assumed(spark, monkeypatch):
+    monkeypatch.setattr(keys, "SMALL_ROWS", 10)
+    df = spark.range(11)
+    assert "__slice" in dense_key(df, "k", ["id"])._jdf.queryExecution().toString()
+    assert "__slice" not in dense_key(df.limit(10), "k", ["id"])._jdf.queryExecution().toString()
+    assert "__slice" in dense_key(df.limit(3), "k", ["id"], df)._jdf.queryExecution().toString()
 
 
-def test_no_single_partition_over_the_rows(spark):
+def test_no_single_partition_over_the_rows(spark, monkeypatch):
     """Only the per-slice counts, one row per slice, meet in one partition."""
+    monkeypatch.setattr(keys, "SMALL_ROWS", -1)
     df = spark.range(1000).select(F.col("id").alias("a"))
     plan = dense_key(df, "k", ["a"])._jdf.queryExecution().executedPlan().toString()
     lines = plan.splitlines()

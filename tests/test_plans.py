@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from touchline.operators import progress
+from touchline.operators import keys, progress
 from touchline.scratch import spill
 from workload import queries as q
 from workload.frames import table
@@ -27,7 +27,8 @@ def plan(df):
 
 
 @pytest.fixture
-def no_broadcast(spark):
+def no_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(keys, "SMALL_ROWS", -1)
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     yield spark

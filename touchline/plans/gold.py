@@ -130,7 +130,7 @@ def fact_match_result(
         scores.match_label(home, away).alias("match_result"),
         *scores.outcome_flags(home, away, ("is_home_win", "is_away_win", "is_draw")),
     )
-    keyed = dense_key(star, "match_key", ["dim_fixture_key"])
+    keyed = dense_key(star, "match_key", ["dim_fixture_key"], bound=fixtures)
     return _laid_out(keyed, "fact_match_result")
 
 
@@ -253,7 +253,7 @@ def fact_match_stats(
     if is_dense(stats, "fixture_stat_key"):
         keyed = rows.withColumn("match_statistic_key", F.col("dim_fixture_stat_key"))
     else:
-        keyed = dense_key(rows, "match_statistic_key", ["dim_fixture_stat_key"])
+        keyed = dense_key(rows, "match_statistic_key", ["dim_fixture_stat_key"], bound=stats)
     return _laid_out(keyed, "fact_match_stats")
 
 
