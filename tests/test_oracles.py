@@ -25,10 +25,10 @@ def duck():
 
 
 def test_all_queries_have_an_oracle():
-    assert set(registered.queries()) == set(registered.oracle_sql())
+    assert set(registered.QUERIES) == set(registered.ORACLES)
 
 
-@pytest.mark.parametrize("name", registered.queries())
+@pytest.mark.parametrize("name", registered.QUERIES)
 def test_query(spark, duck, name):
     df = registered.queries()[name](spark, SF_DIR)
     found = duck.execute(registered.oracle_sql()[name])
