@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import exact
+from touchline.llm import exact, quality
 from touchline.llm.common import table
 
 
@@ -14,11 +14,61 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_quality_rules": op6_quality_rules,
     "op8_exact_dedup": op8_exact_dedup,
 }
 
 ORACLES: dict[str, str] = {
+    "op6_quality_rules": r"""
+        WITH t AS (
+            SELECT doc_id, source AS host, coalesce(text, '') AS text,
+                   list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                               lambda w: w <> '') AS words,
+                   list_filter(string_split(coalesce(text, ''), chr(10)),
+                               lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+            FROM documents
+        ), windows AS (
+            SELECT doc_id, i, list_slice(words, i, i + 4) AS w
+            FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS i FROM t)
+        ), repeated AS (
+            SELECT doc_id, i FROM (
+                SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w) AS k FROM windows)
+            WHERE k > 1
+        ), covered AS (
+            SELECT doc_id, count(DISTINCT p) AS n
+            FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM repeated) GROUP BY doc_id
+        ), measured AS (
+            SELECT t.doc_id, host, len(words)::BIGINT AS n_words,
+                   coalesce(list_sum(list_transform(words, lambda w: length(w))), 0)::BIGINT
+                       AS word_chars,
+                   len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+                   (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+                   coalesce(n, 0)::BIGINT AS n_repeat_words
+            FROM t LEFT JOIN covered USING (doc_id)
+        ), judged AS (
+            SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed
+            FROM measured
+        ), counts AS (
+            SELECT host, count(*) AS n, sum(base_failed::BIGINT) AS f FROM judged GROUP BY host
+        ), moments AS (
+            SELECT sum(f) / sum(n) AS m, sum(n * (f / n) * (f / n)) / sum(n) AS m2 FROM counts
+        ), prior AS (
+            SELECT m, greatest(CASE WHEN m2 - m * m > 1e-12 THEN m * (1 - m) / (m2 - m * m) - 1
+                                    ELSE 20.0 END, 1.0) AS s
+            FROM moments
+        ), hosts AS (
+            SELECT host AS verdict_host, (f + m * s) / (n + s) >= 0.5 AS rejected
+            FROM counts, prior
+        )
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT base_failed AND NOT rejected AS kept
+        FROM judged JOIN hosts ON host IS NOT DISTINCT FROM verdict_host
+    """,
     "op8_exact_dedup": r"""
         WITH t AS (
             SELECT doc_id, length(coalesce(text, '')) AS chars,
