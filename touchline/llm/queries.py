@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import bpe, exact, quality, unigram
+from touchline.llm import bpe, exact, mixing, quality, unigram
 from touchline.llm.common import table
 
 
@@ -15,6 +15,12 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", "source", "copies"
+    )
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(
         table(spark, sf_dir, "documents"),
@@ -34,6 +40,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_mix_sources": op3_mix_sources,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_quality_rules": op6_quality_rules,
     "op8_exact_dedup": op8_exact_dedup,
