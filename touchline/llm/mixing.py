@@ -13,11 +13,12 @@ odds that keep the expectations; at least one document closes.
 
 Scale.  Documents of a source are dealt by a hash of their id into blocks of about
 ``block`` rows, each balanced on its own in one task; at most two documents per block stay
-open, and those are blocked and balanced again, until one block per source is left.  Its
-last one or two documents are the landing: they close at the combination whose words are
-nearest to what they owe, the fewest documents first.  So a source is off its target by less
-than one or two documents, however many blocks it had, and a source with a third of all rows
-is a matter of more blocks.  Only (id, source, size) is ever shuffled.
+open, and those are blocked and balanced again, until one block per source is left.  There
+``LANDING`` documents spread over the sizes are kept out of the flight; they and the last
+one or two open ones are the landing problem: of all their combinations with the owed number
+of documents, give or take one, the one nearest to the owed words.  So the error of a source
+is a landing's, however many blocks it had, and a source with a third of all rows is a
+matter of more blocks.  Only (id, source, size) is ever shuffled.
 
 Draws come from hashes of the ids with a seed, so reruns agree whatever the partitioning.
 Rows that repeat an id are separate documents with the same draw, told apart by a running
@@ -43,6 +44,7 @@ from touchline.scratch import spill
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
 BLOCK = 4000
+LANDING = 12
 SEED = 20240
 _EPS = 1e-9
 
@@ -147,22 +149,26 @@ def flight(p: np.ndarray, size: np.ndarray, draw: np.ndarray) -> np.ndarray:
     return p
 
 
+def held_back(p: np.ndarray, size: np.ndarray, n: int = LANDING) -> np.ndarray:
+    """Positions of ``n`` open documents spread over the sizes, which only the landing closes."""
+    at = np.flatnonzero((p > _EPS) & (p < 1 - _EPS))
+    by_size = at[np.argsort(size[at], kind="stable")]
+    if len(by_size) <= n:
+        return by_size
+    return by_size[np.linspace(0, len(by_size) - 1, n).round().astype(int)]
+
+
 def landing(p: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The last open documents closed, nearest to the words they owe, then fewest first."""
+    """The last open documents closed: of all combinations whose number is within one of what
+    they owe, the one nearest to the words they owe."""
     p = p.copy()
     at = np.flatnonzero((p > _EPS) & (p < 1 - _EPS))
-    owed = float((p[at] * size[at]).sum())
-    choices = range(1 << len(at))
-    best = min(
-        choices,
-        key=lambda bits: (
-            abs(sum(float(size[j]) for k, j in enumerate(at) if bits >> k & 1) - owed),
-            bits.bit_count(),
-            bits,
-        ),
-    )
-    for k, j in enumerate(at):
-        p[j] = float(best >> k & 1)
+    if not len(at):
+        return p
+    taken = (np.arange(1 << len(at))[:, None] >> np.arange(len(at))) & 1
+    off_words = np.abs(taken @ size[at] - p[at] @ size[at])
+    off_number = np.abs(taken.sum(axis=1) - p[at].sum())
+    p[at] = taken[np.lexsort((off_number, off_words, off_number > 1))[0]]
     return p
 
 
@@ -173,13 +179,15 @@ def _balance(rows: DataFrame, blocks: int, step: int, last: bool) -> DataFrame:
     """One round: flight in every block of every source; the last round also lands."""
 
     def run(block: pd.DataFrame) -> pd.DataFrame:
-        # Long texts first: what stays open to the end is short, so the landing moves little.
-        block = block.sort_values(
-            ["size", "doc_id", "twin"], ascending=[False, True, True], kind="stable"
-        )
+        block = block.sort_values(["doc_id", "size", "twin"], kind="stable", na_position="last")
         ids = block["doc_id"].fillna(-1).to_numpy("i8")
         twins, size = block["twin"].to_numpy("i8"), block["size"].to_numpy("f8")
-        p = flight(block["p"].to_numpy("f8"), size, _unit(ids, twins, step))
+        p = block["p"].to_numpy("f8")
+        free = np.ones(len(p), bool)
+        if last:
+            free[held_back(p, size)] = False
+        p = p.copy()
+        p[free] = flight(p[free], size[free], _unit(ids, twins, step)[free])
         if last:
             p = landing(p, size)
         return block.assign(p=p)[["source", "doc_id", "twin", "size", "p"]]
