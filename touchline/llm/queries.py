@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import bpe, exact, mixing, quality, unigram
+from touchline.llm import bpe, exact, mixing, quality, unigram, urls
 from touchline.llm.common import table
 
 
@@ -21,6 +21,19 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+URL_RULES = (
+    urls.Rule("allow", "org", "/"),
+    urls.Rule("block", "example.org", "/es/"),
+    urls.Rule("block", "example.org", "/en/1"),
+    urls.Rule("allow", "com", "/fr/"),
+    urls.Rule("block", "com", "/de/"),
+)
+
+
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(
         table(spark, sf_dir, "documents"),
@@ -41,6 +54,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mix_sources": op3_mix_sources,
+    "op4_url_filters": op4_url_filters,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_quality_rules": op6_quality_rules,
     "op8_exact_dedup": op8_exact_dedup,
