@@ -7,10 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import bpe, exact, mixing, quality, unigram, urls
+from touchline.llm import bpe, exact, mixing, near, quality, unigram, urls
 from touchline.llm.common import table
 
 
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_url_filters": op4_url_filters,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_quality_rules": op6_quality_rules,
+    "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_token_counts": op10_token_counts,
 }
