@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import bpe, exact, mixing, near, quality, unigram, urls
+from touchline.llm import bpe, exact, extract, mixing, near, quality, unigram, urls
 from touchline.llm.common import table
 
 
@@ -50,6 +50,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extracted(table(spark, sf_dir, "pages"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unigram.token_counts(
         table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")
@@ -63,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_rules": op6_quality_rules,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_html_text": op9_html_text,
     "op10_token_counts": op10_token_counts,
 }
 
