@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from touchline.llm import bpe, exact, extract, mixing, near, quality, unigram, urls
+from touchline.llm import bpe, exact, extract, lines, mixing, near, quality, unigram, urls
 from touchline.llm.common import table
 
 
@@ -19,6 +20,13 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.deduplicated_lines(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_lines", "n_removed", "n_runs", F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "source", "copies"
@@ -61,6 +69,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op3_mix_sources": op3_mix_sources,
     "op4_url_filters": op4_url_filters,
     "op5_byte_bpe": op5_byte_bpe,
@@ -72,6 +81,31 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_line_dedup": r"""
+        WITH l AS (
+            SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS at
+            FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents)
+        ), worded AS (
+            SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY at) AS seq
+            FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+        ), pairs AS (
+            SELECT a.doc_id, a.at AS s, b.at AS e,
+                   row_number() OVER (PARTITION BY a.line, b.line ORDER BY a.doc_id, a.at) AS k
+            FROM worded a JOIN worded b ON a.doc_id = b.doc_id AND b.seq = a.seq + 1
+        ), removed AS (
+            SELECT DISTINCT doc_id, unnest(range(s, e + 1)) AS at FROM pairs WHERE k > 1
+        ), marked AS (
+            SELECT l.*, r.at IS NOT NULL AS gone,
+                   lag(r.at IS NOT NULL, 1, false) OVER (
+                       PARTITION BY l.doc_id ORDER BY l.at) AS before
+            FROM l LEFT JOIN removed r ON l.doc_id = r.doc_id AND l.at = r.at
+        )
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
+               count(*) FILTER (gone AND NOT before) AS n_runs,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (NOT gone), ''))
+                   AS kept_sha256
+        FROM marked GROUP BY doc_id
+    """,
     "op6_quality_rules": r"""
         WITH t AS (
             SELECT doc_id, source AS host, coalesce(text, '') AS text,
