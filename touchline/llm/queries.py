@@ -83,26 +83,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op1_line_dedup": r"""
         WITH l AS (
-            SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS at
+            SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos
             FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents)
         ), worded AS (
-            SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY at) AS seq
+            SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS seq
             FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
         ), pairs AS (
-            SELECT a.doc_id, a.at AS s, b.at AS e,
-                   row_number() OVER (PARTITION BY a.line, b.line ORDER BY a.doc_id, a.at) AS k
+            SELECT a.doc_id, a.pos AS s, b.pos AS e,
+                   row_number() OVER (PARTITION BY a.line, b.line ORDER BY a.doc_id, a.pos) AS k
             FROM worded a JOIN worded b ON a.doc_id = b.doc_id AND b.seq = a.seq + 1
         ), removed AS (
-            SELECT DISTINCT doc_id, unnest(range(s, e + 1)) AS at FROM pairs WHERE k > 1
+            SELECT DISTINCT doc_id, unnest(range(s, e + 1)) AS pos FROM pairs WHERE k > 1
         ), marked AS (
-            SELECT l.*, r.at IS NOT NULL AS gone,
-                   lag(r.at IS NOT NULL, 1, false) OVER (
-                       PARTITION BY l.doc_id ORDER BY l.at) AS before
-            FROM l LEFT JOIN removed r ON l.doc_id = r.doc_id AND l.at = r.at
+            SELECT l.*, r.pos IS NOT NULL AS gone,
+                   lag(r.pos IS NOT NULL, 1, false) OVER (
+                       PARTITION BY l.doc_id ORDER BY l.pos) AS before
+            FROM l LEFT JOIN removed r ON l.doc_id = r.doc_id AND l.pos = r.pos
         )
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
                count(*) FILTER (gone AND NOT before) AS n_runs,
-               sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (NOT gone), ''))
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), ''))
                    AS kept_sha256
         FROM marked GROUP BY doc_id
     """,
