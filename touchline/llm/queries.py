@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import bpe, exact, extract, lines, mixing, near, quality, unigram, urls
+from touchline.llm import bpe, exact, extract, lines, mixing, near, quality, repeats, unigram, urls
 from touchline.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "source", "copies"
@@ -70,6 +74,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_mix_sources": op3_mix_sources,
     "op4_url_filters": op4_url_filters,
     "op5_byte_bpe": op5_byte_bpe,
