@@ -15,6 +15,8 @@ from touchline.operators.history import (
 )
 
 DAY = datetime(2024, 8, 1)
+PARTITIONS = "spark.sql.shuffle.partitions"
+COALESCE = "spark.sql.adaptive.coalescePartitions.enabled"
 
 
 def at(n):
@@ -94,52 +96,44 @@ def test_tie_break_comes_before_the_other_columns(spark):
     assert [r.v for r in got] == ["a"]
 
 
-@pytest.mark.parametrize("hot_rows", [None, 3, 10, 10_000])
-def test_against_brute_force_with_hot_keys(spark, hot_rows):
+@pytest.mark.parametrize("slices", [1, 4, 23])
+def test_against_brute_force_with_hot_keys(spark, slices):
     rng = random.Random(5)
     entries = []
     for _ in range(400):
         key = 1 if rng.random() < 0.4 else rng.randrange(2, 40)
         entries.append((key, rng.randrange(120), rng.choice("abc")))
-    got = versions(history_from_changes(log(spark, entries), ["k"], "seq", hot_rows=hot_rows))
+    old = {k: spark.conf.get(k) for k in (PARTITIONS, COALESCE)}
+    spark.conf.set(PARTITIONS, str(slices))
+    spark.conf.set(COALESCE, "false")
+    try:
+        got = versions(history_from_changes(log(spark, entries), ["k"], "seq"))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
     assert sorted(got, key=str) == brute(entries)
 
 
-@pytest.mark.parametrize("kind", ["int", "date", "timestamp_ntz"])
-def test_hot_keys_by_other_sequence_types(spark, kind):
-    rows = [(1, n, "ab"[n // 20 % 2]) for n in range(100)]
+@pytest.mark.parametrize("kind", ["int", "bigint", "string", "date", "timestamp_ntz"])
+def test_sequence_types_and_null_keys(spark, kind):
+    rows = [(k, n, "ab"[n // 20 % 2]) for n in range(100) for k in (1, None)]
     df = spark.createDataFrame(rows, "k INT, n INT, v STRING")
-    seq = F.col("n") if kind == "int" else F.date_add(F.lit(DAY).cast("date"), F.col("n")).cast(kind)
-    df = df.select("k", seq.alias("seq"), "v")
-    sliced = history_from_changes(df, ["k"], "seq", hot_rows=7)
-    plain = history_from_changes(df, ["k"], "seq", hot_rows=None)
-    assert sorted(map(tuple, sliced.collect())) == sorted(map(tuple, plain.collect())) or (
-        {str(r) for r in sliced.collect()} == {str(r) for r in plain.collect()}
-    )
-    assert plain.count() == 5
+    seq = {
+        "int": F.col("n"),
+        "bigint": F.col("n") + F.lit(1 << 60),
+        "string": F.lpad(F.col("n").cast("string"), 4, "0"),
+    }.get(kind, F.date_add(F.lit(DAY).cast("date"), F.col("n")).cast(kind if kind[0] in "dt" else "date"))
+    got = history_from_changes(df.select("k", seq.alias("seq"), "v"), ["k"], "seq").collect()
+    for key in (1, None):
+        mine = sorted((r for r in got if r.k == key), key=lambda r: r["__START_AT"])
+        assert [r.v for r in mine] == list("ababa")
+        assert all(a["__END_AT"] == b["__START_AT"] for a, b in zip(mine, mine[1:]))
+        assert mine[-1]["__END_AT"] is None
 
 
 def test_hot_key_with_one_sequence_value(spark):
     df = log(spark, [(1, 0, "abc"[i % 3]) for i in range(50)])
-    assert versions(history_from_changes(df, ["k"], "seq", hot_rows=5)) == [(1, "c", 0, None)]
-
-
-def test_bursts_are_cut_again(spark):
-    from touchline.operators import history
-
-    seconds = [*range(300), 10_000_000]  # nearly all changes at the start of the range
-    df = spark.createDataFrame(
-        [(1, DAY + timedelta(seconds=n), "ab"[n % 2]) for n in seconds],
-        "k INT, seq TIMESTAMP, v STRING",
-    )
-    hot = history._hot_keys(df, ["k"], 50)
-    sliced = history._slice_hot(df, hot, ["k"], "seq", (), 50)
-    sizes = [r["count"] for r in sliced.groupBy("__slice").count().collect()]
-    assert sum(sizes) == 301 and max(sizes) <= 50
-    got = history_from_changes(df, ["k"], "seq", hot_rows=50)
-    want = history_from_changes(df, ["k"], "seq", hot_rows=None)
-    assert {str(r) for r in got.collect()} == {str(r) for r in want.collect()}
-    assert got.count() == 300 + 1 - (seconds[-1] % 2 == 299 % 2)
+    assert versions(history_from_changes(df, ["k"], "seq")) == [(1, "c", 0, None)]
 
 
 def test_intervals_have_no_gaps_and_one_is_open(spark):
@@ -152,14 +146,6 @@ def test_intervals_have_no_gaps_and_one_is_open(spark):
         assert [g[3] for g in mine].count(None) == 1
 
 
-def test_one_exchange_for_cold_keys(spark):
-    df = spark.range(100).select(
-        (F.col("id") % 7).alias("k"), F.col("id").alias("seq"), F.col("id").alias("v")
-    )
-    plan = history_from_changes(df, ["k"], "seq", hot_rows=None)._jdf.queryExecution()
-    assert plan.executedPlan().toString().count("Exchange") == 1
-
-
 def test_newest_per_key(spark, rows):
     df = log(spark, [(1, 0, "z"), (1, 2, "a"), (2, 1, "b"), (2, 1, "c"), (2, 1, "c")])
     assert rows(newest_per_key(df, ["k"], ["seq"]), "k", "v") == [(1, "a"), (2, "c")]

@@ -5,16 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import NumericType
 
 from touchline.scratch import spill
 
 START, END = "__START_AT", "__END_AT"
 
-# A key with more change rows than this is cut into slices of about this many rows, so
-# that no task sorts the whole of it.
-HOT_ROWS = 1_000_000
-
 
 def newest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """One row per key: the largest by ``order``, then by the remaining columns.
@@ -42,7 +37,6 @@ def history_from_changes(
     sequence_by: str,
     ignore: Sequence[str] | None = None,
     tie_break: Sequence[str] = (),
-    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """K1: all versions of each key from the full log of its changes.
 
@@ -53,160 +47,67 @@ def history_from_changes(
     rows exact.  Equal sequence values of a key are reduced to one row by ``tie_break`` and
     then by all columns.
 
-    Keys with more than ``hot_rows`` rows are cut by sequence into slices, each sorted on
-    its own; ``hot_rows=None`` skips the look for such keys.
+    Works for any orderable sequence and for null keys, by one way at every size: rows are
+    dealt by range of key and sequence and written to scratch, so a key with many changes
+    spreads over slices by itself.  States and ends are found inside the slices; one row per
+    slice carries the last state, and the next version's begin, across its border.
     """
     ignored = {sequence_by} if ignore is None else set(ignore)
     tracked = [c for c in changes.columns if c not in {*keys, *ignored}]
-    hot = None if hot_rows is None else _hot_keys(changes, keys, hot_rows)
-    if hot is None:
-        return _versions(changes, keys, sequence_by, tracked, tie_break)
-    cold = changes.join(hot, list(keys), "left_anti")
-    sliced = _slice_hot(changes, hot, keys, sequence_by, tie_break, hot_rows)
-    return _versions(cold, keys, sequence_by, tracked, tie_break).unionByName(
-        _sliced_versions(sliced, keys, sequence_by, tracked).select(
-            *changes.columns, START, END
-        )
+    order = [*keys, sequence_by]
+    rows = newest_per_key(changes, order, tie_break)
+    sliced = rows.repartitionByRange(*order).withColumn("__slice", F.spark_partition_id())
+    sliced = spill(sliced, "history-slices")
+    key, state = F.struct(*keys), _state(tracked)
+    place = F.struct(*order)
+    across = Window.orderBy("__slice")  # one row per slice: at most the shuffle partitions
+    in_slice = Window.partitionBy("__slice", *keys).orderBy(sequence_by)
+
+    last = sliced.groupBy("__slice").agg(F.max_by(F.struct(key.alias("key"), state.alias("state")), place).alias("__last"))
+    entered = last.select(
+        F.col("__slice").alias("__of"),
+        F.lag("__last").over(across)["key"].alias("__key"),
+        F.lag("__last").over(across)["state"].alias("__entry"),
     )
-
-
-def _state(tracked: Sequence[str]) -> Column:
-    return F.struct(*tracked) if tracked else F.struct(F.lit(True).alias("__present"))
-
-
-def _versions(
-    changes: DataFrame,
-    keys: Sequence[str],
-    sequence_by: str,
-    tracked: Sequence[str],
-    tie_break: Sequence[str],
-) -> DataFrame:
-    # One exchange and one sort by key serve the tie reduction and both version steps.
-    rest = [c for c in changes.columns if c not in {*keys, sequence_by, *tie_break}]
-    total_order = Window.partitionBy(*keys).orderBy(sequence_by, *tie_break, *rest)
-    in_order = Window.partitionBy(*keys).orderBy(sequence_by)
-    moment, state = F.struct(sequence_by), _state(tracked)
-    return (
-        changes.withColumn("__tie", F.lead(moment).over(total_order).eqNullSafe(moment))
-        .filter("NOT __tie")
-        .withColumn("__same", F.lag(state).over(in_order).eqNullSafe(state))
-        .filter("NOT __same")
-        .drop("__tie", "__same")
-        .withColumn(START, F.col(sequence_by))
-        .withColumn(END, F.lead(sequence_by).over(in_order))
-    )
-
-
-def _number(column: Column, changes: DataFrame, name: str) -> Column:
-    """The sequence as a double; order is kept, which is all that slicing needs."""
-    if isinstance(changes.schema[name].dataType, NumericType):
-        return column.cast("double")
-    return column.cast("timestamp").cast("double")
-
-
-def _hot_keys(changes: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame | None:
-    """Keys that seem to have too many rows; None if there are none.
-
-    A sample names them, so that the look costs a narrow scan and hardly any shuffle.  It
-    only steers how a key is computed, never what comes out.
-    """
-    if changes.count() <= hot_rows:
-        return None
-    share = min(1.0, 1000 / hot_rows)
-    seen = changes.select(*keys).sample(share, seed=7).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__seen")
-    )
-    hot = seen.filter(F.col("__seen") > hot_rows * share / 2).select(*keys)
-    found = spill(hot, "hot-keys")
-    return None if found.isEmpty() else found
-
-
-def _slice_hot(
-    changes: DataFrame,
-    hot: DataFrame,
-    keys: Sequence[str],
-    sequence_by: str,
-    tie_break: Sequence[str],
-    hot_rows: int,
-) -> DataFrame:
-    """Rows of hot keys with ``__slice``, a path that grows with the sequence.
-
-    The sequence range of a large group is cut into equal parts, and parts that still hold
-    too much (bursts) are cut again within their own range.  Sequence values of a key are
-    distinct here, so this ends; each round multiplies the resolution by eight or more.
-    """
-    rows = newest_per_key(
-        changes.join(hot, list(keys), "left_semi"), [*keys, sequence_by], tie_break
-    )
-    part = [*keys, "__slice"]
-    rows = spill(rows.withColumn("__slice", F.array().cast("array<bigint>")), "hot-rows")
-    position = _number(F.col(sequence_by), changes, sequence_by)
-    while True:
-        wide = spill(
-            rows.groupBy(*part)
-            .agg(
-                F.count(F.lit(1)).alias("__rows"),
-                F.min(position).alias("__low"),
-                F.max(position).alias("__high"),
-            )
-            .filter((F.col("__rows") > hot_rows) & (F.col("__high") > F.col("__low"))),
-            "wide-slices",
-        )
-        if wide.isEmpty():
-            return rows
-        share = (position - F.col("__low")) / (F.col("__high") - F.col("__low"))
-        step = F.floor(share * F.ceil(F.col("__rows") / hot_rows) * 4).cast("bigint")
-        path = F.when(F.col("__rows").isNull(), F.col("__slice")).otherwise(
-            F.concat("__slice", F.array(step))
-        )
-        rows = spill(
-            rows.join(wide, part, "left").withColumn("__slice", path).select(*rows.columns),
-            "hot-rows",
-        )
-
-
-def _sliced_versions(
-    rows: DataFrame, keys: Sequence[str], sequence_by: str, tracked: Sequence[str]
-) -> DataFrame:
-    part = [*keys, "__slice"]
-    in_slice = Window.partitionBy(*part).orderBy(sequence_by)
-    across = Window.partitionBy(*keys).orderBy("__slice")  # one row per slice of a key
-
-    # the state in which each slice is entered is the last state of the slice before it
-    entered = (
-        rows.groupBy(*part)
-        .agg(F.max_by(_state(tracked), sequence_by).alias("__last"))
-        .withColumn("__entry", F.lag("__last").over(across))
-        .drop("__last")
-    )
-    state = _state(tracked)
     first = F.row_number().over(in_slice) == 1
     opened = (
-        rows.withColumn("__first", first)
+        sliced.withColumn("__first", first)
         .withColumn("__before", F.lag(state).over(in_slice))
-        .join(entered, part)
-        .withColumn("__before", F.when(F.col("__first"), F.col("__entry")).otherwise(F.col("__before")))
+        .join(F.broadcast(entered), F.col("__slice") == F.col("__of"))
+        .withColumn(
+            "__before",
+            F.when(~F.col("__first"), F.col("__before")).when(
+                F.col("__key").eqNullSafe(key), F.col("__entry")
+            ),
+        )
         .filter(~F.col("__before").eqNullSafe(state))
-        .drop("__first", "__before", "__entry")
+        .select(*changes.columns, "__slice")
     )
-    opened = spill(opened, "hot-versions")
+    opened = spill(opened, "history-versions")
 
-    # the last version of a slice ends where the next slice with a version begins
-    following = (
-        opened.groupBy(*part)
-        .agg(F.min(sequence_by).alias("__begin"))
-        .withColumn("__next", F.lead("__begin").over(across))
-        .drop("__begin")
+    begins = opened.groupBy("__slice").agg(
+        F.min_by(F.struct(key.alias("key"), F.col(sequence_by).alias("begin")), place).alias("__begin")
+    )
+    following = begins.select(
+        F.col("__slice").alias("__of"),
+        F.lead("__begin").over(across)["key"].alias("__key"),
+        F.lead("__begin").over(across)["begin"].alias("__next"),
     )
     return (
         opened.withColumn(START, F.col(sequence_by))
         .withColumn(END, F.lead(sequence_by).over(in_slice))
-        .join(following, part)
-        .withColumn(END, F.coalesce(END, "__next"))
-        .drop("__slice", "__next")
+        .join(F.broadcast(following), F.col("__slice") == F.col("__of"))
+        .withColumn(
+            END, F.coalesce(END, F.when(F.col("__key").eqNullSafe(key), F.col("__next")))
+        )
+        .select(*changes.columns, START, END)
     )
 
 
+def _state(tracked: Sequence[str]) -> Column:
+    return F.struct(*tracked) if tracked else F.struct(F.lit(True).alias("__present"))
+
+
 def history_from_snapshot(
     history: DataFrame | None,
     snapshot: DataFrame,

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -12,61 +11,25 @@ from touchline.scratch import spill
 _LOCAL_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row number in these
 
 
-# Up to this many rows (counted, never assumed) one task numbers a table faster than a
-# sort over slices does.
-SMALL_ROWS = 50_000
-
-
-def dense_key(
-    df: DataFrame, name: str, order_by: Sequence[str], bound: DataFrame | None = None
-) -> DataFrame:
+def dense_key(df: DataFrame, name: str, order_by: Sequence[str]) -> DataFrame:
     """append ``name`` = 1..N in the order of ``order_by``, a unique row key.
 
-    Equal to ``row_number() OVER (ORDER BY ...)``.  A table of at most ``SMALL_ROWS`` rows is
-    numbered just so; any larger one by slices, without gathering it.  ``bound`` is a frame
-    with at least as many rows as ``df`` that is cheaper to look at (the base of a join).
-    Equal keys are refused, since their numbers would depend on chance.
+    Equal to ``row_number() OVER (ORDER BY ...)``, for any size by the same steps: whole rows
+    are dealt by range, numbered inside each slice and written to scratch once, so that the
+    slice sizes and the rows read back are the same even if executors are lost.  One small
+    row per slice carries the offset.  ``df`` is computed once, with one exchange.  Equal
+    keys are refused, since their numbers would depend on chance.
     """
-    if _at_most(df if bound is None else bound, SMALL_ROWS):
-        return _numbered_whole(df, name, order_by)
-    return _numbered_by_slices(df, name, order_by)
-
-
-def _at_most(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has no more than ``rows`` rows; stops reading once it has more."""
-    return len(df.select(F.lit(1)).take(rows + 1)) <= rows
-
-
-def _refusing_copies(copy: Column, name: str, number: Column) -> Column:
-    refused = F.raise_error(F.lit(f"{name}: duplicate order key"))
-    return F.when(copy > 1, refused).otherwise(number).cast("bigint")
-
-
-def _numbered_whole(df: DataFrame, name: str, order_by: Sequence[str]) -> DataFrame:
-    place = F.row_number().over(Window.orderBy(*order_by))
-    copy = F.row_number().over(Window.partitionBy(*order_by).orderBy(*order_by))
-    both = df.select("*", place.alias("__place"), copy.alias("__copy"))
-    number = _refusing_copies(F.col("__copy"), name, F.col("__place"))
-    return both.withColumn(name, number).drop("__place", "__copy")
-
-
-def _numbered_by_slices(df: DataFrame, name: str, order_by: Sequence[str]) -> DataFrame:
-    """Only the key columns are sorted: they are range-partitioned, numbered inside each
-    slice and written to scratch, so that the slice sizes and the rows joined back are the
-    same even if executors are lost.  One small row per slice carries the offset.
-    """
-    keys = [f"__key_{i}" for i in range(len(order_by))]
-    narrow = df.select(*[F.col(c).alias(k) for c, k in zip(order_by, keys)])
     # Range partitioning keeps equal keys together and the local sort keeps them adjacent,
-    # so the duplicate test below adds no exchange.
-    same_key = Window.partitionBy(*keys).orderBy(*keys)
+    # so the duplicate test adds no exchange.
+    same_key = Window.partitionBy(*order_by).orderBy(*order_by)
     place = F.monotonically_increasing_id().bitwiseAND(F.lit(_LOCAL_BITS))
     sliced = (
-        narrow.repartitionByRange(*keys)
-        .sortWithinPartitions(*keys)
+        df.repartitionByRange(*order_by)
+        .sortWithinPartitions(*order_by)
         .withColumn("__copy", F.row_number().over(same_key))
         .select(
-            *keys,
+            *df.columns,
             F.spark_partition_id().alias("__slice"),
             _refusing_copies(F.col("__copy"), name, place).alias("__place"),
         )
@@ -78,17 +41,14 @@ def _numbered_by_slices(df: DataFrame, name: str, order_by: Sequence[str]) -> Da
         .agg(F.count(F.lit(1)).alias("__size"))
         .select("__slice", F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__before"))
     )
-    keyed = numbered.join(F.broadcast(offsets), "__slice").select(
-        *keys, (F.col("__before") + F.col("__place") + 1).alias(name)
+    return numbered.join(F.broadcast(offsets), "__slice").select(
+        *df.columns, (F.col("__before") + F.col("__place") + 1).alias(name)
     )
-    matches = [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(order_by, keys)]
-    return df.join(keyed, reduce(lambda a, b: a & b, matches)).drop(*keys)
 
 
-def is_dense(df: DataFrame, key: str) -> bool:
-    """Whether a unique key runs from 1 to the row count; reads only that column."""
-    low, high, rows = df.agg(F.min(key), F.max(key), F.count(F.lit(1))).first()
-    return rows == 0 or (low == 1 and high == rows)
+def _refusing_copies(copy: Column, name: str, number: Column) -> Column:
+    refused = F.raise_error(F.lit(f"{name}: duplicate order key"))
+    return F.when(copy > 1, refused).otherwise(number).cast("bigint")
 
 
 def spread_key(df: DataFrame, name: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from touchline.functions import scores
 from touchline.functions.calendar import calendar, calendar_covering  # noqa: F401  (N1)
 from touchline.operators.history import END, START, current
-from touchline.operators.keys import dense_key, is_dense
+from touchline.operators.keys import dense_key
 from touchline.operators.sides import goals_of, split_sides
 from touchline.schemas import table_layout
 from touchline.scratch import spill
@@ -130,7 +130,7 @@ def fact_match_result(
         scores.match_label(home, away).alias("match_result"),
         *scores.outcome_flags(home, away, ("is_home_win", "is_away_win", "is_draw")),
     )
-    keyed = dense_key(star, "match_key", ["dim_fixture_key"], bound=fixtures)
+    keyed = dense_key(star, "match_key", ["dim_fixture_key"])
     return _laid_out(keyed, "fact_match_result")
 
 
@@ -235,12 +235,7 @@ def fact_match_stats(
     leagues: DataFrame,
     dates: DataFrame,
 ) -> DataFrame:
-    """One row per fixture and team with statistics, goals and result.
-
-    The left joins keep every statistics row once, so numbering the fact in the order of an
-    already dense ``fixture_stat_key`` gives that key again; only a key with gaps (part of
-    the dimension) is numbered anew.
-    """
+    """One row per fixture and team with statistics, goals and result."""
     star = stats_star(stats, fixtures, teams, dates).join(
         _league_part(leagues), "league_id", "left"
     )
@@ -250,10 +245,7 @@ def fact_match_stats(
             "dim_date_key": F.col("dim_date_key").cast("bigint"),
         }
     )
-    if is_dense(stats, "fixture_stat_key"):
-        keyed = rows.withColumn("match_statistic_key", F.col("dim_fixture_stat_key"))
-    else:
-        keyed = dense_key(rows, "match_statistic_key", ["dim_fixture_stat_key"], bound=stats)
+    keyed = dense_key(rows, "match_statistic_key", ["dim_fixture_stat_key"])
     return _laid_out(keyed, "fact_match_stats")
 
 
@@ -325,6 +317,5 @@ def fact_team_match_stats(
             ],
         )
     )
-    # one row per team and season: kept so that numbering it does not repeat the joins
     order = ["team_name", "season", "dim_team_key", *extra_groups]
-    return dense_key(spill(summed, "team-stats"), "fact_key", order)
+    return dense_key(summed, "fact_key", order)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
-from touchline.operators.history import HOT_ROWS, history_from_changes
+from touchline.operators.history import history_from_changes
 from touchline.plans import bronze, silver
 from touchline.sinks.tables import replace_partitions
 from touchline.sources.landing import stream_landing
@@ -103,7 +103,6 @@ def history_stream(
     ignore: Sequence[str] | None = None,
     tie_break: Sequence[str] = (),
     buckets: int = 64,
-    hot_rows: int | None = HOT_ROWS,
 ) -> StreamingQuery:
     """Keep a type 2 history of a change stream.
 
@@ -129,7 +128,7 @@ def history_stream(
             return
         slices = log.filter(F.col(BUCKET).isin(numbers)).drop(BATCH, BUCKET)
         versions = history_from_changes(
-            slices, keys, sequence_by, ignore, tie_break, hot_rows
+            slices, keys, sequence_by, ignore, tie_break
         )
         replace_partitions(versions.withColumn(BUCKET, bucket), history_path, BUCKET)
 

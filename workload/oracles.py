@@ -392,18 +392,28 @@ for _name in ("raw_stats_to_silver", "raw_stats_in_place", "pivot_stream"):
 
 # --- history ------------------------------------------------------------------------------------------
 
-SCD2_EVENTS = """
+def _scd2(user: str = "user_id", ts: str = "ts") -> str:
+    return f"""
   SELECT user_id, ts, event_type, ts AS "__START_AT",
          lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS "__END_AT"
   FROM (
     SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts) AS before,
            row_number() OVER (PARTITION BY user_id ORDER BY ts) AS place
-    FROM (SELECT user_id, ts, max(event_type) AS event_type FROM events GROUP BY 1, 2) AS reduced
+    FROM (SELECT user_id, ts, max(event_type) AS event_type
+          FROM (SELECT {user} AS user_id, {ts} AS ts, event_type FROM events) AS renamed
+          GROUP BY 1, 2) AS reduced
   ) AS changes
   WHERE place = 1 OR event_type IS DISTINCT FROM before
 """
-for _name in ("scd2_events", "scd2_hot_keys", "scd2_stream"):
+
+
+SCD2_EVENTS = _scd2()
+for _name in ("scd2_events", "scd2_stream"):
     ORACLES[_name] = SCD2_EVENTS
+ORACLES["scd2_hot_keys"] = _scd2("CASE WHEN event_id % 3 = 0 THEN 1 ELSE user_id END")
+ORACLES["scd2_text_sequence"] = _scd2(ts="strftime(ts, '%Y-%m-%d %H:%M:%S.%f')")
+ORACLES["scd2_big_sequence"] = _scd2(ts="event_id + 1152921504606846976")
+ORACLES["scd2_null_key"] = _scd2("CASE WHEN user_id % 5 <> 0 THEN user_id END")
 ORACLES["current_versions"] = f'SELECT * FROM ({SCD2_EVENTS}) AS v WHERE "__END_AT" IS NULL'
 ORACLES["scd2_snapshot"] = """
   WITH states AS (

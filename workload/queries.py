@@ -448,10 +448,38 @@ def scd2_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def scd2_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K1 with every user above 50 changes treated as hot and cut into slices."""
-    return history.history_from_changes(
-        _user_changes(spark, sf_dir), ["user_id"], "ts", hot_rows=50
+    """K1 with one user who has a third of all changes and more."""
+    user = F.when(F.col("event_id") % 3 == 0, F.lit(1)).otherwise(F.col("user_id"))
+    changes = table(spark, sf_dir, "events").select(
+        user.cast("bigint").alias("user_id"), "ts", "event_type"
     )
+    return history.history_from_changes(changes, ["user_id"], "ts")
+
+
+@query
+def scd2_text_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 ordered by a text."""
+    changes = _user_changes(spark, sf_dir).withColumn(
+        "ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    )
+    return history.history_from_changes(changes, ["user_id"], "ts")
+
+
+@query
+def scd2_big_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 ordered by integers that a double cannot tell apart."""
+    changes = table(spark, sf_dir, "events").select(
+        "user_id", (F.col("event_id") + F.lit(1 << 60)).alias("ts"), "event_type"
+    )
+    return history.history_from_changes(changes, ["user_id"], "ts")
+
+
+@query
+def scd2_null_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 with a fifth of the users unknown: the null key has a history like any other."""
+    user = F.when(F.col("user_id") % 5 != 0, F.col("user_id"))
+    changes = _user_changes(spark, sf_dir).withColumn("user_id", user)
+    return history.history_from_changes(changes, ["user_id"], "ts")
 
 
 @query
