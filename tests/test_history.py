@@ -185,3 +185,10 @@ def test_snapshot_refusals(spark):
     first = history_from_snapshot(None, snap(spark, [(1, "a")]), ["k"], F.lit(at(3)))
     with pytest.raises(PySparkException, match="not newer"):
         history_from_snapshot(first, snap(spark, [(1, "b")]), ["k"], F.lit(at(3))).collect()
+
+
+def test_null_key_of_a_snapshot_stays_open(spark):
+    one = spark.createDataFrame([(None, "a"), (1, "b")], "k INT, v STRING")
+    first = history_from_snapshot(None, one, ["k"], F.lit(at(0)))
+    second = history_from_snapshot(first, one, ["k"], F.lit(at(1)))
+    assert second.count() == 2 and current(second).count() == 2

@@ -63,10 +63,14 @@ def test_plain_arrays_and_flat_frames_are_untouched(spark):
     assert nested.flatten(df) is df
 
 
-def test_depth_limit_leaves_the_rest_nested(spark):
-    df = make(spark, ['{"a":{"b":{"c":1}}}'], "a STRUCT<b: STRUCT<c: INT>>")
-    assert nested.flatten(df, max_passes=1).columns == ["a_b"]
-    assert nested.flatten(df, "__").columns == ["a__b__c"]
+def test_any_depth_is_opened(spark):
+    kind = "v INT"
+    text = '{"v":1}'
+    for _ in range(15):
+        kind, text = f"x STRUCT<{kind.replace(' ', ': ', 1)}>", f'{{"x":{text}}}'
+    df = nested.flatten(make(spark, [text], kind))
+    assert df.columns == ["_".join(["x"] * 15 + ["v"])]
+    assert df.first()[0] == 1
 
 
 def test_name_collision_is_refused(spark):

@@ -73,5 +73,11 @@ def test_team_summary_combines_before_the_shuffle(spark):
 def test_few_updates_leave_a_large_target_unshuffled(spark):
     target = table(spark, SF_DIR, "orders").select("o_orderkey", "o_orderstatus")
     updates = spill(target.filter("o_orderstatus = 'P'").limit(3), "updates")
-    merged = plan(progress.upsert(target, updates, ["o_orderkey"]))
+    merged = plan(progress.upsert(target, updates, ["o_orderkey"], few=True))
     assert "Exchange hashpartitioning" not in merged
+
+
+def test_upsert_reads_its_target_once(spark):
+    target = table(spark, SF_DIR, "orders").select("o_orderkey", "o_orderstatus")
+    updates = spill(target.limit(3), "updates")
+    assert plan(progress.upsert(target, updates, ["o_orderkey"])).count("orders.parquet") == 1

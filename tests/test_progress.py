@@ -125,3 +125,20 @@ def test_grid_and_new_leagues(spark, rows):
         (1, 2023, 1), (1, 2024, 0), (2, 2023, 0), (2, 2024, 0),
     ]
     assert more.schema["fetched_percentage"].dataType == done.schema["fetched_percentage"].dataType
+
+
+def test_repeated_updates_are_one(spark, rows):
+    target = spark.createDataFrame([(1, "a")], "k INT, v STRING")
+    updates = spark.createDataFrame([(1, "b"), (1, "c"), (2, "d"), (2, "d")], "k INT, v STRING")
+    for few in (False, True):
+        assert rows(progress.upsert(target, updates, ["k"], few)) == [(1, "c"), (2, "d")]
+
+
+def test_emptied_league_is_zero(spark, rows):
+    state = tracking(spark, BASE)
+    done = progress.league_progress(state, F.lit(T0))
+    left = progress.reset_league(state, 200)
+    leagues = spark.createDataFrame([(200,)], "league_id BIGINT")
+    fresh = progress.refresh_progress(done, left, F.lit(T1), leagues)
+    assert rows(fresh.filter("league_id = 200")) == [(200, 2023, 0, 0, 0.0, False, T1)]
+    assert fresh.count() == 3

@@ -79,3 +79,29 @@ def test_empty_state_is_refused(spark, tmp_path):
     with pytest.raises(ValueError, match="fixture_tracking is empty"):
         tracking.load(spark, path)
     assert empty.isEmpty()
+
+
+def test_reset_and_reconcile_are_stored(spark, rows, root, tmp_path):
+    payloads = landed(spark, tmp_path / "in", [1, 2, 3])
+    tracking.record(payloads, root, F.lit(T0))
+    ids = spark.createDataFrame([(3,)], "fixture_id BIGINT")
+    tracking.reset(spark, root, ids, F.lit(T1))
+    state = tracking.load(spark, root)
+    assert rows(state.fixtures, "fixture_id") == [(1,), (2,), (4,)]
+    assert rows(state.leagues.filter("league_id = 20"), "total_fixtures", "is_complete") == [(0, False)]
+    kept = tracking.reconcile(payloads.filter("fixture_id <> 2"), root, F.lit(T1))
+    assert rows(kept, "fixture_id") == [(1,)]
+    state = tracking.load(spark, root)
+    assert rows(state.fixtures, "fixture_id", "is_fetched_stat") == [(1, True), (2, False), (4, False)]
+    assert rows(state.leagues.filter("league_id = 10"), "fetched_count") == [(1,)]
+
+
+def test_unknown_fixture_without_season_is_refused(spark, root, tmp_path):
+    from pyspark.errors import PySparkException
+
+    stray = landed(spark, tmp_path / "in", [1]).withColumn("fixture_id", F.lit(99).cast("bigint"))
+    with pytest.raises(PySparkException, match="null in column season"):
+        tracking.record(stray, root, F.lit(T1))
+    known = stray.withColumn("season", F.lit(2024))
+    tracking.record(known, root, F.lit(T1))
+    assert tracking.load(spark, root).fixtures.filter("fixture_id = 99").first().season == 2024

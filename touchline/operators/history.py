@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -120,7 +121,8 @@ def history_from_snapshot(
     A new key opens a version, a changed row closes its version and opens another, a key
     that is missing closes.  Open versions meet the snapshot in one full outer join; closed
     versions pass through untouched.  A key twice in one snapshot, or a snapshot that is not
-    newer than an open version, is refused when the result is computed.
+    newer than an open version, is refused when the result is computed.  A null key is a key
+    like any other.
     """
     columns = snapshot.columns
     fresh = F.struct(*columns, at.alias(START), F.lit(None).alias(END))
@@ -133,8 +135,12 @@ def history_from_snapshot(
     tracked = [c for c in columns if c not in {*keys, *ignore}]
     ends = history.schema[END].dataType
     fresh = F.struct(*columns, at.cast(ends).alias(START), F.lit(None).cast(ends).alias(END))
-    old = current(history).select(*keys, F.struct(*columns, START, END).alias("__old"))
-    new = _one_row_per_key(snapshot, keys).select(*keys, fresh.alias("__new"))
+    old = current(history).select(
+        *[F.col(k).alias(f"__old_{k}") for k in keys], F.struct(*columns, START, END).alias("__old")
+    )
+    new = _one_row_per_key(snapshot, keys).select(
+        *[F.col(k).alias(f"__new_{k}") for k in keys], fresh.alias("__new")
+    )
 
     def values(side: str) -> Column:
         return F.struct(*[F.col(side)[c].alias(c) for c in [*keys, *tracked]])
@@ -147,7 +153,10 @@ def history_from_snapshot(
         F.when(had, F.col("__old").withField(END, F.when(~same, closing))),
         F.when(has & ~same, F.col("__new")),
     )
-    moved = old.join(new, list(keys), "full_outer").select(
+    same_key = reduce(
+        lambda a, b: a & b, (F.col(f"__old_{k}").eqNullSafe(F.col(f"__new_{k}")) for k in keys)
+    )
+    moved = old.join(new, same_key, "full_outer").select(
         F.inline(F.filter(outcome, lambda v: v.isNotNull()))
     )
     closed = history.filter(F.col(END).isNotNull())

@@ -59,22 +59,21 @@ def _quoted(name: str) -> Column:
     return F.col(f"`{name.replace('`', '``')}`")
 
 
-def flatten(df: DataFrame, separator: str = "_", max_passes: int = 10) -> DataFrame:
+def flatten(df: DataFrame, separator: str = "_") -> DataFrame:
     """C4: open structs and arrays of structs until only plain columns are left.
 
     Each pass unrolls the arrays of structs present at its start, in column order, then
-    opens all structs by one level.  Several arrays in one row multiply.  Arrays of plain
-    values stay.  What is nested deeper than ``max_passes`` is left as it is.  Only the
-    schema is walked; the result is a chain of projections and generators.
+    opens all structs by one level, to the end of the schema.  Several arrays in one row
+    multiply.  Arrays of plain values stay.  Only the schema is walked; the result is a
+    chain of projections and generators.
     """
-    for _ in range(max_passes):
+    while True:
         lists = [f.name for f in df.schema if _is_record_list(f.dataType)]
         if not lists and not any(_is_record(f.dataType) for f in df.schema):
-            break
+            return df
         for column in lists:
             df = unroll(df, column, separator)
         df = open_records(df, separator)
-    return df
 
 
 def parse_envelope(

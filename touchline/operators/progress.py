@@ -11,27 +11,35 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from touchline.operators.history import newest_per_key
+
 PROGRESS_KEYS = ("league_id", "year")
 
 
-def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
+def upsert(
+    target: DataFrame, updates: DataFrame, keys: Sequence[str], few: bool = False
+) -> DataFrame:
     """A full outer merge on the keys; a non-null update wins over the target's value.
 
-    Written as a left join plus the updates of unknown keys, because updates are usually few:
-    both joins against the large target can then broadcast them (when the planner finds them
-    small enough), where a full outer join would always shuffle the target.
+    Several updates of one key count as one, the largest by their columns, so no row of the
+    target is multiplied.  The target is read once.  A caller who knows that updates are
+    ``few`` gets a left join plus the updates of unknown keys: that reads the target twice,
+    but may broadcast the updates and then leaves the target where it is.
     """
     given = [c for c in target.columns if c not in keys and c in updates.columns]
-    incoming = updates.select(*keys, F.struct(*given).alias("__new"))
-    merged = target.join(incoming, list(keys), "left").select(
+    reduced = newest_per_key(updates.select(*keys, *given), keys)
+    incoming = reduced.select(*keys, F.struct(*given).alias("__new"))
+    merged = target.join(incoming, list(keys), "left" if few else "full_outer").select(
         *[
             F.coalesce(F.col("__new")[c], F.col(c)).alias(c) if c in given else F.col(c)
             for c in target.columns
         ]
     )
-    known = target.select(*keys).join(updates.select(*keys), list(keys), "left_semi")
-    unknown = updates.join(known, list(keys), "left_anti")
-    return merged.unionByName(unknown.select(*keys, *given), allowMissingColumns=True)
+    if not few:
+        return merged
+    known = target.select(*keys).join(reduced.select(*keys), list(keys), "left_semi")
+    unknown = reduced.join(known, list(keys), "left_anti")
+    return merged.unionByName(unknown, allowMissingColumns=True)
 
 
 def initial_tracking(fixtures: DataFrame) -> DataFrame:
@@ -70,8 +78,11 @@ def _share(part: Column, whole: Column) -> Column:
 
 
 def mark_fetched(tracking: DataFrame, ids: DataFrame, at: Column) -> DataFrame:
-    """M3: set flag and time for the fixtures in ``ids`` (fixture_id, and league if new)."""
-    updates = ids.dropDuplicates(["fixture_id"]).withColumns(
+    """M3: set flag and time for the fixtures in ``ids``.
+
+    ``ids`` has fixture_id and, for fixtures that are not tracked yet, league_id and season.
+    """
+    updates = ids.withColumns(
         {"is_fetched_stat": F.lit(True), "fetch_stat_time": at}
     )
     return upsert(tracking, updates, ["fixture_id"])
@@ -80,10 +91,31 @@ def mark_fetched(tracking: DataFrame, ids: DataFrame, at: Column) -> DataFrame:
 def refresh_progress(
     progress: DataFrame, tracking: DataFrame, at: Column, leagues: DataFrame | None = None
 ) -> DataFrame:
-    """M3, M4: recompute progress from tracking (of some leagues only) and upsert it."""
+    """M3, M4: recompute progress from tracking (of some leagues only) and upsert it.
+
+    A league and season of which tracking has no fixture any more gets zeros and is not
+    complete.
+    """
+    known = progress.select(*PROGRESS_KEYS)
     if leagues is not None:
-        tracking = tracking.join(leagues.select("league_id").distinct(), "league_id", "left_semi")
-    return upsert(progress, league_progress(tracking, at), PROGRESS_KEYS)
+        wanted = leagues.select("league_id").distinct()
+        tracking = tracking.join(wanted, "league_id", "left_semi")
+        known = known.join(wanted, "league_id", "left_semi")
+    counted = league_progress(tracking, at)
+    emptied = _nothing(known.join(counted, list(PROGRESS_KEYS), "left_anti"), at)
+    return upsert(progress, counted.unionByName(emptied), PROGRESS_KEYS)
+
+
+def _nothing(keys: DataFrame, at: Column) -> DataFrame:
+    """Progress rows without fixtures."""
+    return keys.select(
+        *PROGRESS_KEYS,
+        F.lit(0).alias("total_fixtures"),
+        F.lit(0).alias("fetched_count"),
+        F.lit(0.0).cast("float").alias("fetched_percentage"),
+        F.lit(False).alias("is_complete"),
+        at.alias("last_updated"),
+    )
 
 
 def of_league(df: DataFrame, league_id: int) -> DataFrame:
@@ -175,14 +207,7 @@ def add_leagues(progress: DataFrame, leagues: DataFrame, at: Column) -> DataFram
     pairs = leagues.select(
         F.col("league_id").cast("bigint"), F.col("year").cast("int")
     ).distinct()
-    empty = pairs.join(progress, list(PROGRESS_KEYS), "left_anti").select(
-        *PROGRESS_KEYS,
-        F.lit(0).alias("total_fixtures"),
-        F.lit(0).alias("fetched_count"),
-        F.lit(0.0).cast("float").alias("fetched_percentage"),
-        F.lit(False).alias("is_complete"),
-        at.alias("last_updated"),
-    )
+    empty = _nothing(pairs.join(progress, list(PROGRESS_KEYS), "left_anti"), at)
     return progress.unionByName(empty)
 
 

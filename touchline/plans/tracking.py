@@ -15,7 +15,7 @@ from touchline.operators import progress
 from touchline.operators.quality import require_rows
 from touchline.schemas import table_layout
 from touchline.sinks.manifests import record_manifest
-from touchline.sinks.tables import write_version
+from touchline.sinks.tables import conform, write_version
 from touchline.sources.tables import newest_version, read_version
 
 FIXTURES, LEAGUES = "fixture_tracking", "league_progress"
@@ -57,10 +57,12 @@ def next_batch(spark: SparkSession, root: str, limit: int = 10) -> DataFrame:
 def record(payloads: DataFrame, root: str, at: Column) -> DataFrame:
     """M3 for landed payloads (with their source file); returns the batch manifest.
 
-    Every payload carries its own league, so a batch may span leagues.
+    Every payload carries its own league, so a batch may span leagues.  A fixture that is not
+    tracked yet needs a ``season`` in its payload; without one the step is refused.
     """
     state = load(payloads.sparkSession, root)
-    ids = payloads.select("fixture_id")
+    given = [c for c in ("fixture_id", "league_id", "season") if c in payloads.columns]
+    ids = payloads.select(*given)
     fixtures = progress.mark_fetched(state.fixtures, ids, at)
     leagues = progress.refresh_progress(
         state.leagues, fixtures, at, payloads.select("league_id")
@@ -69,6 +71,34 @@ def record(payloads: DataFrame, root: str, at: Column) -> DataFrame:
     return record_manifest(payloads, ["fixture_id", "league_id"], at)
 
 
+def reset(spark: SparkSession, root: str, ids: DataFrame, at: Column, keep_rows: bool = False) -> None:
+    """Forget fixtures (or mark them unfetched) and refresh the progress of their leagues."""
+    state = load(spark, root)
+    touched = state.fixtures.join(ids.select("fixture_id"), "fixture_id", "left_semi")
+    fixtures = progress.reset_fixtures(state.fixtures, ids, keep_rows)
+    leagues = progress.refresh_progress(
+        state.leagues, fixtures, at, touched.select("league_id")
+    )
+    _store(root, state.version + 1, fixtures, leagues)
+
+
+def reconcile(payloads: DataFrame, root: str, at: Column) -> DataFrame:
+    """The payload rows that tracking knows as fetched; stored state follows the payloads.
+
+    Fixtures marked as fetched without any payload are marked unfetched again, and the
+    progress of their leagues is refreshed.
+    """
+    state = load(payloads.sparkSession, root)
+    lost = progress.fetched(state.fixtures).join(
+        payloads.select("fixture_id"), "fixture_id", "left_anti"
+    )
+    reset(payloads.sparkSession, root, lost.select("fixture_id"), at, keep_rows=True)
+    return progress.reconcile(payloads, state.fixtures)
+
+
 def _store(root: str, version: int, fixtures: DataFrame, leagues: DataFrame) -> None:
+    """Both tables in their declared layouts; nulls where none may be stop the write."""
+    fixtures = conform(fixtures, table_layout(FIXTURES), FIXTURES)
+    leagues = conform(leagues, table_layout(LEAGUES), LEAGUES)
     write_version(fixtures, f"{root}/{FIXTURES}", version, "json", ["league_id"])
     write_version(leagues, f"{root}/{LEAGUES}", version, "json")

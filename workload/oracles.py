@@ -681,3 +681,51 @@ ORACLES["empty_payloads"] = """
   SELECT o_orderkey AS id FROM orders
   WHERE o_orderpriority LIKE '1%' AND o_orderstatus <> 'P'
 """
+
+# --- added with the second round ---------------------------------------------------------------
+
+oracle(
+    "reset_and_refresh",
+    """
+  SELECT league_id, season AS year,
+         CAST(count(*) FILTER (WHERE season <> 1996) AS INTEGER) AS total_fixtures,
+         CAST(count(*) FILTER (WHERE season <> 1996 AND is_fetched_stat) AS INTEGER) AS fetched_count,
+         CAST(round(count(*) FILTER (WHERE season <> 1996 AND is_fetched_stat) / count(*) * 100, 2)
+              AS FLOAT) AS fetched_percentage,
+         season <> 1996 AND count(*) FILTER (WHERE is_fetched_stat) >= count(*) AS is_complete,
+         TIMESTAMP '2024-08-02 00:00:00' AS last_updated
+  FROM tracking GROUP BY league_id, season
+""",
+    "tracking",
+)
+oracle(
+    "tracking_loop",
+    """
+  SELECT league_id, season AS year,
+         CAST(CASE WHEN season = 1996 THEN 0 ELSE count(*) END AS INTEGER) AS total_fixtures,
+         CAST(CASE WHEN season <> 1996 AND league_id = 3 THEN count(*) ELSE 0 END AS INTEGER)
+           AS fetched_count,
+         CAST(CASE WHEN season <> 1996 AND league_id = 3 THEN 100 ELSE 0 END AS FLOAT)
+           AS fetched_percentage,
+         season <> 1996 AND league_id = 3 AS is_complete,
+         CASE WHEN bool_or(season = 1996) OVER (PARTITION BY league_id)
+                THEN TIMESTAMP '2024-08-03 00:00:00'
+              WHEN league_id = 3 THEN TIMESTAMP '2024-08-02 00:00:00'
+              ELSE TIMESTAMP '2024-08-01 06:00:00' END AS last_updated
+  FROM fixtures GROUP BY league_id, season
+""",
+    "fixtures",
+)
+ORACLES["upsert_repeated_keys"] = """
+  SELECT coalesce(c_custkey, o_custkey) AS c_custkey,
+         coalesce(priority, c_mktsegment) AS c_mktsegment, c_acctbal
+  FROM customer
+  FULL JOIN (SELECT o_custkey, max(o_orderpriority) AS priority FROM orders GROUP BY 1) AS u
+    ON c_custkey = o_custkey
+"""
+oracle(
+    "preview",
+    "SELECT fixture_id, league_id, season FROM fixtures ORDER BY fixture_id LIMIT 10",
+    "fixtures",
+)
+ORACLES["flatten_deep"] = "SELECT o_orderkey, o_totalprice FROM orders"

@@ -12,6 +12,7 @@ from touchline.functions import parsing, scores
 from touchline.functions.calendar import calendar_covering, date_key, season_label
 from touchline.operators import history, nested, pivot, progress, quality, sides
 from touchline.operators.keys import dense_key, spread_key
+from touchline.plans import tracking as tracking_plan
 from touchline.plans import bronze, gold, silver
 from touchline.scratch import scratch_dir, spill
 from touchline.sinks import manifests, tables as sinks
@@ -251,6 +252,17 @@ EVENT_MEASURES = {
 }
 
 
+@query
+def flatten_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C4 over a record twelve levels deep."""
+    deep = F.struct(F.col("o_totalprice").alias("v"))
+    for _ in range(11):
+        deep = F.struct(deep.alias("x"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", deep.alias("o"))
+    opened = nested.flatten(orders)
+    return opened.select("o_orderkey", F.col(opened.columns[-1]).alias("o_totalprice"))
+
+
 @query
 def pivot_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").select(
@@ -773,6 +785,51 @@ def reset_tracking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return progress.reset_league(progress.reset_fixtures(tracking, ids), 3, keep_rows=True)
 
 
+@query
+def reset_and_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole season forgotten; its leagues keep progress rows with zeros."""
+    tracking = frame(spark, sf_dir, "tracking")
+    left = progress.reset_fixtures(
+        tracking, tracking.filter(F.col("season") == 1996).select("fixture_id")
+    )
+    return progress.refresh_progress(
+        _progress(spark, sf_dir), left, _at("2024-08-02 00:00:00")
+    )
+
+
+@query
+def tracking_loop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored tracking started, a league fetched, one season reset; the last progress."""
+    fixtures = frame(spark, sf_dir, "fixtures").select("fixture_id", "league_id", "season")
+    root = scratch_dir(spark, "tracking-loop")
+    tracking_plan.start(fixtures, root, _at().cast("timestamp"))
+    payloads = fixtures.filter(F.col("league_id") == 3).select(
+        "fixture_id", "league_id", F.lit("league_3.json").alias(landing.SOURCE_FILE)
+    )
+    tracking_plan.record(payloads, root, _at("2024-08-02 00:00:00").cast("timestamp"))
+    gone = fixtures.filter(F.col("season") == 1996).select("fixture_id")
+    tracking_plan.reset(spark, root, gone, _at("2024-08-03 00:00:00").cast("timestamp"))
+    leagues = tracking_plan.load(spark, root).leagues
+    return leagues.withColumn("last_updated", F.col("last_updated").cast("timestamp_ntz"))
+
+
+@query
+def upsert_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1 with several updates of one key: the largest counts, no row is multiplied."""
+    target = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    updates = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("c_custkey"), F.col("o_orderpriority").alias("c_mktsegment")
+    )
+    return progress.upsert(target, updates, ["c_custkey"])
+
+
+@query
+def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first ten fixtures by id; the limit is the feature."""
+    rows = frame(spark, sf_dir, "fixtures").select("fixture_id", "league_id", "season")
+    return rows.orderBy("fixture_id").limit(10)
+
+
 @query
 def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics payload rows of fixtures that tracking knows as fetched."""
