@@ -180,7 +180,10 @@ def repeated_spans(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
         owners.select(F.col("doc").alias("__doc")).union(copies.select("doc")).distinct(), "repeat-ids"
     )
     held = spill(
-        texts.join(concerned, F.col("doc") == F.col("__doc"), "left_semi").dropDuplicates(["doc"]),
+        # Texts move to the ids at every size alike.
+        texts.join(concerned.hint("merge"), F.col("doc") == F.col("__doc"), "left_semi").dropDuplicates(
+            ["doc"]
+        ),
         "repeat-texts",
     )
     compared = spill(_compared(_contexts(owners, held)), "repeat-compared")
