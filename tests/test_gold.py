@@ -1,6 +1,7 @@
 """Star schema on a small league, and the whole load from landed files."""
 
 import json
+import os
 from datetime import date, datetime
 
 import pytest
@@ -231,3 +232,57 @@ def test_star_joins_are_not_gathered(load):
     star = [load.table("gold", f"dim_{n}") for n in ("fixtures", "teams", "leagues", "dates")]
     plan = gold.match_star(*star)._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_second_run_keeps_history_and_tracking(spark, rows, tmp_path):
+    def land(name, records):
+        path = tmp_path / "landing" / f"{name}.json"
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(json.dumps(records))
+
+    tables = [t for t in catalog.TABLES if t[0] != "gold" and t[1] not in ("leagues",)]
+    work = {
+        day: catalog.Load(spark, str(tmp_path / "landing"), str(tmp_path / "lake"), datetime(2024, 8, day))
+        for day in (1, 2)
+    }
+    land("teams/a", [{"team": {"id": 10, "name": "Reds"}}])
+    land("fixtures/a", [fixture(1, 10, 20, "2023-08-12", (0, 0)), fixture(2, 10, 20, "2023-08-13", (1, 0))])
+    land("fixture_stats/a", [{"fixture_id": 1, "league_id": 39, "stats": [entry(10, Fouls="3")]}])
+    catalog.run(work[1], tables)
+    # two files of one run say different things about team 10: the larger file name decides
+    land("teams/b", [{"team": {"id": 10, "name": "Zzz"}}])
+    land("teams/c", [{"team": {"id": 10, "name": "Crimson"}}])
+    land("fixtures/b", [fixture(1, 10, 20, "2023-08-12", (2, 1)), fixture(3, 10, 20, "2023-08-14", (1, 1))])
+    land("fixture_stats/b", [{"fixture_id": 1, "league_id": 39, "stats": [entry(10, Fouls="4")]}])
+    for name in ("b", "c"):
+        os.utime(tmp_path / "landing" / "teams" / f"{name}.json", (1.8e9, 1.8e9))
+    catalog.run(work[2], tables)
+    load, first, second = work[2], datetime(2024, 8, 1), datetime(2024, 8, 2)
+    assert load.table("bronze", "fixtures").count() == 4
+    assert rows(load.table("silver", "teams"), "name", "__START_AT", "__END_AT") == [
+        ("Crimson", second, None), ("Reds", first, second),
+    ]
+    assert rows(load.table("silver", "fixtures"), "fixture_id", "goals_home", "__START_AT", "__END_AT") == [
+        (1, 0, first, second), (1, 2, second, None), (2, 1, first, None), (3, 1, second, None),
+    ]
+    assert rows(load.table("silver", "fixture_stats"), "fouls", "__START_AT", "__END_AT") == [
+        (3, first, second), (4, second, None),
+    ]
+    tracked = load.table("staging", "fixture_tracking")
+    assert rows(tracked, "fixture_id") == [(1,), (2,), (3,)]
+    assert load.table("staging", "team_manifest").count() == 3
+    assert rows(load.table("staging", "fixture_stats_manifest"), "fixture_id", "batch_row_count") == [
+        (1, 1), (1, 1),
+    ]
+
+
+def test_wrong_frames_stop_a_run(load, monkeypatch):
+    where = ("gold", "dim_leagues")
+    step, by = catalog.TABLES[where]
+    for wrong in (lambda x: step(x).drop("country"), lambda x: step(x).withColumn("name", F.lit(1))):
+        monkeypatch.setitem(catalog.TABLES, where, (wrong, by))
+        with pytest.raises(ValueError, match="dim_leagues"):
+            catalog.run(load, [where])
+    leagues = load.table("silver", "leagues")
+    with pytest.raises(ValueError, match="missing columns country"):
+        gold.dim_leagues(leagues.drop("country"))

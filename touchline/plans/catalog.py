@@ -1,22 +1,45 @@
-"""All tables in load order, and a batch run over a landing folder."""
+"""All tables in load order, and batch runs over a landing folder.
+
+Runs are incremental.  Bronze tables and manifests get the files they have not seen yet,
+stamped with the run's time.  Histories of teams and fixtures are functions of that log, so
+they keep every version and take late files exactly; rows of one time are decided by file
+time and name.  Statistics carry their stored history through each snapshot.  Tracking keeps
+its rows and gets the new fixtures.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructField, StructType
 
 from touchline import schemas
 from touchline.operators import progress
+from touchline.operators.history import newest_per_key
 from touchline.plans import bronze, gold, silver
-from touchline.sinks.manifests import landing_manifest
+from touchline.scratch import spill
+from touchline.sinks.manifests import landing_manifest, record_manifest
 from touchline.sinks.tables import write_table
-from touchline.sources.landing import read_landing, with_source_file
+from touchline.sources.landing import FILE_TIME, INGESTED, SOURCE_FILE, read_landing, with_file_order
 from touchline.sources.tables import read_table, table_path
 
 
+def declared_layout(layer: str, name: str) -> StructType | None:
+    """Columns and types of a table, if it has a declared layout.
+
+    Nulls are let through: matches that are not played have no score, and facts keep rows
+    whose team or league is unknown.
+    """
+    declared = {("silver", "fixtures"): "silver_fixture_history"}.get((layer, name), name)
+    if layer not in ("silver", "gold") or declared not in schemas.TABLES:
+        return None
+    return StructType([StructField(f.name, f.dataType) for f in schemas.table_layout(declared)])
+
+
 @dataclass(frozen=True)
 class Load:
     """What one batch run works on."""
@@ -26,28 +49,68 @@ class Load:
     root: str  # layer tables go below this folder
     at: datetime
     seasons: str = "season"
-
-    def raw(self, name: str, ddl: str) -> DataFrame:
-        return read_landing(self.spark, f"{self.landing}/{name}", ddl)
+    multi_line: bool = True  # files hold JSON arrays; False for one record per line
+
+    def new(self, name: str, ddl: str) -> DataFrame:
+        """Landed rows of the files that the bronze table does not hold yet."""
+        landed = read_landing(self.spark, f"{self.landing}/{name}", ddl, self.multi_line)
+        rows, known = with_file_order(landed), self.stored("bronze", name)
+        if known is None:
+            return rows
+        return rows.join(known.select(SOURCE_FILE).distinct(), SOURCE_FILE, "left_anti")
+
+    def stored(self, layer: str, name: str) -> DataFrame | None:
+        """The table as an earlier run left it, if there was one."""
+        try:
+            return self.table(layer, name)
+        except AnalysisException:
+            return None
 
     def table(self, layer: str, name: str) -> DataFrame:
-        declared = {("silver", "fixtures"): "silver_fixture_history"}.get((layer, name), name)
-        known = layer in ("silver", "gold") and declared in schemas.TABLES
-        layout = schemas.table_layout(declared) if known else None
-        return read_table(self.spark, self.root, layer, name, layout)
+        return read_table(self.spark, self.root, layer, name, declared_layout(layer, name))
 
 
 Step = Callable[[Load], DataFrame]
 
 
 def _manifest(load: Load) -> DataFrame:
-    rows = with_source_file(load.raw("fixtures", schemas.RAW_FIXTURE))
+    rows = load.new("fixtures", schemas.RAW_FIXTURE)
     keyed = rows.withColumns(
         {"league_id": F.col("league.id"), "year": F.col("league.season")}
     )
     return landing_manifest(keyed, ["league_id", "year"], F.lit(load.at))
 
 
+def _team_manifest(load: Load) -> DataFrame:
+    return landing_manifest(load.new("teams", schemas.RAW_TEAM), [], F.lit(load.at))
+
+
+def _stats_manifest(load: Load) -> DataFrame:
+    rows = load.new("fixture_stats", schemas.RAW_FIXTURE_STATS)
+    return record_manifest(rows, ["fixture_id", "league_id"], F.lit(load.at))
+
+
+def _tracking(load: Load) -> DataFrame:
+    """One row per fixture, from its newest payload; known fixtures keep their state."""
+    rows = load.table("bronze", "fixtures").withColumnRenamed("league_season", "season")
+    order = [INGESTED, FILE_TIME, SOURCE_FILE]
+    newest = newest_per_key(
+        rows.select("fixture_id", "league_id", "season", *order), ["fixture_id"], order
+    )
+    fresh, known = progress.initial_tracking(newest), load.stored("staging", "fixture_tracking")
+    if known is None:
+        return fresh
+    added = fresh.join(known, "fixture_id", "left_anti")
+    return spill(known.unionByName(added), "tracking")
+
+
+def _stats_history(load: Load) -> DataFrame:
+    known = load.stored("silver", "fixture_stats")
+    rows = load.table("silver_intermediate", "fixture_stats")
+    # Written aside first, as the table that is read is about to be replaced.
+    return spill(silver.fixture_stats(known, rows, F.lit(load.at)), "stats-history")
+
+
 def _history(load: Load, name: str) -> DataFrame:
     changes = load.table("silver_intermediate", name)
     return (silver.teams if name == "teams" else silver.fixtures)(changes)
@@ -64,6 +127,8 @@ def _stats(load: Load, *others: str) -> list[DataFrame]:
 # (layer, table) -> how it is computed and how it is partitioned; order is load order.
 TABLES: dict[tuple[str, str], tuple[Step, tuple[str, ...]]] = {
     ("staging", "fixture_manifest"): (_manifest, ()),
+    ("staging", "team_manifest"): (_team_manifest, ()),
+    ("staging", "fixture_stats_manifest"): (_stats_manifest, ()),
     ("bronze", "leagues"): (
         lambda x: bronze.leagues(
             x.spark.read.schema(schemas.ENVELOPE).json(f"{x.landing}/leagues"), x.seasons
@@ -71,23 +136,18 @@ TABLES: dict[tuple[str, str], tuple[Step, tuple[str, ...]]] = {
         (),
     ),
     ("bronze", "teams"): (
-        lambda x: bronze.flattened(x.raw("teams", schemas.RAW_TEAM), x.at), (),
+        lambda x: bronze.flattened(x.new("teams", schemas.RAW_TEAM), x.at), (),
     ),
     ("bronze", "fixtures"): (
-        lambda x: bronze.flattened(x.raw("fixtures", schemas.RAW_FIXTURE), x.at), (),
+        lambda x: bronze.flattened(x.new("fixtures", schemas.RAW_FIXTURE), x.at), (),
     ),
     ("bronze", "fixture_stats"): (
         lambda x: bronze.fixture_stats(
-            x.raw("fixture_stats", schemas.RAW_FIXTURE_STATS), x.at
-        ),
-        (),
-    ),
-    ("staging", "fixture_tracking"): (
-        lambda x: progress.initial_tracking(
-            x.table("bronze", "fixtures").withColumnRenamed("league_season", "season")
+            x.new("fixture_stats", schemas.RAW_FIXTURE_STATS), x.at
         ),
         (),
     ),
+    ("staging", "fixture_tracking"): (_tracking, ()),
     ("staging", "league_progress"): (
         lambda x: progress.league_progress(
             x.table("staging", "fixture_tracking"), F.lit(x.at)
@@ -106,12 +166,7 @@ TABLES: dict[tuple[str, str], tuple[Step, tuple[str, ...]]] = {
     ("silver_intermediate", "fixture_stats"): (
         lambda x: silver.stats_from_rows(x.table("bronze", "fixture_stats")), (),
     ),
-    ("silver", "fixture_stats"): (
-        lambda x: silver.fixture_stats(
-            None, x.table("silver_intermediate", "fixture_stats"), F.lit(x.at)
-        ),
-        (),
-    ),
+    ("silver", "fixture_stats"): (_stats_history, ()),
     ("gold", "dim_dates"): (
         lambda x: gold.calendar_covering(x.table("silver", "fixtures"), "date"), (),
     ),
@@ -143,7 +198,26 @@ TABLES: dict[tuple[str, str], tuple[Step, tuple[str, ...]]] = {
 }
 
 
-def run(load: Load) -> None:
-    """Compute and write every table, in order."""
+# Tables that a run adds to; all others it replaces.
+APPENDED = {
+    ("staging", "fixture_manifest"),
+    ("staging", "team_manifest"),
+    ("staging", "fixture_stats_manifest"),
+    ("bronze", "teams"),
+    ("bronze", "fixtures"),
+    ("bronze", "fixture_stats"),
+}
+
+
+def run(load: Load, only: Sequence[tuple[str, str]] | None = None) -> None:
+    """Compute and write every table (or those of ``only``), in load order.
+
+    A table with a declared layout is checked against it; a wrong frame stops the run.
+    """
     for (layer, name), (step, partition_by) in TABLES.items():
-        write_table(step(load), table_path(load.root, layer, name), partition_by=partition_by)
+        if only is not None and (layer, name) not in only:
+            continue
+        mode = "append" if (layer, name) in APPENDED else "overwrite"
+        path = table_path(load.root, layer, name)
+        layout = declared_layout(layer, name)
+        write_table(step(load), path, layout, partition_by, mode)

@@ -20,8 +20,12 @@ def _open_versions(silver: DataFrame, all_versions: bool) -> DataFrame:
 
 
 def _laid_out(df: DataFrame, table: str) -> DataFrame:
+    """The declared columns in their order; a missing one is an error."""
     names = table_layout(table).names
-    return df.select(*[c for c in names if c in df.columns])
+    missing = [c for c in names if c not in df.columns]
+    if missing:
+        raise ValueError(f"{table}: missing columns {', '.join(missing)}")
+    return df.select(*names)
 
 
 # --- dimensions --------------------------------------------------------------------

@@ -14,6 +14,7 @@ from touchline.operators.nested import column_or, map_columns
 from touchline.operators.pivot import entry_columns, pivot_rows
 from touchline.operators.quality import drop_violations, gate
 from touchline.schemas import table_layout
+from touchline.sources.landing import FILE_TIME, INGESTED, SOURCE_FILE
 
 # Fixed values: (flattened source, target, type) of every carried column.
 LEAGUE_MAP = (
@@ -98,7 +99,7 @@ STATISTICS = {
     "expected_goals_rate": ("expected_goals", parsing.real_2),
 }
 
-# Statistics that are left out of a payload when nothing happened.
+# Statistics that are left out of a payload when nothing happened.
 ZERO_WHEN_MISSING = ("yellow_cards", "red_cards", "offsides", "fouls", "corner_kicks")
 
 
@@ -108,26 +109,43 @@ def leagues(bronze: DataFrame, check: bool = True) -> DataFrame:
     return gate(rows, "silver_leagues") if check else rows
 
 
+# Columns that order rows of one ingestion time: the later file, then the larger name.
+FILE_ORDER = (FILE_TIME, SOURCE_FILE)
+
+
+def _file_order(bronze: DataFrame) -> tuple[tuple[str, str, None], ...]:
+    return tuple((c, c, None) for c in FILE_ORDER if c in bronze.columns)
+
+
+def _history(changes: DataFrame, key: str, ignore: tuple[str, ...] | None) -> DataFrame:
+    """Versions by ingestion time; equal times are decided by the file, which then goes."""
+    files = [c for c in FILE_ORDER if c in changes.columns]
+    ignored = (INGESTED,) if ignore is None else ignore
+    return history_from_changes(changes, [key], INGESTED, (*ignored, *files), files).drop(*files)
+
+
 def team_changes(bronze: DataFrame) -> DataFrame:
     """Typed team rows that have an id, ready for the history."""
-    return drop_violations(map_columns(bronze, TEAM_MAP), valid_team_id="team_id IS NOT NULL")
+    rows = map_columns(bronze, (*TEAM_MAP, *_file_order(bronze)))
+    return drop_violations(rows, valid_team_id="team_id IS NOT NULL")
 
 
 def teams(changes: DataFrame, ignore: tuple[str, ...] | None = None) -> DataFrame:
     """Team history."""
-    return history_from_changes(changes, ["team_id"], "ingestion_time", ignore)
+    return _history(changes, "team_id", ignore)
 
 
 def fixture_changes(bronze: DataFrame) -> DataFrame:
     """Typed fixture rows, ready for the history."""
     optional = {c: column_or(bronze, c, 0, "int") for c in OPTIONAL_SCORES}
     day = parsing.iso_day(F.col("fixture_date"))
-    return map_columns(bronze.withColumns(optional | {"fixture_day": day}), FIXTURE_MAP)
+    described = bronze.withColumns(optional | {"fixture_day": day})
+    return map_columns(described, (*FIXTURE_MAP, *_file_order(bronze)))
 
 
 def fixtures(changes: DataFrame, ignore: tuple[str, ...] | None = None) -> DataFrame:
     """Fixture history."""
-    return history_from_changes(changes, ["fixture_id"], "ingestion_time", ignore)
+    return _history(changes, "fixture_id", ignore)
 
 
 STAT_KEYS = ("fixture_id", "team_id", "ingestion_time")

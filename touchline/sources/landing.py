@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 
 INGESTED = "ingestion_time"
 SOURCE_FILE = "source_file"
+FILE_TIME = "file_time"
 
 
 def read_landing(
@@ -42,6 +43,15 @@ def with_source_file(df: DataFrame, name: str = SOURCE_FILE) -> DataFrame:
     return df.select("*", F.col("_metadata.file_name").alias(name))
 
 
+def with_file_order(df: DataFrame) -> DataFrame:
+    """A6 for ties: file name and modification time of each row; call it right after reading."""
+    return df.select(
+        "*",
+        F.col("_metadata.file_name").alias(SOURCE_FILE),
+        F.col("_metadata.file_modification_time").alias(FILE_TIME),
+    )
+
+
 def stream_with_source(
     spark: SparkSession, path: str, schema: StructType | str, **options: object
 ) -> DataFrame:

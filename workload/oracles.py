@@ -729,3 +729,22 @@ oracle(
     "fixtures",
 )
 ORACLES["flatten_deep"] = "SELECT o_orderkey, o_totalprice FROM orders"
+oracle(
+    "team_history_batches",
+    """
+  SELECT team_id, name, country, since AS "__START_AT",
+         lead(since) OVER (PARTITION BY team_id ORDER BY since) AS "__END_AT"
+  FROM (
+    SELECT *, lag(name) OVER (PARTITION BY team_id ORDER BY since) AS before
+    FROM (
+      SELECT team_id, name, country, TIMESTAMP '2024-08-01' AS since FROM teams
+      WHERE team_id % 2 = 0
+      UNION ALL
+      SELECT team_id, CASE WHEN team_id % 4 = 0 THEN name || ' II' ELSE name END, country,
+             TIMESTAMP '2024-08-02' FROM teams WHERE team_id % 3 = 0
+      UNION ALL
+      SELECT team_id, name, country, TIMESTAMP '2024-08-03' FROM teams) AS landed) AS steps
+  WHERE before IS DISTINCT FROM name
+""",
+    "teams",
+)

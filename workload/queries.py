@@ -13,7 +13,7 @@ from touchline.functions.calendar import calendar_covering, date_key, season_lab
 from touchline.operators import history, nested, pivot, progress, quality, sides
 from touchline.operators.keys import dense_key, spread_key
 from touchline.plans import tracking as tracking_plan
-from touchline.plans import bronze, gold, silver
+from touchline.plans import bronze, catalog, gold, silver
 from touchline.scratch import scratch_dir, spill
 from touchline.sinks import manifests, tables as sinks
 from touchline.sources import landing, tables as sources
@@ -371,6 +371,30 @@ def raw_team_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.current(versions).drop("ingestion_time", history.START, history.END)
 
 
+TEAM_TABLES = (("bronze", "teams"), ("silver_intermediate", "teams"), ("silver", "teams"))
+
+
+@query
+def team_history_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N14, N15 over three landed batches: even teams; some thirds, partly renamed; all."""
+    teams = frame(spark, sf_dir, "teams").select("team_id", "name", "country")
+    key = F.col("team_id")
+    renamed = F.when(key % 4 == 0, F.concat("name", F.lit(" II"))).otherwise(F.col("name"))
+    batches = (
+        teams.filter(key % 2 == 0),
+        teams.filter(key % 3 == 0).withColumn("name", renamed),
+        teams,
+    )
+    landing_dir, root = scratch_dir(spark, "team-landing"), scratch_dir(spark, "team-lake")
+    for day, batch in enumerate(batches, 1):
+        team = F.struct(key.alias("id"), "name", "country").alias("team")
+        batch.select(team).write.mode("append").json(f"{landing_dir}/teams")
+        load = catalog.Load(spark, landing_dir, root, datetime(2024, 8, day), multi_line=False)
+        catalog.run(load, TEAM_TABLES)
+    moments = [F.col(c).cast("timestamp_ntz").alias(c) for c in (history.START, history.END)]
+    return load.table("silver", "teams").select("team_id", "name", "country", *moments)
+
+
 def _league_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     year = F.struct(
         F.lit(2023).alias("year"), F.lit("2023-08-01").alias("start"), F.lit(True).alias("current")
