@@ -159,18 +159,12 @@ def host_verdicts(judged: DataFrame, host: str = "host", limit: float = HOST_LIM
         (F.sum("host_failed") / F.sum("host_rows")).alias("m"),
         (F.sum(F.col("host_rows") * rate * rate) / F.sum("host_rows")).alias("m2"),
     ).select("m", (F.col("m2") - F.col("m") * F.col("m")).alias("v"))
-    prior = moments.select(
-        "m",
-        F.greatest(
-            F.when(F.col("v") > 1e-12, F.col("m") * (1 - F.col("m")) / F.col("v") - 1).otherwise(
-                F.lit(FLAT_WEIGHT)
-            ),
-            F.lit(1.0),
-        ).alias("s"),
-    )
-    # One row meets every host: a scalar, not a product of tables.
-    shrunk = (F.col("host_failed") + F.col("m") * F.col("s")) / (F.col("host_rows") + F.col("s"))
-    return counts.join(F.broadcast(prior)).select(
+    found = moments.first()  # two numbers
+    mean, variance = found["m"] or 0.0, found["v"] or 0.0
+    weight = mean * (1 - mean) / variance - 1 if variance > 1e-12 else FLAT_WEIGHT
+    weight = max(weight, 1.0)
+    shrunk = (F.col("host_failed") + F.lit(mean * weight)) / (F.col("host_rows") + F.lit(weight))
+    return counts.select(
         "host", "host_rows", "host_failed", shrunk.alias("host_rate"), (shrunk >= limit).alias("rejected")
     )
 
