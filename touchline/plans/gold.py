@@ -20,8 +20,11 @@ def _open_versions(silver: DataFrame, all_versions: bool) -> DataFrame:
 
 
 def _laid_out(df: DataFrame, table: str) -> DataFrame:
-    """The declared columns in their order; a missing one is an error."""
-    names = table_layout(table).names
+    """The declared columns in their order; a missing one is an error.
+
+    Only the validity of versions is left out where the input has no versions.
+    """
+    names = [c for c in table_layout(table).names if c in df.columns or c not in (START, END)]
     missing = [c for c in names if c not in df.columns]
     if missing:
         raise ValueError(f"{table}: missing columns {', '.join(missing)}")
