@@ -12,7 +12,6 @@ from touchline.operators.history import END, START, current
 from touchline.operators.keys import dense_key
 from touchline.operators.sides import goals_of, split_sides
 from touchline.schemas import table_layout
-from touchline.scratch import spill
 
 
 def _open_versions(silver: DataFrame, all_versions: bool) -> DataFrame:
