@@ -30,8 +30,6 @@ has target 0; an empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
