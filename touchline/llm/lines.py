@@ -151,8 +151,9 @@ def deduplicated_lines(
         rows = rows.withColumn("runs", none)
     else:
         runs = spill(_runs(copies), "line-runs").withColumnsRenamed({"doc": "__doc", "copy": "__copy"})
+        # Texts move to their runs at every size alike.
         rows = rows.join(
-            runs, (F.col("doc") == F.col("__doc")) & (F.col("copy") == F.col("__copy")), "left"
+            runs.hint("merge"), (F.col("doc") == F.col("__doc")) & (F.col("copy") == F.col("__copy")), "left"
         )
     rows = rows.select("doc_id", F.split("whole", "\n").alias("lines"), "runs")
     runs, n = F.coalesce("runs", F.array()), F.size("lines")
