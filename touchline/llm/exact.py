@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.llm.common import text_of, without_blanks
+from touchline.scratch import spill
 
 SALTS = 16
 _HALF = "9223372036854775807"
@@ -105,7 +106,8 @@ def exact_duplicates(
 ) -> DataFrame:
     """Per row: doc_id, keep_id, group_size, kept, text_sha256 (of the text without blanks)."""
     rows = _keyed(docs, text, id_column).select("doc_id", "digest", "check", "size")
-    groups = groups_of_equal(docs, text, id_column, salts)
+    # Written first: the join then has an exchange on either side, and a hot group is split.
+    groups = spill(groups_of_equal(docs, text, id_column, salts), "exact-groups")
     return rows.join(groups, ["digest", "check", "size"]).select(
         "doc_id",
         "keep_id",
