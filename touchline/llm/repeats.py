@@ -158,6 +158,8 @@ def repeated_spans(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     twice = (
         found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
     )
+    # Written first: the join then has an exchange on either side, and a hot bucket is split.
+    twice = spill(twice, "repeat-grams")
     shared = spill(found.join(twice, "gram", "left_semi"), "repeat-anchors")
     place = F.struct("doc", "at")
     classes = spill(
