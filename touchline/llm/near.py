@@ -220,6 +220,8 @@ def star_pairs(posted: DataFrame, labels: DataFrame | None, turn: int) -> DataFr
         F.col("c")["component"].alias("component2"),
         F.col("c")["n"].alias("n2"),
     )
+    # Written first: the join then has an exchange on either side, and a hot list is split.
+    centres = spill(centres, "near-centres")
     return (
         rows.join(centres, "token")
         .filter((F.col("component") != F.col("component2")) & _fits())
