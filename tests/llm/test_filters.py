@@ -249,6 +249,30 @@ def test_extraction(spark, as_dict):
     assert extract.extracted(pages.limit(0)).collect() == []
 
 
+def extracted_texts(spark, as_dict, pages):
+    """Texts of (url, html) in order."""
+    rows = [(i, *page) for i, page in enumerate(pages)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = as_dict(extract.extracted(df), "page_id")
+    return [found[i]["text"] for i in range(len(rows))]
+
+
+def test_extraction_keeps_all_slots_of_hosts_without_article(spark, as_dict):
+    one = "<body><div><h1>Title</h1><p>A long text of the page.</p></div></body>"
+    two = (
+        "<body><div class=part1><p>short {0} of four</p></div>"
+        "<div class=part2><p>the longer part {0} of the page</p></div></body>"
+    )
+    named = "<article class=part1><p>one {0}</p></article><article class=part2><p>two {0}, more</p></article>"
+    pages = [("http://one.com/", one)]
+    pages += [("http://two.com/", two.format(i)) for i in range(3)]
+    pages += [("http://named.com/", named.format(i)) for i in range(3)]
+    found = extracted_texts(spark, as_dict, pages)
+    assert found[0] == "Title\nA long text of the page."
+    assert found[1:4] == [f"short {i} of four\nthe longer part {i} of the page" for i in range(3)]
+    assert found[4:] == [f"one {i}\ntwo {i}, more" for i in range(3)]
+
+
 def test_markup_paths():
     found, opened = markup.blocks("<main id=c12><p>a<p>b<i>c</i></main><ul><li>d<li>e</ul>")
     assert [(b.path, b.text) for b in found] == [

@@ -8,13 +8,12 @@ map-side and no host's pages ever meet in one task.
 
 The class of tokens that every page has exactly once is the root of the host's template; a
 class is valid in it if its paths begin with a path of the root class, which nests it into
-that slot.  Slots that hold the same text on nearly all pages are template, not content.  Of
-the root's slots the main one is an article or main element, or else the deepest one that
-holds most of the text outside marked boilerplate.  Templates, one small row per host, are
-written to scratch and joined back by host; the planner broadcasts them by their true size.
-The second pass extracts the blocks of the page's main slot that are neither marked
-boilerplate nor template.  A page without that slot uses its own article or main elements,
-or else all unmarked blocks.
+that slot.  Slots that hold the same text on nearly all pages are template, not content.
+The root's article and main elements are its main slots.  Templates, one small row per host,
+are written to scratch and joined back by host; the planner broadcasts them by their true
+size.  The second pass extracts the blocks of the page's main slots that are neither marked
+boilerplate nor template.  A page without text in such slots uses its own article or main
+elements, or else all unmarked blocks: no other slot is chosen over its neighbours.
 
 Edge cases: null or empty html gives empty text; a null url, or one without host, belongs to
 the host of the empty name; pages of one-page hosts work by the same rules; template text is
@@ -32,13 +31,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.llm.common import text_of
-from touchline.llm.markup import Block, blocks
+from touchline.llm.markup import blocks
 from touchline.llm.urls import host_and_path
 from touchline.scratch import spill
 
 MIN_PAGES = 10
 CONSTANT_SHARE = 0.9
-MAIN_SHARE = 0.5
 MAIN_TAGS = ("article", "main")
 _TOKENS = "host string, path string, text long, times long, chars long, vector long"
 
@@ -93,7 +91,7 @@ def page_tokens(pages: DataFrame) -> DataFrame:
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """Per host: main (path of the main slot, null if none), constants (hashes of texts)."""
+    """Per host: mains (paths of main slots, null if none), constants (hashes of texts)."""
     hosts = pages.groupBy("host").agg(F.count(F.lit(1)).alias("n_pages"))
     vectors = (
         page_tokens(pages)
@@ -115,15 +113,9 @@ def templates(pages: DataFrame) -> DataFrame:
     )
     root = classes.filter(everywhere).select("host", F.explode("paths").alias("path"))
     slots = paths.join(root, ["host", "path"], "left_semi")
-    total = paths.groupBy("host").agg(F.max("chars").alias("total"))
     last = F.element_at(F.split(F.element_at(F.split("path", "/"), -1), "[.]"), 1)
-    depth = F.size(F.split("path", "/"))
-    ranked = slots.join(total, "host").filter(
-        (F.col("chars") > 0) & (last.isin(*MAIN_TAGS) | (F.col("chars") >= MAIN_SHARE * F.col("total")))
-    )
-    main = ranked.groupBy("host").agg(
-        F.max(F.struct(last.isin(*MAIN_TAGS).alias("named"), F.when(last.isin(*MAIN_TAGS), F.col("chars")).otherwise(depth.cast("long")).alias("rank"), "path"))["path"].alias("main")
-    )
+    named = slots.filter((F.col("chars") > 0) & last.isin(*MAIN_TAGS))
+    main = named.groupBy("host").agg(F.sort_array(F.collect_set("path")).alias("mains"))
     constant = tokens.filter(
         F.col("text").isNotNull()
         & (F.col("n_pages") >= MIN_PAGES)
@@ -137,18 +129,13 @@ def _below(path: str, slot: str) -> bool:
     return path == slot or path.startswith(slot + "/")
 
 
-def main_text(page: str, main: str | None, constants: frozenset[int]) -> str:
+def main_text(page: str, mains: list[str], constants: frozenset[int]) -> str:
     """The article's blocks of one page under its host's template."""
     found = [b for b in blocks(page)[0] if not b.boiler]
-
-    def inside(keep) -> list[Block]:
-        return [b for b in found if keep(b.path)]
-
-    chosen = inside(lambda p: _below(p, main)) if main else []
-    if not chosen or (main and not any(map(_is_main, _prefixes(main)))):
-        # Without a named main slot in the template, the page's own elements decide first.
-        own = inside(lambda p: any(map(_is_main, _prefixes(p))))
-        chosen = own or chosen or found
+    chosen = [b for b in found if any(_below(b.path, slot) for slot in mains)]
+    if not chosen:
+        # Without text in the template's main slots, the page's own elements decide first.
+        chosen = [b for b in found if any(map(_is_main, _prefixes(b.path)))] or found
     if constants:
         varying = [b for b in chosen if _hash(b.path, b.text) not in constants]
         chosen = varying or chosen
@@ -172,8 +159,8 @@ def extracted(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [
-                main_text(page, main, frozenset(constants or ()))
-                for page, main, constants in zip(
+                main_text(page, mains or [], frozenset(constants or ()))
+                for page, mains, constants in zip(
                     *(batch.column(k).to_pylist() for k in (2, 3, 4)), strict=True
                 )
             ]
@@ -188,6 +175,6 @@ def extracted(
             )
 
     joined = rows.join(found.withColumnRenamed("host", "__host"), F.col("host") == F.col("__host"), "left")
-    return joined.select("page_id", "url", "html", "main", "constants").mapInArrow(
+    return joined.select("page_id", "url", "html", "mains", "constants").mapInArrow(
         run, "page_id long, url string, text string, n_chars long"
     )
