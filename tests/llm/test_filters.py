@@ -273,6 +273,23 @@ def test_extraction_keeps_all_slots_of_hosts_without_article(spark, as_dict):
     assert found[4:] == [f"one {i}\ntwo {i}, more" for i in range(3)]
 
 
+def test_optional_parts_of_a_template(spark, as_dict):
+    # Two of three pages hold an optional part; its date varies, its texts do not.
+    part = "<div class=info><span>Posted on</span><p>{0}</p><p>All posts</p></div>"
+    pages = []
+    for i in range(12):
+        html = f"<body><div><h1>Head {i}</h1><p>text {i}</p></div>"
+        pages.append(("http://opt.com/", html + (part.format(f"May {i}") if i % 3 else "") + "</body>"))
+    # A text that most pages share alone, in a slot that all pages have, is no class.
+    pages += [
+        ("http://own.com/", f"<p>own {i}</p>" + ("<p>shared</p>" if i else "<p>other</p>")) for i in range(12)
+    ]
+    found = extracted_texts(spark, as_dict, pages)
+    want = [f"Head {i}\ntext {i}" + (f"\nMay {i}" if i % 3 else "") for i in range(12)]
+    assert found[:12] == want
+    assert found[12:] == ["own 0\nother"] + [f"own {i}\nshared" for i in range(1, 12)]
+
+
 def test_markup_paths():
     found, opened = markup.blocks("<main id=c12><p>a<p>b<i>c</i></main><ul><li>d<li>e</ul>")
     assert [(b.path, b.text) for b in found] == [

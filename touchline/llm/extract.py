@@ -6,14 +6,17 @@ has it.  Tokens with equal vectors form an equivalence class; the vector is comp
 pages, occurrences and an exclusive-or of one hash per (page, count), so it is aggregated
 map-side and no host's pages ever meet in one task.
 
-The class of tokens that every page has exactly once is the root of the host's template; a
-class is valid in it if its paths begin with a path of the root class, which nests it into
-that slot.  Slots that hold the same text on nearly all pages are template, not content.
-The root's article and main elements are its main slots.  Templates, one small row per host,
-are written to scratch and joined back by host; the planner broadcasts them by their true
-size.  The second pass extracts the blocks of the page's main slots that are neither marked
-boilerplate nor template.  A page without text in such slots uses its own article or main
-elements, or else all unmarked blocks: no other slot is chosen over its neighbours.
+The class of tokens that every page has exactly once is the root of the host's template.
+Other classes of two or more tokens on most pages, but at least two, are its optional and
+repeated parts.  Their texts are template, as are texts on every page; all other slots hold
+content.  Order and nesting of a class's tokens are not checked: that takes positions, which
+no aggregate per vector holds.  The root's article and main elements are its main slots.
+
+Templates, one small row per host, are written to scratch and joined back by host; the
+planner broadcasts them by their true size.  The second pass extracts the blocks of the
+page's main slots that are neither marked boilerplate (see ``markup``) nor template.  A page
+without text in such slots uses its own article or main elements, or else all unmarked
+blocks: no other slot is chosen over its neighbours.
 
 Edge cases: null or empty html gives empty text; a null url, or one without host, belongs to
 the host of the empty name; pages of one-page hosts work by the same rules; template text is
@@ -36,7 +39,8 @@ from touchline.llm.urls import host_and_path
 from touchline.scratch import spill
 
 MIN_PAGES = 10
-CONSTANT_SHARE = 0.9
+SUPPORT = 0.5
+CLASS_TOKENS = 2
 MAIN_TAGS = ("article", "main")
 _TOKENS = "host string, path string, text long, times long, chars long, vector long"
 
@@ -105,21 +109,20 @@ def templates(pages: DataFrame) -> DataFrame:
         .filter(F.col("path").isNotNull() | (F.col("on_pages") > 1))
     )
     tokens = spill(vectors.join(hosts.withColumnRenamed("host", "__host"), F.col("host") == F.col("__host")).drop("__host"), "html-tokens")
-    everywhere = (F.col("on_pages") == F.col("n_pages")) & (F.col("times") == F.col("n_pages"))
+    often = tokens.filter((F.col("on_pages") > 1) & (F.col("on_pages") > SUPPORT * F.col("n_pages")))
+    # Equivalence classes: one row per host and vector; few, as each is on most pages.
+    vector = ["host", "on_pages", "times", "vector"]
+    classes = often.groupBy(*vector).agg(F.count(F.lit(1)).alias("size"))
+    classes = spill(classes.filter(F.col("size") >= CLASS_TOKENS), "html-classes")
+    everywhere = F.col("on_pages") == F.col("n_pages")
     paths = tokens.filter(F.col("path").isNotNull())
-    # Equivalence classes: one row per host and vector; the root class is everywhere once.
-    classes = paths.groupBy("host", "on_pages", "times", "vector", "n_pages").agg(
-        F.sort_array(F.collect_set("path")).alias("paths"), F.max("chars").alias("most")
-    )
-    root = classes.filter(everywhere).select("host", F.explode("paths").alias("path"))
-    slots = paths.join(root, ["host", "path"], "left_semi")
+    slots = paths.filter(everywhere & (F.col("times") == F.col("n_pages")))
     last = F.element_at(F.split(F.element_at(F.split("path", "/"), -1), "[.]"), 1)
     named = slots.filter((F.col("chars") > 0) & last.isin(*MAIN_TAGS))
     main = named.groupBy("host").agg(F.sort_array(F.collect_set("path")).alias("mains"))
-    constant = tokens.filter(
-        F.col("text").isNotNull()
-        & (F.col("n_pages") >= MIN_PAGES)
-        & (F.col("on_pages") >= CONSTANT_SHARE * F.col("n_pages"))
+    texts = often.filter(F.col("text").isNotNull() & (F.col("n_pages") >= MIN_PAGES))
+    constant = texts.filter(everywhere).unionByName(
+        texts.filter(~everywhere).join(classes, vector, "left_semi")
     )
     constants = constant.groupBy("host").agg(F.sort_array(F.collect_set("text")).alias("constants"))
     return hosts.select("host").join(main, "host", "left").join(constants, "host", "left")
