@@ -290,6 +290,24 @@ def test_optional_parts_of_a_template(spark, as_dict):
     assert found[12:] == ["own 0\nother"] + [f"own {i}\nshared" for i in range(1, 12)]
 
 
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<div class='layout with-sidebar'>{}<div class=sidebar><p>side</p></div></div>",
+        "<main class='has-sidebar'>{}</main>",
+        "<article class='post comments-open'>{}<div class=comments><article>c</article></div></article>",
+        "<div id='search-results'><main>{}</main></div><div class=related><p>" + "more " * 20 + "</p></div>",
+        "<div class='widget-text'>{}</div>",
+        "<article><div class='no-sidebar'>{}</div></article>",
+        "<div class=ad-free><h1>Head</h1></div><div class=no-share><p>the text</p><p>more</p></div><nav>x</nav>",
+        "<div class=ad><h1>Head</h1></div><div class=menu><p>the text</p></div><div class=share><p>more</p></div>",
+    ],
+)
+def test_words_of_classes_never_empty_a_page(html):
+    page = html.format("<h1>Head</h1><p>the text</p><p>more</p>")
+    assert extract.main_text(page, [], frozenset()) == "Head\nthe text\nmore"
+
+
 def test_markup_paths():
     found, opened = markup.blocks("<main id=c12><p>a<p>b<i>c</i></main><ul><li>d<li>e</ul>")
     assert [(b.path, b.text) for b in found] == [

@@ -16,7 +16,8 @@ Templates, one small row per host, are written to scratch and joined back by hos
 planner broadcasts them by their true size.  The second pass extracts the blocks of the
 page's main slots that are neither marked boilerplate (see ``markup``) nor template.  A page
 without text in such slots uses its own article or main elements, or else all unmarked
-blocks: no other slot is chosen over its neighbours.
+blocks: no other slot is chosen over its neighbours.  If words of classes would mark all of
+a page's text, they mark nothing there.
 
 Edge cases: null or empty html gives empty text; a null url, or one without host, belongs to
 the host of the empty name; pages of one-page hosts work by the same rules; template text is
@@ -34,14 +35,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.llm.common import text_of
-from touchline.llm.markup import blocks
+from touchline.llm.markup import MAIN_TAGS, blocks
 from touchline.llm.urls import host_and_path
 from touchline.scratch import spill
 
 MIN_PAGES = 10
 SUPPORT = 0.5
 CLASS_TOKENS = 2
-MAIN_TAGS = ("article", "main")
 _TOKENS = "host string, path string, text long, times long, chars long, vector long"
 
 
@@ -134,7 +134,9 @@ def _below(path: str, slot: str) -> bool:
 
 def main_text(page: str, mains: list[str], constants: frozenset[int]) -> str:
     """The article's blocks of one page under its host's template."""
-    found = [b for b in blocks(page)[0] if not b.boiler]
+    every = blocks(page)[0]
+    # Where no text is unmarked, words of classes mark nothing.
+    found = [b for b in every if not b.boiler] or [b for b in every if b.worded]
     chosen = [b for b in found if any(_below(b.path, slot) for slot in mains)]
     if not chosen:
         # Without text in the template's main slots, the page's own elements decide first.

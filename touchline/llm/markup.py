@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from typing import NamedTuple
 
 # Fixed values of HTML.
@@ -27,6 +28,7 @@ CLOSES = {
 }
 LISTS = frozenset("ul ol dl table article section div body main".split())
 #: Elements and words of class, id and role that mark what is not the article.
+MAIN_TAGS = frozenset(("article", "main"))
 BOILER_TAGS = frozenset("nav header footer aside form menu dialog fieldset".split())
 BOILER_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo "
@@ -35,6 +37,8 @@ BOILER_WORDS = frozenset(
     "newsletter subscribe login signup comment comments reply replies respond disqus "
     "copyright legal contentinfo complementary search pagination pager skip toolbar".split()
 )
+#: A name with one of these tells the state of an element: no-sidebar, has-ads, ad-free.
+STATE_WORDS = frozenset("no not non has with without free".split())
 
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</(?P=raw)\s*>|\Z)"
@@ -53,33 +57,65 @@ class Block(NamedTuple):
     path: str
     boiler: bool
     text: str
+    #: Whether only words of class, id or role mark it.
+    worded: bool = False
 
 
 class _Open(NamedTuple):
     tag: str
     path: str
     boiler: bool
+    words: tuple[int, ...]  # elements up to this one that words mark
+    main: bool  # whether it is or lies in an article or main element
 
 
-def _opened(tag: str, rest: str, above: _Open) -> _Open:
+def _names_boiler(name: str) -> bool:
+    words = _WORDS.findall(name)
+    return not BOILER_WORDS.isdisjoint(words) and STATE_WORDS.isdisjoint(words)
+
+
+def _opened(tag: str, rest: str, above: _Open, key: int) -> _Open:
     names = " ".join(m[2].strip("\"'") for m in _NAMES.finditer(rest)) if rest else ""
-    boiler = above.boiler or tag in BOILER_TAGS
+    boiler, words = above.boiler or tag in BOILER_TAGS, above.words
     if names and not boiler and tag != "body":
-        boiler = not BOILER_WORDS.isdisjoint(_WORDS.findall(names.lower()))
+        if any(map(_names_boiler, names.lower().split())):
+            words = (*words, key)
     if rest and not boiler:
         boiler = _HIDDEN.search(rest) is not None
     step = tag + ("." + _DIGITS.sub("0", ".".join(sorted(names.split()))) if names else "")
-    return _Open(tag, f"{above.path}/{step}", boiler)
+    return _Open(tag, f"{above.path}/{step}", boiler, words, above.main or tag in MAIN_TAGS)
+
+
+def _marked(found: list[tuple[_Open, str, str]], freed: set[int]) -> list[Block]:
+    """Blocks from (innermost element, path, text).
+
+    A word marks no element of ``freed``, nor one with most of the text that no tag marks.
+    """
+    below: Counter[int] = Counter()
+    total = 0
+    for inner, _, text in found:
+        if not inner.boiler:
+            total += len(text)
+            for key in inner.words:
+                below[key] += len(text)
+    kept = freed.union(key for key, n in below.items() if 2 * n > total)
+    out = []
+    for inner, path, text in found:
+        worded = not kept.issuperset(inner.words)
+        out.append(Block(path, inner.boiler or worded, text, worded and not inner.boiler))
+    return out
 
 
 def blocks(page: str) -> tuple[list[Block], dict[str, int]]:
     """Text blocks in page order, and how often each element path opens.
 
     A block ends where an element begins or ends that is not inline.  Unclosed elements end
-    with what holds them, a paragraph with the next element that is not inline.
+    with what holds them, a paragraph with the next element that is not inline.  Words never
+    mark what is or holds an outermost article or main element.
     """
-    stack = [_Open("", "", False)]
-    found: list[Block] = []
+    stack = [_Open("", "", False, (), False)]
+    found: list[tuple[_Open, str, str]] = []
+    freed: set[int] = set()
     opened: dict[str, int] = {}
     parts: list[str] = []
     at = 0
@@ -89,7 +125,7 @@ def blocks(page: str) -> tuple[list[Block], dict[str, int]]:
         parts.clear()
         if text:
             holder = next(x for x in reversed(stack) if x.tag not in INLINE)
-            found.append(Block(holder.path, stack[-1].boiler, text))
+            found.append((stack[-1], holder.path, text))
 
     def close_to(index: int) -> None:
         flush()
@@ -109,7 +145,7 @@ def blocks(page: str) -> tuple[list[Block], dict[str, int]]:
             if depth and inline:
                 # An inline end tag never closes an element that holds blocks.
                 if all(x.tag in INLINE for x in stack[depth:]):
-                    if stack[depth].boiler != stack[depth - 1].boiler:
+                    if stack[depth][2:4] != stack[depth - 1][2:4]:
                         flush()
                     del stack[depth:]
             elif depth:
@@ -129,12 +165,14 @@ def blocks(page: str) -> tuple[list[Block], dict[str, int]]:
                     break
         if tag == "br":
             parts.append(" ")
-        new = _opened(tag, m["rest"], stack[-1])
+        new = _opened(tag, m["rest"], stack[-1], m.start())
+        if new.main and not stack[-1].main and not new.boiler:
+            freed.update(new.words)
         opened[new.path] = opened.get(new.path, 0) + 1
         if tag not in VOID and not m["rest"].endswith("/"):
-            if new.boiler != stack[-1].boiler:
+            if new[2:4] != stack[-1][2:4]:
                 flush()
             stack.append(new)
     parts.append(page[at:])
     flush()
-    return found, opened
+    return _marked(found, freed), opened
