@@ -308,6 +308,22 @@ def test_words_of_classes_never_empty_a_page(html):
     assert extract.main_text(page, [], frozenset()) == "Head\nthe text\nmore"
 
 
+@pytest.mark.parametrize("tag", ["svg", "select", "button", "object", "canvas", "noscript"])
+def test_elements_without_end_tag_swallow_nothing(tag):
+    page = "<article><h1>T</h1>{}<p>one</p><p>two</p></article><p>three</p>"
+    want = ["T", "one", "two", "three"]
+    marks = [f'<{tag} class="i"/>', f"<{tag}>", f"<{tag}>x</{tag}>", f"<{tag}><{tag}>x</{tag}><b>y</b></{tag}>"]
+    for mark in marks:
+        found, _ = markup.blocks(page.format(mark))
+        assert [b.text for b in found if not b.boiler] == want, mark
+    # Inline in a paragraph, the text around it stays.
+    found, _ = markup.blocks(f"<p>before <{tag}>x</{tag}> after</p>")
+    assert [b.text for b in found] == ["before after"]
+    # What holds an element ends it, also if its end tag comes later.
+    found, _ = markup.blocks(f"<div><{tag}><p>one</p></div><p>two</p></{tag}>")
+    assert [b.text for b in found] == ["one", "two"]
+
+
 def test_markup_paths():
     found, opened = markup.blocks("<main id=c12><p>a<p>b<i>c</i></main><ul><li>d<li>e</ul>")
     assert [(b.path, b.text) for b in found] == [

@@ -15,7 +15,7 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark "
     "q s samp small span strike strong sub sup time tt u var wbr".split()
 )
-RAW = "script|style|noscript|template|textarea|title|iframe|svg|select|button|object|canvas"
+RAW = "script|style|textarea|title|iframe"
 #: An opening tag of the key closes an open element of the value, up to the nearest of LISTS.
 CLOSES = {
     "li": ("li",),
@@ -30,6 +30,8 @@ LISTS = frozenset("ul ol dl table article section div body main".split())
 #: Elements and words of class, id and role that mark what is not the article.
 MAIN_TAGS = frozenset(("article", "main"))
 BOILER_TAGS = frozenset("nav header footer aside form menu dialog fieldset".split())
+#: Elements left out with all they hold; a tag without its end tag, or self-closed, alone.
+PART_TAGS = frozenset("svg select button object canvas noscript template".split())
 BOILER_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo "
     "nav navbar navigation menu breadcrumb breadcrumbs header footer masthead sidebar aside "
@@ -46,6 +48,7 @@ _TOKEN = re.compile(
     r"|<[!?][^>]*>",
     re.S | re.I,
 )
+_PART = re.compile(rf"<(?:{'|'.join(sorted(PART_TAGS))})\b", re.I)
 _NAMES = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 _WORDS = re.compile(r"[a-z]+")
@@ -86,6 +89,28 @@ def _opened(tag: str, rest: str, above: _Open, key: int) -> _Open:
     return _Open(tag, f"{above.path}/{step}", boiler, words, above.main or tag in MAIN_TAGS)
 
 
+def _parts(page: str) -> dict[int, int]:
+    """Start to end of the elements of ``PART_TAGS`` that end before what holds them does."""
+    ends: dict[int, int] = {}
+    if _PART.search(page) is None:
+        return ends
+    stack: list[tuple[str, int]] = []
+    for m in _TOKEN.finditer(page):
+        tag = (m["tag"] or "").lower()
+        if tag not in PART_TAGS and tag not in LISTS:
+            continue
+        if not m["end"]:
+            if not m["rest"].endswith("/"):
+                stack.append((tag, m.start()))
+            continue
+        depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
+        if depth is not None:
+            if tag in PART_TAGS:
+                ends[stack[depth][1]] = m.end()
+            del stack[depth:]
+    return ends
+
+
 def _marked(found: list[tuple[_Open, str, str]], freed: set[int]) -> list[Block]:
     """Blocks from (innermost element, path, text).
 
@@ -116,6 +141,7 @@ def blocks(page: str) -> tuple[list[Block], dict[str, int]]:
     stack = [_Open("", "", False, (), False)]
     found: list[tuple[_Open, str, str]] = []
     freed: set[int] = set()
+    ends = _parts(page)
     opened: dict[str, int] = {}
     parts: list[str] = []
     at = 0
@@ -132,6 +158,8 @@ def blocks(page: str) -> tuple[list[Block], dict[str, int]]:
         del stack[index:]
 
     for m in _TOKEN.finditer(page):
+        if m.start() < at:  # inside an element of PART_TAGS
+            continue
         if m.start() > at:
             parts.append(page[at : m.start()])
         at = m.end()
@@ -139,6 +167,9 @@ def blocks(page: str) -> tuple[list[Block], dict[str, int]]:
         if tag is None:
             continue
         tag = tag.lower()
+        if tag in PART_TAGS:
+            at = ends.get(m.start(), at)
+            continue
         inline = tag in INLINE
         if m["end"]:
             depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
