@@ -324,6 +324,18 @@ def test_elements_without_end_tag_swallow_nothing(tag):
     assert [b.text for b in found] == ["one", "two"]
 
 
+@pytest.mark.parametrize("n", [2, 9, 10])
+def test_template_texts_at_every_host_size(spark, as_dict, n):
+    plain = "<div><span>Home of all</span></div><div><p>text {0}</p></div><div>Imprint</div>"
+    inside = "<p>Motto</p><article><p>text {0}</p><p>{1}</p></article>"
+    pages = [("http://plain.com/", plain.format(i)) for i in range(n)]
+    # A paragraph of the article that all pages but one share stays.
+    pages += [("http://a.com/", inside.format(i, "shared" if i else "own")) for i in range(n)]
+    found = extracted_texts(spark, as_dict, pages)
+    assert found[:n] == [f"text {i}" for i in range(n)]
+    assert found[n:] == [f"text {i}\n" + ("shared" if i else "own") for i in range(n)]
+
+
 def test_markup_paths():
     found, opened = markup.blocks("<main id=c12><p>a<p>b<i>c</i></main><ul><li>d<li>e</ul>")
     assert [(b.path, b.text) for b in found] == [

@@ -7,7 +7,7 @@ pages, occurrences and an exclusive-or of one hash per (page, count), so it is a
 map-side and no host's pages ever meet in one task.
 
 The class of tokens that every page has exactly once is the root of the host's template.
-Other classes of two or more tokens on most pages, but at least two, are its optional and
+Other classes of two or more tokens on most pages, but at least three, are its optional and
 repeated parts.  Their texts are template, as are texts on every page; all other slots hold
 content.  Order and nesting of a class's tokens are not checked: that takes positions, which
 no aggregate per vector holds.  The root's article and main elements are its main slots.
@@ -21,7 +21,9 @@ a page's text, they mark nothing there.
 
 Edge cases: null or empty html gives empty text; a null url, or one without host, belongs to
 the host of the empty name; pages of one-page hosts work by the same rules; template text is
-only deducted on hosts of ``MIN_PAGES`` pages and never if it is all a page has; repeated
+deducted from two pages on, but never if it is all a page has, so two pages that share
+paragraphs without an article element lose them; inside article and main elements only what
+all pages of a host have goes, on hosts of ``ARTICLE_PAGES`` pages; repeated
 rows are extracted each; other columns are not read.  A ``br`` is white space in its block.
 """
 
@@ -39,9 +41,10 @@ from touchline.llm.markup import MAIN_TAGS, blocks
 from touchline.llm.urls import host_and_path
 from touchline.scratch import spill
 
-MIN_PAGES = 10
+ARTICLE_PAGES = 10
 SUPPORT = 0.5
 CLASS_TOKENS = 2
+CLASS_PAGES = 3
 _TOKENS = "host string, path string, text long, times long, chars long, vector long"
 
 
@@ -95,7 +98,10 @@ def page_tokens(pages: DataFrame) -> DataFrame:
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """Per host: mains (paths of main slots, null if none), constants (hashes of texts)."""
+    """Per host: mains (paths of main slots, null if none), constants (hashes of texts).
+
+    ``inner`` are the constants that go inside article and main elements too.
+    """
     hosts = pages.groupBy("host").agg(F.count(F.lit(1)).alias("n_pages"))
     vectors = (
         page_tokens(pages)
@@ -120,11 +126,14 @@ def templates(pages: DataFrame) -> DataFrame:
     last = F.element_at(F.split(F.element_at(F.split("path", "/"), -1), "[.]"), 1)
     named = slots.filter((F.col("chars") > 0) & last.isin(*MAIN_TAGS))
     main = named.groupBy("host").agg(F.sort_array(F.collect_set("path")).alias("mains"))
-    texts = often.filter(F.col("text").isNotNull() & (F.col("n_pages") >= MIN_PAGES))
-    constant = texts.filter(everywhere).unionByName(
-        texts.filter(~everywhere).join(classes, vector, "left_semi")
+    texts = often.filter(F.col("text").isNotNull())
+    optional = texts.filter(~everywhere & (F.col("on_pages") >= CLASS_PAGES))
+    constant = texts.filter(everywhere).unionByName(optional.join(classes, vector, "left_semi"))
+    inner = F.when(everywhere & (F.col("n_pages") >= ARTICLE_PAGES), F.col("text"))
+    constants = constant.groupBy("host").agg(
+        F.sort_array(F.collect_set("text")).alias("constants"),
+        F.sort_array(F.collect_set(inner)).alias("inner"),
     )
-    constants = constant.groupBy("host").agg(F.sort_array(F.collect_set("text")).alias("constants"))
     return hosts.select("host").join(main, "host", "left").join(constants, "host", "left")
 
 
@@ -132,7 +141,9 @@ def _below(path: str, slot: str) -> bool:
     return path == slot or path.startswith(slot + "/")
 
 
-def main_text(page: str, mains: list[str], constants: frozenset[int]) -> str:
+def main_text(
+    page: str, mains: list[str], constants: frozenset[int], inner: frozenset[int] = frozenset()
+) -> str:
     """The article's blocks of one page under its host's template."""
     every = blocks(page)[0]
     # Where no text is unmarked, words of classes mark nothing.
@@ -140,9 +151,11 @@ def main_text(page: str, mains: list[str], constants: frozenset[int]) -> str:
     chosen = [b for b in found if any(_below(b.path, slot) for slot in mains)]
     if not chosen:
         # Without text in the template's main slots, the page's own elements decide first.
-        chosen = [b for b in found if any(map(_is_main, _prefixes(b.path)))] or found
-    if constants:
-        varying = [b for b in chosen if _hash(b.path, b.text) not in constants]
+        chosen = [b for b in found if any(map(_is_main, _prefixes(b.path)))]
+    template = inner if chosen else constants
+    chosen = chosen or found
+    if template:
+        varying = [b for b in chosen if _hash(b.path, b.text) not in template]
         chosen = varying or chosen
     return "\n".join(b.text for b in chosen)
 
@@ -164,9 +177,9 @@ def extracted(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [
-                main_text(page, mains or [], frozenset(constants or ()))
-                for page, mains, constants in zip(
-                    *(batch.column(k).to_pylist() for k in (2, 3, 4)), strict=True
+                main_text(page, mains or [], frozenset(constants or ()), frozenset(inner or ()))
+                for page, mains, constants, inner in zip(
+                    *(batch.column(k).to_pylist() for k in (2, 3, 4, 5)), strict=True
                 )
             ]
             yield pa.RecordBatch.from_arrays(
@@ -180,6 +193,6 @@ def extracted(
             )
 
     joined = rows.join(found.withColumnRenamed("host", "__host"), F.col("host") == F.col("__host"), "left")
-    return joined.select("page_id", "url", "html", "mains", "constants").mapInArrow(
+    return joined.select("page_id", "url", "html", "mains", "constants", "inner").mapInArrow(
         run, "page_id long, url string, text string, n_chars long"
     )
