@@ -79,6 +79,27 @@ def test_bytes(documents, as_dict, monkeypatch, contexts):
     assert repeats.without_repeats(documents([(1, "a")]).limit(0)).collect() == []
 
 
+def test_contexts_of_one_text_are_dealt_to_parts(spark):
+    # One text owns all 2000 contexts of a hot anchor: parts hold about CONTEXTS of them.
+    owners = spark.range(2000).selectExpr(
+        "1L AS gram", "4L AS parts", "7L AS doc", "shiftleft(id * 10, 16) + 1 AS at"
+    )
+    texts = spark.createDataFrame([(7, bytearray(b"ab" * 10_100))], "doc long, text binary")
+    sizes = [r["count"] for r in repeats._contexts(owners, texts).groupBy("part").count().collect()]
+    assert sum(sizes) == 2000 and len(sizes) == 4 and max(sizes) < 600
+
+
+def test_one_text_with_a_hot_anchor(documents, as_dict, monkeypatch):
+    monkeypatch.setattr(repeats, "CONTEXTS", 3)
+    rng = random.Random(8)
+    hot = "0123456789abcdefghijklmnopqrstuv"
+    around = ["".join(rng.choice("xyz ") for _ in range(90)) for _ in range(12)]
+    docs = {1: "".join(rng.choice(around) + hot for _ in range(60)), 2: around[0] + hot + around[1]}
+    found = as_dict(repeats.without_repeats(documents(docs.items())))
+    columns = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert {i: tuple(r[c] for c in columns) for i, r in found.items()} == byte_copies(docs)
+
+
 def test_suffix_array():
     rng = random.Random(6)
     for _ in range(300):

@@ -12,8 +12,9 @@ bytes; only suffixes that share a string need to meet.  So:
    ``grouping``); its intervals with a common prefix of ``LENGTH`` bytes are the repeated
    strings, and the earliest suffix of an interval is the original.
 4. A bucket of more than ``CONTEXTS`` distinct contexts is dealt to several tasks, by hashes
-   of the texts' ids.  The originals of such parts are compared once more by digest, so
-   nothing is lost and no task holds more than a part.
+   of the contexts' places, so parts hold about ``CONTEXTS`` of them, also if all are in one
+   text.  The originals of such parts are compared once more by digest, so nothing is lost
+   and no task holds more than a part at a time.
 
 Only anchors, contexts of unlike buckets and texts that lose bytes or own such contexts are
 shuffled.  Context equality rests on two 64-bit hashes together, digests on 128 bits.
@@ -90,7 +91,7 @@ def _contexts(owners: DataFrame, texts: DataFrame) -> DataFrame:
     raw = F.substring(F.col("text"), F.col("w")["s"].cast("int") + 1, (F.col("w")["e"] - F.col("w")["s"]).cast("int"))
     return cut.select(
         F.col("w")["gram"].alias("gram"),
-        F.pmod(F.xxhash64("doc"), F.col("w")["parts"]).alias("part"),
+        F.pmod(F.xxhash64("doc", F.col("w")["s"]), F.col("w")["parts"]).alias("part"),
         F.col("w")["parts"].alias("parts"),
         "doc",
         F.col("w")["s"].alias("start"),
