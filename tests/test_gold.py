@@ -276,6 +276,30 @@ def test_second_run_keeps_history_and_tracking(spark, rows, tmp_path):
     ]
 
 
+def test_a_file_written_again_is_new(spark, rows, tmp_path):
+    def land(part, name, time):
+        path = tmp_path / "landing" / "teams" / f"part={part}" / "teams_39_2023.json"
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(json.dumps([{"team": {"id": 10 + part, "name": name}}]))
+        os.utime(path, (time, time))
+
+    tables = [t for t in catalog.TABLES if t[1] in ("teams", "team_manifest")]
+    days = [datetime(2024, 8, day) for day in (1, 2, 3)]
+    for day, landed in zip(days, ([(0, "Reds", 1.7e9)], [(0, "Blues", 1.8e9), (1, "Greens", 1.7e9)], [])):
+        for one in landed:
+            land(*one)
+        load = catalog.Load(spark, str(tmp_path / "landing"), str(tmp_path / "lake"), day)
+        catalog.run(load, tables)
+    assert rows(load.table("silver", "teams"), "team_id", "name", "__START_AT", "__END_AT") == [
+        (10, "Blues", days[1], None), (10, "Reds", days[0], days[1]), (11, "Greens", days[1], None),
+    ]
+    assert rows(load.table("staging", "team_manifest"), "file_name", "row_counts", "ingestion_timestamp") == [
+        ("teams_39_2023.json", 1, days[0]),
+        ("teams_39_2023.json", 1, days[1]),
+        ("teams_39_2023.json", 1, days[1]),
+    ]
+
+
 def test_wrong_frames_stop_a_run(load, monkeypatch):
     where = ("gold", "dim_leagues")
     step, by = catalog.TABLES[where]

@@ -24,7 +24,14 @@ from touchline.plans import bronze, gold, silver
 from touchline.scratch import spill
 from touchline.sinks.manifests import landing_manifest, record_manifest
 from touchline.sinks.tables import write_table
-from touchline.sources.landing import FILE_TIME, INGESTED, SOURCE_FILE, read_landing, with_file_order
+from touchline.sources.landing import (
+    FILE_PATH,
+    FILE_TIME,
+    INGESTED,
+    SOURCE_FILE,
+    read_landing,
+    with_file_order,
+)
 from touchline.sources.tables import read_table, table_path
 
 
@@ -52,12 +59,19 @@ class Load:
     multi_line: bool = True  # files hold JSON arrays; False for one record per line
 
     def new(self, name: str, ddl: str) -> DataFrame:
-        """Landed rows of the files that the bronze table does not hold yet."""
+        """Landed rows of the files that the bronze table does not hold yet.
+
+        A file written again is new, by its time.  A table of an earlier layout, without
+        paths, keeps it and tells files by name and time.
+        """
         landed = read_landing(self.spark, f"{self.landing}/{name}", ddl, self.multi_line)
         rows, known = with_file_order(landed), self.stored("bronze", name)
         if known is None:
             return rows
-        return rows.join(known.select(SOURCE_FILE).distinct(), SOURCE_FILE, "left_anti")
+        if FILE_PATH not in known.columns:
+            rows = rows.drop(FILE_PATH)
+        file = [FILE_PATH if FILE_PATH in known.columns else SOURCE_FILE, FILE_TIME]
+        return rows.join(known.select(*file).distinct(), file, "left_anti")
 
     def stored(self, layer: str, name: str) -> DataFrame | None:
         """The table as an earlier run left it, if there was one."""

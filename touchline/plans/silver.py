@@ -14,7 +14,7 @@ from touchline.operators.nested import column_or, map_columns
 from touchline.operators.pivot import entry_columns, pivot_rows
 from touchline.operators.quality import drop_violations, gate
 from touchline.schemas import table_layout
-from touchline.sources.landing import FILE_TIME, INGESTED, SOURCE_FILE
+from touchline.sources.landing import FILE_PATH, FILE_TIME, INGESTED, SOURCE_FILE
 
 # Fixed values: (flattened source, target, type) of every carried column.
 LEAGUE_MAP = (
@@ -109,8 +109,8 @@ def leagues(bronze: DataFrame, check: bool = True) -> DataFrame:
     return gate(rows, "silver_leagues") if check else rows
 
 
-# Columns that order rows of one ingestion time: the later file, then the larger name.
-FILE_ORDER = (FILE_TIME, SOURCE_FILE)
+# Columns that order rows of one ingestion time: the later file, then the larger name and path.
+FILE_ORDER = (FILE_TIME, SOURCE_FILE, FILE_PATH)
 
 
 def _file_order(bronze: DataFrame) -> tuple[tuple[str, str, None], ...]:

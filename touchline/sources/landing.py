@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 INGESTED = "ingestion_time"
 SOURCE_FILE = "source_file"
 FILE_TIME = "file_time"
+FILE_PATH = "file_path"
 
 
 def read_landing(
@@ -44,11 +45,12 @@ def with_source_file(df: DataFrame, name: str = SOURCE_FILE) -> DataFrame:
 
 
 def with_file_order(df: DataFrame) -> DataFrame:
-    """A6 for ties: file name and modification time of each row; call it right after reading."""
+    """A6 for ties: each row's file name, modification time and path; call it right after reading."""
     return df.select(
         "*",
         F.col("_metadata.file_name").alias(SOURCE_FILE),
         F.col("_metadata.file_modification_time").alias(FILE_TIME),
+        F.col("_metadata.file_path").alias(FILE_PATH),
     )
 
 
