@@ -38,7 +38,7 @@ def test_against_sql(spark, duck, name):
 
 def test_names():
     numbers = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 @pytest.mark.skipif(importlib.util.find_spec("corpus_pipeline") is None, reason="no pipeline")

@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import bpe, exact, extract, lines, mixing, near, quality, repeats, unigram, urls
+from touchline.llm import (
+    bpe,
+    exact,
+    extract,
+    jaccard,
+    lines,
+    mixing,
+    near,
+    quality,
+    repeats,
+    spelling,
+    unigram,
+    urls,
+    whitening,
+)
 from touchline.llm.common import table
 
 
@@ -72,6 +86,18 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"))
+
+
+def op12_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
@@ -83,6 +109,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_html_text": op9_html_text,
     "op10_token_counts": op10_token_counts,
+    "op11_spelling_groups": op11_spelling_groups,
+    "op12_ngram_jaccard": op12_ngram_jaccard,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLES: dict[str, str] = {
@@ -171,4 +200,37 @@ ORACLES: dict[str, str] = {
                sha256(content) AS text_sha256
         FROM w
     """,
+    "op12_ngram_jaccard": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, list_filter(
+                regexp_split_to_array(
+                    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                              'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+                lambda w: w <> '') AS w
+            FROM documents
+        ), shingles AS (
+            SELECT DISTINCT doc_id,
+                   unnest(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                               ELSE list_transform(range(1, len(w) - 3),
+                                                   lambda k: array_to_string(w[k:k + 4], ' ')) END) AS s
+            FROM words WHERE len(w) > 0
+        ), sizes AS (
+            SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+        ), shared AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k
+            FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id
+            GROUP BY x.doc_id, y.doc_id
+        ), links AS (
+            SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+            WHERE 100 * k >= 80 * (p.n + q.n - k)
+        ), reached AS (
+            SELECT doc_id AS a, doc_id AS b FROM documents
+            UNION
+            SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+        )
+        SELECT d.doc_id, coalesce(n, 0) AS n_shingles, c.component_id,
+               c.component_id = d.doc_id AS kept
+        FROM documents d LEFT JOIN sizes USING (doc_id)
+        JOIN (SELECT a, min(b) AS component_id FROM reached GROUP BY a) c ON c.a = d.doc_id
+    """,
 }
