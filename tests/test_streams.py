@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from touchline.operators.history import history_from_changes
+from touchline.operators.tails import read_history
 from touchline.plans import bronze, silver
 from touchline.schemas import RAW_FIXTURE_STATS, RAW_TEAM, layout
 from touchline.sources import landing
@@ -64,25 +65,25 @@ def change_frame(spark, entries):
 
 @pytest.mark.parametrize("cuts", [1, 2, 5])
 def test_history_stream_equals_batch(spark, rows, tmp_path, cuts):
-    src, log, out, cp = (str(tmp_path / n) for n in ("in", "log", "history", "cp"))
+    src, out, cp = (str(tmp_path / n) for n in ("in", "tables", "cp"))
     shuffled = sorted(CHANGES, key=lambda e: (e[0] * 7 + e[1] * 13) % 11)  # late rows
     for i in range(cuts):
         change_frame(spark, shuffled[i::cuts]).coalesce(1).write.mode("append").parquet(src)
         stream = spark.readStream.schema(CHANGE_DDL).option("maxFilesPerTrigger", 1).parquet(src)
-        run(flows.history_stream(stream, log, out, cp, ["k"], "seq", buckets=4))
+        run(flows.history_stream(stream, out, cp, ["k"], "seq", buckets=4))
     want = history_from_changes(change_frame(spark, CHANGES), ["k"], "seq")
-    got = spark.read.parquet(out).select(*want.columns)
+    got = read_history(spark, out).select(*want.columns)
     assert rows(got) == rows(want)
 
 
 def test_history_stream_replay_changes_nothing(spark, rows, tmp_path):
-    src, log, out = (str(tmp_path / n) for n in ("in", "log", "history"))
+    src, out = (str(tmp_path / n) for n in ("in", "tables"))
     change_frame(spark, CHANGES).coalesce(1).write.parquet(src)
     results = []
     for attempt in range(2):  # a lost checkpoint makes the same batch id run again
         stream = spark.readStream.schema(CHANGE_DDL).parquet(src)
-        run(flows.history_stream(stream, log, out, str(tmp_path / f"cp{attempt}"), ["k"], "seq"))
-        results.append(rows(spark.read.parquet(out)))
+        run(flows.history_stream(stream, out, str(tmp_path / f"cp{attempt}"), ["k"], "seq"))
+        results.append(rows(read_history(spark, out)))
     assert results[0] == results[1]
 
 

@@ -38,6 +38,7 @@ def history_from_changes(
     sequence_by: str,
     ignore: Sequence[str] | None = None,
     tie_break: Sequence[str] = (),
+    delete_when: Column | None = None,
 ) -> DataFrame:
     """K1: all versions of each key from the full log of its changes.
 
@@ -46,35 +47,41 @@ def history_from_changes(
     version closes it.  By default only the sequence column is ignored; pass ``()`` to make
     every new sequence value a version.  Working from the log makes late and out-of-order
     rows exact.  Equal sequence values of a key are reduced to one row by ``tie_break`` and
-    then by all columns.
+    then by all columns.  A row for which ``delete_when`` holds closes the version before it
+    and opens none; the next other row of the key opens one again, whatever it says.
 
     Works for any orderable sequence and for null keys, by one way at every size: rows are
     dealt by range of key and sequence and written to scratch, so a key with many changes
-    spreads over slices by itself.  States and ends are found inside the slices; one row per
-    slice carries the last state, and the next version's begin, across its border.
+    spreads over slices by itself.  States and ends are found inside the slices, in one
+    exchange; one row per slice carries the last state, and the next turn, across its border.
     """
     ignored = {sequence_by} if ignore is None else set(ignore)
     tracked = [c for c in changes.columns if c not in {*keys, *ignored}]
     order = [*keys, sequence_by]
-    rows = newest_per_key(changes, order, tie_break)
+    deleted = F.lit(False) if delete_when is None else F.coalesce(delete_when, F.lit(False))
+    rows = newest_per_key(changes, order, tie_break).withColumn("__gone", deleted)
     sliced = rows.repartitionByRange(*order).withColumn("__slice", F.spark_partition_id())
     sliced = spill(sliced, "history-slices")
     key, state = F.struct(*keys), _state(tracked)
+    if delete_when is not None:  # a deletion is a state of its own, whatever its row holds
+        state = F.when(~F.col("__gone"), state)
     place = F.struct(*order)
     across = Window.orderBy("__slice")  # one row per slice: at most the shuffle partitions
     in_slice = Window.partitionBy("__slice", *keys).orderBy(sequence_by)
 
-    last = sliced.groupBy("__slice").agg(F.max_by(F.struct(key.alias("key"), state.alias("state")), place).alias("__last"))
+    last = sliced.groupBy("__slice").agg(
+        F.max_by(F.struct(key.alias("key"), state.alias("state")), place).alias("__last")
+    )
     entered = last.select(
         F.col("__slice").alias("__of"),
         F.lag("__last").over(across)["key"].alias("__key"),
         F.lag("__last").over(across)["state"].alias("__entry"),
     )
-    first = F.row_number().over(in_slice) == 1
-    opened = (
-        sliced.withColumn("__first", first)
+    # The join comes first, so that the windows share one exchange and one sort.
+    turns = (
+        sliced.join(F.broadcast(entered), F.col("__slice") == F.col("__of"))
+        .withColumn("__first", F.row_number().over(in_slice) == 1)
         .withColumn("__before", F.lag(state).over(in_slice))
-        .join(F.broadcast(entered), F.col("__slice") == F.col("__of"))
         .withColumn(
             "__before",
             F.when(~F.col("__first"), F.col("__before")).when(
@@ -82,11 +89,12 @@ def history_from_changes(
             ),
         )
         .filter(~F.col("__before").eqNullSafe(state))
-        .select(*changes.columns, "__slice")
+        .withColumn("__next_turn", F.lead(sequence_by).over(in_slice))
+        .select(*changes.columns, "__gone", "__slice", "__next_turn")
     )
-    opened = spill(opened, "history-versions")
+    turns = spill(turns, "history-turns")
 
-    begins = opened.groupBy("__slice").agg(
+    begins = turns.groupBy("__slice").agg(
         F.min_by(F.struct(key.alias("key"), F.col(sequence_by).alias("begin")), place).alias("__begin")
     )
     following = begins.select(
@@ -94,14 +102,16 @@ def history_from_changes(
         F.lead("__begin").over(across)["key"].alias("__key"),
         F.lead("__begin").over(across)["begin"].alias("__next"),
     )
+    # Null sequence values come first, so a missing next turn means the last one of its slice.
+    beyond = F.when(F.col("__key").eqNullSafe(key), F.col("__next"))
     return (
-        opened.withColumn(START, F.col(sequence_by))
-        .withColumn(END, F.lead(sequence_by).over(in_slice))
-        .join(F.broadcast(following), F.col("__slice") == F.col("__of"))
-        .withColumn(
-            END, F.coalesce(END, F.when(F.col("__key").eqNullSafe(key), F.col("__next")))
+        turns.join(F.broadcast(following), F.col("__slice") == F.col("__of"))
+        .filter(~F.col("__gone"))
+        .select(
+            *changes.columns,
+            F.col(sequence_by).alias(START),
+            F.coalesce("__next_turn", beyond).alias(END),
         )
-        .select(*changes.columns, START, END)
     )
 
 

@@ -1,38 +1,40 @@
 """All tables in load order, and batch runs over a landing folder.
 
-Runs are incremental.  Bronze tables and manifests get the files they have not seen yet,
-stamped with the run's time.  Histories of teams and fixtures are functions of that log, so
-they keep every version and take late files exactly; rows of one time are decided by file
-time and name.  Statistics carry their stored history through each snapshot.  Tracking keeps
-its rows and gets the new fixtures.
+A run is one commit.  It lists the landed files once, takes those that its tables have not
+taken yet, and publishes all its tables and the ledger of files together (``sinks.snapshots``),
+so manifest, bronze and everything above agree on the same files, and readers see a run as a
+whole or not at all.  A run that fails leaves nothing behind that anyone reads; the next one
+does its work.  Files that land during a run belong to the next.
+
+Bronze tables and manifests get the rows of new files, and only those files are opened.
+Histories of teams and fixtures move on by those rows (``operators.tails``): versions that
+ended before are not read again, late files are exact, and rows of one time are decided by file
+time and name.  Statistics carry their stored history through each snapshot.  Tracking keeps its
+rows and gets the new fixtures.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
 
 from touchline import schemas
 from touchline.operators import progress
 from touchline.operators.history import newest_per_key
+from touchline.operators.tails import History
 from touchline.plans import bronze, gold, silver
 from touchline.scratch import spill
 from touchline.sinks.manifests import landing_manifest, record_manifest
-from touchline.sinks.tables import write_table
-from touchline.sources.landing import (
-    FILE_PATH,
-    FILE_TIME,
-    INGESTED,
-    SOURCE_FILE,
-    read_landing,
-    with_file_order,
-)
-from touchline.sources.tables import read_table, table_path
+from touchline.sinks.snapshots import Commit, Part, Parts, Snapshots, ripe
+from touchline.sinks.tables import conform
+from touchline.sources import ledger
+from touchline.sources.landing import FILE_TIME, INGESTED, SOURCE_FILE
+
+Table = tuple[str, str]
 
 
 def declared_layout(layer: str, name: str) -> StructType | None:
@@ -57,34 +59,115 @@ class Load:
     at: datetime
     seasons: str = "season"
     multi_line: bool = True  # files hold JSON arrays; False for one record per line
+    _run: Run | None = field(default=None, repr=False, compare=False)
+
+    @property
+    def snapshots(self) -> Snapshots:
+        return Snapshots(self.spark, self.root)
 
     def new(self, name: str, ddl: str) -> DataFrame:
-        """Landed rows of the files that the bronze table does not hold yet.
+        """Landed rows of the files that the table in work has not taken yet.
 
-        A file written again is new, by its time.  A table of an earlier layout, without
-        paths, keeps it and tells files by name and time.
+        Outside a run: those that the bronze table has not taken as of now.
         """
-        landed = read_landing(self.spark, f"{self.landing}/{name}", ddl, self.multi_line)
-        rows, known = with_file_order(landed), self.stored("bronze", name)
-        if known is None:
-            return rows
-        if FILE_PATH not in known.columns:
-            rows = rows.drop(FILE_PATH)
-        file = [FILE_PATH if FILE_PATH in known.columns else SOURCE_FILE, FILE_TIME]
-        return rows.join(known.select(*file).distinct(), file, "left_anti")
+        run = self._run or Run(self, self.snapshots.newest())
+        files = run.new_files(name, run.working or ("bronze", name))
+        return ledger.read_files(self.spark, files, ddl, self.multi_line, f"{self.landing}/{name}")
 
     def stored(self, layer: str, name: str) -> DataFrame | None:
-        """The table as an earlier run left it, if there was one."""
-        try:
-            return self.table(layer, name)
-        except AnalysisException:
-            return None
+        """The table as an earlier run (or step) left it, if there was one."""
+        parts = self._parts(layer, name)
+        return self.snapshots.read(parts, declared_layout(layer, name)) if parts else None
 
     def table(self, layer: str, name: str) -> DataFrame:
-        return read_table(self.spark, self.root, layer, name, declared_layout(layer, name))
-
-
-Step = Callable[[Load], DataFrame]
+        """A table as of the newest commit; inside a run, as the run has it so far."""
+        parts, layout = self._parts(layer, name), declared_layout(layer, name)
+        if not parts and layout is None:
+            raise ValueError(f"{layer}/{name} has not been written")
+        return self.snapshots.read(parts, layout)
+
+    def added(self, layer: str, name: str) -> DataFrame:
+        """Rows of an appended table that the table in work has not taken; all, outside a run."""
+        if self._run is None:
+            return self.table(layer, name)
+        parts = self._run.added((layer, name))
+        return self.snapshots.read(parts) if parts else self.table(layer, name).limit(0)
+
+    def _parts(self, layer: str, name: str) -> Parts:
+        table = f"{layer}/{name}"
+        if self._run is not None and table in self._run.staged:
+            return self._run.staged[table]
+        commit = self._run.base if self._run is not None else self.snapshots.newest()
+        return commit.parts(table)
+
+
+class Run:
+    """What a run has listed, taken and staged so far; nothing of it is visible yet."""
+
+    def __init__(self, load: Load, base: Commit) -> None:
+        self.load, self.base = load, base
+        self.working: Table | None = None
+        self.staged: dict[str, Parts] = {}
+        self.notes: dict[str, int | str] = {"at": load.at.isoformat()}
+        self._fresh: dict[str, Parts] = {}
+        self._listed: dict[str, DataFrame] = {}
+        self._taken: dict[str, DataFrame] = {}
+
+    def new_files(self, feed: str, table: Table) -> DataFrame:
+        """The run's files of a feed for one table; the same whenever it is asked."""
+        name = f"ledger/{'/'.join(table)}"
+        if name not in self._taken:
+            if feed not in self._listed:
+                landed = ledger.landed_files(self.load.spark, f"{self.load.landing}/{feed}")
+                self._listed[feed] = spill(landed, "landed-files")
+            files, parts = self._listed[feed], self.base.parts(name)
+            if parts:
+                files = ledger.new_files(files, self.load.snapshots.read(parts))
+            self._taken[name] = spill(files, "new-files")
+        return self._taken[name]
+
+    def write(self, table: Table, df: DataFrame, partition_by: Sequence[str]) -> None:
+        name = "/".join(table)
+        staged = self.load.snapshots.stage(self.base, name, df, partition_by=partition_by)
+        if table in APPENDED:
+            self._fresh[name] = staged
+            staged = self._added(name, staged)
+        self.staged[name] = staged
+
+    def added(self, source: Table) -> Parts:
+        """What ``source`` got that the table in work has not taken: in this run, as a rule.
+
+        Parts of earlier runs count if the table was left out of them.
+        """
+        name, mark = "/".join(source), f"{'/'.join(self.working)} took {'/'.join(source)}"
+        taken = int(self.base.notes.get(mark, 0))
+        self.notes[mark] = self.base.version + 1
+        missed = {
+            n: p for n, p in self.base.parts(name).items() if int(p.folder.split("/")[-1][:10]) > taken
+        }
+        return {**missed, **self._fresh.get(name, {})}
+
+    def _added(self, name: str, staged: Parts) -> Parts:
+        """The parts that a table has, and the new one; many small parts become one."""
+        parts = {**self.base.parts(name), **staged}
+        names = ripe(parts)
+        if names:
+            small = {n: parts.pop(n) for n in names}
+            level = next(iter(small.values())).notes.get("level", 0) + 1
+            rows = self.load.snapshots.read(small)
+            for n, part in self.load.snapshots.stage(self.base, name, rows).items():
+                parts[n] = Part(part.folder, {"level": level})
+        return parts
+
+    def commit(self) -> Commit:
+        """Publish all staged tables with the ledger of the files behind them."""
+        for name, files in self._taken.items():
+            if not files.isEmpty():
+                self.staged[name] = self._added(name, self.load.snapshots.stage(self.base, name, files))
+        return self.load.snapshots.commit(self.base, self.staged, self.notes)
+
+
+Step = Callable[[Load], DataFrame | None]
 
 
 def _manifest(load: Load) -> DataFrame:
@@ -106,7 +189,7 @@ def _stats_manifest(load: Load) -> DataFrame:
 
 def _tracking(load: Load) -> DataFrame:
     """One row per fixture, from its newest payload; known fixtures keep their state."""
-    rows = load.table("bronze", "fixtures").withColumnRenamed("league_season", "season")
+    rows = load.added("bronze", "fixtures").withColumnRenamed("league_season", "season")
     order = [INGESTED, FILE_TIME, SOURCE_FILE]
     newest = newest_per_key(
         rows.select("fixture_id", "league_id", "season", *order), ["fixture_id"], order
@@ -115,19 +198,34 @@ def _tracking(load: Load) -> DataFrame:
     if known is None:
         return fresh
     added = fresh.join(known, "fixture_id", "left_anti")
-    return spill(known.unionByName(added), "tracking")
+    return known.unionByName(added)
 
 
 def _stats_history(load: Load) -> DataFrame:
     known = load.stored("silver", "fixture_stats")
-    rows = load.table("silver_intermediate", "fixture_stats")
-    # Written aside first, as the table that is read is about to be replaced.
-    return spill(silver.fixture_stats(known, rows, F.lit(load.at)), "stats-history")
+    rows = silver.merge_stats(load.table("silver_intermediate", "fixture_stats"))
+    return silver.fixture_stats(known, rows, F.lit(load.at))
+
+
+# The histories, by their key and how new bronze rows become changes.  Their log of changes is
+# the table of the same name in the intermediate layer.
+HISTORIES: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
+    "teams": ("team_id", silver.team_changes),
+    "fixtures": ("fixture_id", silver.fixture_changes),
+}
 
 
-def _history(load: Load, name: str) -> DataFrame:
-    changes = load.table("silver_intermediate", name)
-    return (silver.teams if name == "teams" else silver.fixtures)(changes)
+def _move_history(load: Load, name: str) -> None:
+    """Stage a history and its log with the bronze rows they have not taken."""
+    key, typed = HISTORIES[name]
+    changes = typed(load.added("bronze", name))
+    files = [c for c in silver.FILE_ORDER if c in changes.columns]
+    stored = History(
+        load.snapshots, f"silver/{name}", changes.schema, [key], INGESTED,
+        ignore=(INGESTED, *files), tie_break=files, leave_out=files,
+        log=f"silver_intermediate/{name}",
+    )
+    load._run.staged.update(stored.advanced(load._run.base, changes))
 
 
 def _star(load: Load) -> list[DataFrame]:
@@ -138,7 +236,8 @@ def _stats(load: Load, *others: str) -> list[DataFrame]:
     return [load.table("gold", f"dim_{d}") for d in ("fixture_stats", "fixtures", "teams", *others)]
 
 
-# (layer, table) -> how it is computed and how it is partitioned; order is load order.
+# (layer, table) -> how it is computed and how it is partitioned; order is load order.  Steps
+# without a result stage their tables themselves, the history with its log of changes.
 TABLES: dict[tuple[str, str], tuple[Step, tuple[str, ...]]] = {
     ("staging", "fixture_manifest"): (_manifest, ()),
     ("staging", "team_manifest"): (_team_manifest, ()),
@@ -169,17 +268,11 @@ TABLES: dict[tuple[str, str], tuple[Step, tuple[str, ...]]] = {
         (),
     ),
     ("silver", "leagues"): (lambda x: silver.leagues(x.table("bronze", "leagues")), ()),
-    ("silver_intermediate", "teams"): (
-        lambda x: silver.team_changes(x.table("bronze", "teams")), (),
-    ),
-    ("silver", "teams"): (lambda x: _history(x, "teams"), ()),
-    ("silver_intermediate", "fixtures"): (
-        lambda x: silver.fixture_changes(x.table("bronze", "fixtures")), (),
-    ),
-    ("silver", "fixtures"): (lambda x: _history(x, "fixtures"), ("league_id",)),
     ("silver_intermediate", "fixture_stats"): (
-        lambda x: silver.stats_from_rows(x.table("bronze", "fixture_stats")), (),
+        lambda x: silver.stats_from_rows(x.added("bronze", "fixture_stats")), (),
     ),
+    ("silver", "teams"): (lambda x: _move_history(x, "teams"), ()),
+    ("silver", "fixtures"): (lambda x: _move_history(x, "fixtures"), ()),
     ("silver", "fixture_stats"): (_stats_history, ()),
     ("gold", "dim_dates"): (
         lambda x: gold.calendar_covering(x.table("silver", "fixtures"), "date"), (),
@@ -220,18 +313,27 @@ APPENDED = {
     ("bronze", "teams"),
     ("bronze", "fixtures"),
     ("bronze", "fixture_stats"),
+    ("silver_intermediate", "fixture_stats"),
 }
 
 
-def run(load: Load, only: Sequence[tuple[str, str]] | None = None) -> None:
-    """Compute and write every table (or those of ``only``), in load order.
+def run(load: Load, only: Sequence[Table] | None = None, keep: int | None = None) -> Commit:
+    """Compute every table (or those of ``only``), in load order, and commit them together.
 
-    A table with a declared layout is checked against it; a wrong frame stops the run.
+    A table with a declared layout is checked against it; a wrong frame stops the run, and
+    nothing of it becomes visible.  With ``keep``, commits older than the newest so many are
+    removed afterwards, with the folders that only they name.
     """
-    for (layer, name), (step, partition_by) in TABLES.items():
-        if only is not None and (layer, name) not in only:
+    run = Run(load, load.snapshots.newest())
+    inside = replace(load, _run=run)
+    for table, (step, partition_by) in TABLES.items():
+        if only is not None and table not in only:
             continue
-        mode = "append" if (layer, name) in APPENDED else "overwrite"
-        path = table_path(load.root, layer, name)
-        layout = declared_layout(layer, name)
-        write_table(step(load), path, layout, partition_by, mode)
+        run.working = table
+        df, layout = step(inside), declared_layout(*table)
+        if df is not None:
+            run.write(table, conform(df, layout, "/".join(table)) if layout else df, partition_by)
+    commit = run.commit()
+    if keep is not None:
+        load.snapshots.expire(keep)
+    return commit

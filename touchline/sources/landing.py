@@ -15,14 +15,23 @@ FILE_PATH = "file_path"
 
 
 def read_landing(
-    spark: SparkSession, path: str, schema: StructType | str, multi_line: bool = True
+    spark: SparkSession,
+    path: str | list[str],
+    schema: StructType | str,
+    multi_line: bool = True,
+    base: str | None = None,
 ) -> DataFrame:
-    """A1: all JSON files below ``path``, one row per array element.
+    """A1: all JSON files below ``path`` (or several), one row per array element.
+
+    Where single files are given, folders named ``column=value`` below ``base`` become columns.
 
     A multi-line file is one task whatever its size.  Feeds with very large files should
     land one record per line and pass ``multi_line=False``: those files are split.
     """
-    return spark.read.schema(schema).option("multiLine", multi_line).json(path)
+    reader = spark.read.schema(schema).option("multiLine", multi_line)
+    if base is not None:
+        reader = reader.option("basePath", base)
+    return reader.json(path)
 
 
 def stream_landing(

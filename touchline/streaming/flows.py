@@ -4,17 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import StructType
 
-from touchline.operators.history import history_from_changes
+from touchline.operators.tails import History
 from touchline.plans import bronze, silver
+from touchline.sinks.snapshots import Snapshots
 from touchline.sinks.tables import replace_partitions
 from touchline.sources.landing import stream_landing
 from touchline.sources.tables import stream_table
 
-BATCH, BUCKET = "batch_id", "bucket"
+BATCH = "batch_id"
 
 
 def append_stream(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -95,42 +96,40 @@ def statistics_stream(raw: DataFrame, path: str, checkpoint: str) -> StreamingQu
 
 def history_stream(
     changes: DataFrame,
-    log_path: str,
-    history_path: str,
+    root: str,
     checkpoint: str,
     keys: Sequence[str],
     sequence_by: str,
     ignore: Sequence[str] | None = None,
     tie_break: Sequence[str] = (),
+    delete_when: Column | None = None,
     buckets: int = 64,
+    keep: int | None = None,
+    name: str = "history",
 ) -> StreamingQuery:
-    """Keep a type 2 history of a change stream.
+    """Keep a type 2 history of a change stream below ``root``.
 
-    Each micro-batch is appended to a change log partitioned by key bucket and batch; the
-    history of the buckets it touches is then computed again from the log and replaces
-    those partitions.  History is thus a function of the log alone: late rows are exact and
-    running a batch twice gives the same tables.  Choose ``buckets`` so that one bucket of
-    log is a comfortable job.
+    Each micro-batch is one commit of log and versions (``operators.tails``): it touches the
+    tails of its keys only, late rows are exact, a failed batch leaves the history as it was,
+    and a batch that runs again changes nothing.  ``read_history`` gives the versions.  With
+    ``keep``, older commits than the last so many are removed after each batch.
     """
     layout = changes.schema
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("bigint")
-        tagged = batch.withColumns({BUCKET: bucket, BATCH: F.lit(batch_id).cast("bigint")})
-        replace_partitions(tagged, log_path, BUCKET, BATCH)
-
-        stored = StructType([*layout, StructField(BUCKET, LongType()), StructField(BATCH, LongType())])
-        log = spark.read.schema(stored).parquet(log_path)
-        touched = log.filter(F.col(BATCH) == batch_id).select(BUCKET).distinct()
-        numbers = [row[0] for row in touched.collect()]  # at most ``buckets`` integers
-        if not numbers:
-            return
-        slices = log.filter(F.col(BUCKET).isin(numbers)).drop(BATCH, BUCKET)
-        versions = history_from_changes(
-            slices, keys, sequence_by, ignore, tie_break
-        )
-        replace_partitions(versions.withColumn(BUCKET, bucket), history_path, BUCKET)
+        snapshots = Snapshots(spark, root)
+        base = snapshots.newest()
+        mark = f"stream {spark.sparkContext.getLocalProperty('sql.streaming.queryId')}"
+        if int(base.notes.get(mark, -1)) >= batch_id:
+            return  # committed before the checkpoint was
+        stored = History(
+            snapshots, name, layout, keys, sequence_by, ignore, tie_break,
+            delete_when=delete_when, buckets=buckets,
+        )
+        snapshots.commit(base, stored.advanced(base, batch), {mark: batch_id})
+        if keep is not None:
+            snapshots.expire(keep)
 
     return (
         changes.writeStream.foreachBatch(apply)

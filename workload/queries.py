@@ -12,6 +12,7 @@ from touchline.functions import parsing, scores
 from touchline.functions.calendar import calendar_covering, date_key, season_label
 from touchline.operators import history, nested, pivot, progress, quality, sides
 from touchline.operators.keys import dense_key, spread_key
+from touchline.operators.tails import read_history
 from touchline.plans import tracking as tracking_plan
 from touchline.plans import bronze, catalog, gold, silver
 from touchline.scratch import scratch_dir, spill
@@ -371,7 +372,7 @@ def raw_team_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.current(versions).drop("ingestion_time", history.START, history.END)
 
 
-TEAM_TABLES = (("bronze", "teams"), ("silver_intermediate", "teams"), ("silver", "teams"))
+TEAM_TABLES = (("bronze", "teams"), ("silver", "teams"))
 
 
 @query
@@ -561,11 +562,10 @@ def scd2_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_dir(spark, "scd2-stream")
     _finish(
         flows.history_stream(
-            changes, f"{folder}/log", f"{folder}/history", f"{folder}/checkpoint",
-            ["user_id"], "ts", buckets=8,
+            changes, f"{folder}/tables", f"{folder}/checkpoint", ["user_id"], "ts", buckets=8
         )
-    )
-    return spark.read.parquet(f"{folder}/history").drop(flows.BUCKET)
+    )
+    return read_history(spark, f"{folder}/tables")
 
 
 def _landed_events(spark: SparkSession, sf_dir: str) -> str:
