@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from touchline.operators.history import newest_per_key
+from touchline.scratch import spill
 
 PROGRESS_KEYS = ("league_id", "year")
 
@@ -24,10 +25,13 @@ def upsert(
     Several updates of one key count as one, the largest by their columns, so no row of the
     target is multiplied.  The target is read once.  A caller who knows that updates are
     ``few`` gets a left join plus the updates of unknown keys: that reads the target twice,
-    but may broadcast the updates and then leaves the target where it is.
+    but the reduced updates are written first, so the planner knows their size, and as long as
+    it broadcasts them the target stays where it is.
     """
     given = [c for c in target.columns if c not in keys and c in updates.columns]
     reduced = newest_per_key(updates.select(*keys, *given), keys)
+    if few:
+        reduced = spill(reduced, "updates")
     incoming = reduced.select(*keys, F.struct(*given).alias("__new"))
     merged = target.join(incoming, list(keys), "left" if few else "full_outer").select(
         *[
