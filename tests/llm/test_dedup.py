@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-from touchline.llm import exact, grouping, lines, near, repeats
+from touchline.llm import exact, grouping, linking, lines, near, repeats
 
 from .test_queries import components
 
@@ -29,7 +29,7 @@ def line_copies(docs, k):
     return out
 
 
-@pytest.mark.parametrize("k", [2, 3, 4])
+@pytest.mark.parametrize("k", [1, 2, 3, 4])
 def test_lines(documents, as_dict, k):
     rng = random.Random(k)
     docs = {
@@ -47,6 +47,14 @@ def test_lines_without_repeats_or_rows(documents):
     assert lines.deduplicated_lines(documents([(1, "a")]).limit(0)).collect() == []
 
 
+def test_single_lines(documents, as_dict):
+    """A long line between unlike lines, and a document of one line, are later copies."""
+    line = " ".join(f"w{k}" for k in range(60))
+    docs = {1: f"a\n{line}\nb", 2: f"c\n{line}\nd", 3: "whole text", 4: "whole text", 5: "e"}
+    found = as_dict(lines.deduplicated_lines(documents(docs.items())))
+    assert {i: r["text"] for i, r in found.items()} == {1: docs[1], 2: "c\nd", 3: "whole text", 4: "", 5: "e"}
+
+
 def byte_copies(docs):
     seen, out = set(), {}
     for i, text in sorted(docs.items()):
@@ -89,6 +97,23 @@ def test_contexts_of_one_text_are_dealt_to_parts(spark):
     assert sum(sizes) == 2000 and len(sizes) == 4 and max(sizes) < 600
 
 
+def test_bytes_of_ids_with_unlike_texts(documents):
+    """Rows without an id, and unlike texts of one id, are documents of their own."""
+    rng = random.Random(9)
+    a, b, c = ("".join(rng.choice("abcdefgh") for _ in range(300)) for _ in range(3))
+    rows = [(1, a), (None, f"{a}x"), (None, b), (3, c), (3, f"{c}y"), (2, b[:150]), (None, b)]
+    found = {}
+    for r in repeats.without_repeats(documents(rows)).collect():
+        found.setdefault((r["doc_id"], r["n_bytes"]), set()).add((r["n_removed"], r["kept_sha256"]))
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    assert found[1, 300] == {(0, sha(a))} and found[2, 150] == {(0, sha(b[:150]))}
+    assert found[None, 301] == {(300, sha("x"))} and found[None, 300] == {(150, sha(b[150:]))}
+    # Of the two texts of id 3 the one with the smaller hash counts as the earlier one.
+    assert (found[3, 300], found[3, 301]) in [
+        ({(0, sha(c))}, {(300, sha("y"))}), ({(300, sha(""))}, {(0, sha(f"{c}y"))}),
+    ]
+
+
 def test_one_text_with_a_hot_anchor(documents, as_dict, monkeypatch):
     monkeypatch.setattr(repeats, "CONTEXTS", 3)
     rng = random.Random(8)
@@ -142,6 +167,35 @@ def test_near_without_links_or_rows(documents, as_dict):
     assert near.near_duplicates(documents([(1, "a")]).limit(0)).collect() == []
 
 
+def test_near_ids(documents):
+    """Rows without an id, and unlike texts of one id, are documents of their own."""
+    words = [f"w{k}" for k in range(40)]
+    copy = " ".join(words)
+    rows = [
+        (None, copy), (None, copy + " more"), (7, copy + " other"), (9, copy + " again"),
+        (5, "an unlike text of some words here"), (5, copy.upper()),
+        (None, "alone without any id at all"), (None, "alone without any id at all"),
+    ]
+    found = near.near_duplicates(documents(rows)).collect()
+    assert sorted(((r["doc_id"], r["component_id"], r["kept"]) for r in found), key=repr) == sorted(
+        [(None, 5, False)] * 2 + [(7, 5, False), (9, 5, False), (5, 5, True), (5, 5, True)]
+        + [(None, None, True)] * 2,
+        key=repr,
+    )
+
+
+def test_near_texts_of_one_passage_do_not_meet(spark):
+    """Texts that share most of their words, but too few: no candidates, however many they are."""
+    passage = " ".join(f"p{k}" for k in range(60))
+    rows = [(k, f"{passage} " + " ".join(f"q{k}x{j}" for j in range(10))) for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    described = near.described(docs, "text", "doc_id").withColumnRenamed("n_shingles", "n").cache()
+    sizes = described.select("node", "n")
+    posted = near.postings(described).join(sizes, "node")
+    sets = linking.set_table(docs, "text", 1, 0)
+    assert posted.count() > 0 and linking.prefix_pairs(posted, None, sets, 75).count() == 0
+
+
 def test_exact(documents, as_dict):
     docs = {1: "a b", 2: "ab", 3: "a  b", 4: "A b", 5: "ab\n ", 6: None, 7: "", 8: "\t", 9: "x"}
     found = as_dict(exact.exact_duplicates(documents(docs.items()), salts=3))

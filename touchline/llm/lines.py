@@ -6,6 +6,9 @@ doubling: round j orders suffixes by their first 2**j lines, from pairs of the l
 ranks.  A suffix whose prefix is unique is settled and leaves, so a round handles only lines
 in repeats at least that long, and rounds end with the longest repeat.
 
+A run may be a single line: a line that stands alone between unlike lines, or is a document of
+its own, is a later copy like any other.
+
 Suffixes of equal rank in round j are the suffix array's intervals whose longest common
 prefix is at least 2**j.  In each interval the first suffix in document order is the
 original; at every other one a run of 2**j lines is a later copy.  Intervals from depth
@@ -31,7 +34,7 @@ from touchline.llm.common import text_of
 from touchline.llm.ranks import ranked
 from touchline.scratch import spill
 
-MIN_LINES = 2
+MIN_LINES = 1
 _LAST = "9223372036854775807"
 _ID = ["doc", "copy"]
 
