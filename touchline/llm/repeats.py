@@ -20,9 +20,10 @@ Only anchors, contexts of unlike buckets and texts that lose bytes or own such c
 shuffled.  Context equality rests on two 64-bit hashes together, digests on 128 bits.
 
 Edge cases: null text is empty; texts shorter than ``LENGTH`` lose nothing; any text length
-is worked in pieces; a null id sorts after all others; rows that repeat an id are taken to
-repeat its text and get the same result; an empty table gives no rows; other columns are not
-read.
+is worked in pieces; a null id sorts after all others; rows that repeat id and text are one
+document and get the same result; rows of one id (or without id) and unlike texts are documents
+of their own, in the order of a hash of their texts; an empty table gives no rows; other columns
+are not read.  Only where ids have unlike texts are documents numbered anew, by id and hash.
 """
 
 from __future__ import annotations
@@ -39,6 +40,7 @@ from touchline.llm import anchors
 from touchline.llm.anchors import LENGTH
 from touchline.llm.common import text_of
 from touchline.llm.grouping import prefix_intervals
+from touchline.operators.keys import dense_key
 from touchline.scratch import spill
 
 CONTEXTS = 500
@@ -49,6 +51,17 @@ def _id(column: str) -> Column:
     return F.coalesce(F.col(column).cast("long"), F.lit(_LAST).cast("long")).alias("doc")
 
 
+def _documents(rows: DataFrame) -> DataFrame:
+    """Rows (doc, copy, text, doc_id), with ``doc`` one number per text, in the order of ids."""
+    texts = rows.groupBy("doc").agg(F.min("copy").alias("low"), F.max("copy").alias("high"))
+    if texts.filter("low != high").isEmpty():
+        return rows
+    known = dense_key(rows.select("doc", "copy").distinct(), "number", ["doc", "copy"])
+    known = known.withColumnsRenamed({"doc": "__doc", "copy": "__copy"})
+    same = (F.col("doc") == F.col("__doc")) & (F.col("copy") == F.col("__copy"))
+    return spill(rows.join(known, same).withColumn("doc", F.col("number")).select(*rows.columns), "repeat-numbered")
+
+
 def text_anchors(texts: DataFrame) -> DataFrame:
     """(gram, context, doc, at) from (doc, text); ``at`` is place, left and owned in one."""
 
@@ -249,19 +262,26 @@ def remaining_text(texts: DataFrame, spans: DataFrame) -> DataFrame:
 def without_repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     raw = text_of(text).cast("binary")
-    texts = docs.select(_id(id_column), raw.alias("text"))
-    spans, held = repeated_spans(texts)
+    rows = _documents(
+        docs.select(
+            F.col(id_column).cast("long").alias("doc_id"),
+            _id(id_column),
+            F.xxhash64(raw).alias("copy"),
+            raw.alias("text"),
+        )
+    )
+    spans, held = repeated_spans(rows.select("doc", "text"))
     changed = spill(
         remaining_text(held, spans).select(
             F.col("doc").alias("__doc"), "n_removed", "n_spans", F.sha2("kept", 256).alias("digest")
         ),
         "repeat-changed",
     )
-    rows = docs.select(
-        F.col(id_column).cast("long").alias("doc_id"),
-        _id(id_column),
-        F.octet_length(raw).cast("long").alias("n_bytes"),
-        F.sha2(raw, 256).alias("whole"),
+    rows = rows.select(
+        "doc_id",
+        "doc",
+        F.octet_length("text").cast("long").alias("n_bytes"),
+        F.sha2("text", 256).alias("whole"),
     )
     return rows.join(changed, F.col("doc") == F.col("__doc"), "left").select(
         "doc_id",
