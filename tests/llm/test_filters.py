@@ -238,8 +238,8 @@ def test_extraction(spark, as_dict):
     rows += [(204, "http://one.net/", PAGE.format("solo"))]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     found = as_dict(extract.extracted(pages.selectExpr("*", "'x' AS text", "1 AS row")), "page_id")
-    # A text on all twelve pages of a host is template; on a host of one page it is not.
-    assert found[3]["text"] == "Head n3\none & n3\ntwo lines n3 ©"
+    # Nothing of an article is template, on however many pages it is.
+    assert found[3]["text"] == "Head n3\none & n3\ntwo lines n3 ©\nAccept our terms."
     assert found[204]["text"] == "Head solo\none & solo\ntwo lines solo ©\nAccept our terms."
     assert found[101]["text"] == "alpha beta 1\ngamma 1"
     assert found[200]["text"] == found[201]["text"] == ""
@@ -336,6 +336,39 @@ def test_template_texts_at_every_host_size(spark, as_dict, n):
     assert found[n:] == [f"text {i}\n" + ("shared" if i else "own") for i in range(n)]
 
 
+@pytest.mark.parametrize("n", [2, 9, 10])
+def test_shared_paragraphs_are_content(spark, as_dict, n):
+    """Alone in plain pages, and in an article, at every size of the host."""
+    plain = "<div><p>text {0}</p><p>shared paragraph of content here</p></div>"
+    article = "<article><p>text {0}</p><p>shared one</p><p>shared two</p></article>"
+    pages = [("http://plain.com/", plain.format(i)) for i in range(n)]
+    pages += [("http://a.com/", article.format(i)) for i in range(n)]
+    found = extracted_texts(spark, as_dict, pages)
+    assert found[:n] == [f"text {i}\nshared paragraph of content here" for i in range(n)]
+    assert found[n:] == [f"text {i}\nshared one\nshared two" for i in range(n)]
+
+
+def test_subjects_in_class_names():
+    page = "<div class=legal-news><p>court ruling</p></div><div class=text><p>{}</p></div><div class=legal-box>terms</div>"
+    assert extract.main_text(page.format("long " * 9), [], frozenset()) == "court ruling\n" + "long " * 8 + "long"
+
+
+def test_repeated_pages_count_each(spark, as_dict):
+    """Equal rows do not cancel: a text of one repeated page is no template of another."""
+    pages = [("http://r.com/", "<p>one</p><p>two</p>")] * 2 + [("http://r.com/", "<p>three</p><p>four</p>")] * 2
+    found = extracted_texts(spark, as_dict, pages)
+    assert found == ["one\ntwo"] * 2 + ["three\nfour"] * 2
+
+
+def test_texts_out_of_order_are_no_template(spark, as_dict):
+    """Two texts that all pages have, in changing order, are no class of one template."""
+    pages = [("http://o.com/", f"<p>own {i}</p>" + "<p>a</p><p>b</p>") for i in range(3)]
+    mixed = [("http://m.com/", f"<p>own {i}</p>" + ("<p>a</p><p>x{0}</p><p>b</p>", "<p>b</p><p>a</p>")[i % 2]) for i in range(4)]
+    found = extracted_texts(spark, as_dict, pages + mixed)
+    assert found[:3] == [f"own {i}" for i in range(3)]
+    assert all({"a", "b"} <= set(t.split("\n")) for t in found[3:])
+
+
 def test_markup_paths():
     found, opened = markup.blocks("<main id=c12><p>a<p>b<i>c</i></main><ul><li>d<li>e</ul>")
     assert [(b.path, b.text) for b in found] == [

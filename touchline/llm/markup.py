@@ -33,11 +33,18 @@ BOILER_TAGS = frozenset("nav header footer aside form menu dialog fieldset".spli
 #: Elements left out with all they hold; a tag without its end tag, or self-closed, alone.
 PART_TAGS = frozenset("svg select button object canvas noscript template".split())
 BOILER_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising banner sponsor sponsored promo "
+    "ad ads advert adverts advertisement advertising banner sponsor sponsored "
     "nav navbar navigation menu breadcrumb breadcrumbs header footer masthead sidebar aside "
-    "widget related share sharing social cookie cookies consent notice notices popup modal "
-    "newsletter subscribe login signup comment comments reply replies respond disqus "
-    "copyright legal contentinfo complementary search pagination pager skip toolbar".split()
+    "cookie cookies consent popup modal newsletter subscribe login signup "
+    "comment comments reply replies respond disqus copyright contentinfo pagination pager toolbar".split()
+)
+#: Words that also name subjects: they mark only a name that says nothing else.
+SUBJECT_WORDS = frozenset(
+    "promo widget related share sharing social notice notices legal complementary search skip".split()
+)
+PLAIN_WORDS = frozenset(
+    "area bar block box container content element group inner item items links list panel part "
+    "row section text wrap wrapper".split()
 )
 #: A name with one of these tells the state of an element: no-sidebar, has-ads, ad-free.
 STATE_WORDS = frozenset("no not non has with without free".split())
@@ -74,7 +81,11 @@ class _Open(NamedTuple):
 
 def _names_boiler(name: str) -> bool:
     words = _WORDS.findall(name)
-    return not BOILER_WORDS.isdisjoint(words) and STATE_WORDS.isdisjoint(words)
+    if not STATE_WORDS.isdisjoint(words):
+        return False
+    if not BOILER_WORDS.isdisjoint(words):
+        return True
+    return not SUBJECT_WORDS.isdisjoint(words) and (SUBJECT_WORDS | PLAIN_WORDS).issuperset(words)
 
 
 def _opened(tag: str, rest: str, above: _Open, key: int) -> _Open:
