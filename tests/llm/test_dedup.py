@@ -20,10 +20,13 @@ def line_copies(docs, k):
         every = (text or "").split("\n")
         worded = [(a, x) for a, x in enumerate(every) if BLANK.sub("", x)]
         gone = set()
-        for p in range(len(worded) - k + 1):
-            window = tuple(x for _, x in worded[p : p + k])
+        # From single lines on, runs of two bring the blank lines inside of longer runs.
+        for p, n in ((p, n) for p in range(len(worded)) for n in {k, max(k, 2)}):
+            if p + n > len(worded):
+                continue
+            window = tuple(x for _, x in worded[p : p + n])
             if window in seen:
-                gone.update(range(worded[p][0], worded[p + k - 1][0] + 1))
+                gone.update(range(worded[p][0], worded[p + n - 1][0] + 1))
             seen.add(window)
         out[i] = ("\n".join(x for a, x in enumerate(every) if a not in gone), len(gone))
     return out

@@ -7,7 +7,7 @@ ranks.  A suffix whose prefix is unique is settled and leaves, so a round handle
 in repeats at least that long, and rounds end with the longest repeat.
 
 A run may be a single line: a line that stands alone between unlike lines, or is a document of
-its own, is a later copy like any other.
+its own, is a later copy like any other; runs of two and more take the blank lines inside them.
 
 Suffixes of equal rank in round j are the suffix array's intervals whose longest common
 prefix is at least 2**j.  In each interval the first suffix in document order is the

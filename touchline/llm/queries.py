@@ -120,10 +120,17 @@ ORACLES: dict[str, str] = {
             SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos
             FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents)
         ), worded AS (
-            SELECT doc_id, pos, row_number() OVER (PARTITION BY line ORDER BY doc_id, pos) AS k
+            SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS seq,
+                   row_number() OVER (PARTITION BY line ORDER BY doc_id, pos) AS k
             FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+        ), pairs AS (
+            SELECT a.doc_id, a.pos AS s, b.pos AS e,
+                   row_number() OVER (PARTITION BY a.line, b.line ORDER BY a.doc_id, a.pos) AS k
+            FROM worded a JOIN worded b ON a.doc_id = b.doc_id AND b.seq = a.seq + 1
         ), removed AS (
             SELECT doc_id, pos FROM worded WHERE k > 1
+            UNION
+            SELECT doc_id, unnest(range(s, e + 1)) AS pos FROM pairs WHERE k > 1
         ), marked AS (
             SELECT l.*, r.pos IS NOT NULL AS gone,
                    lag(r.pos IS NOT NULL, 1, false) OVER (
