@@ -59,9 +59,9 @@ def test_declared_layout_is_enforced(spark, rows, tmp_path):
     sinks.write_table(df, path, expected)
     back = spark.read.parquet(path)
     assert back.columns == ["a", "b"] and rows(back) == [(1, "x"), (2, None)]
-    with pytest.raises(ValueError, match="expected bigint, got int"):
+    with pytest.raises(ValueError, match="is int, declared bigint"):
         sinks.write_table(df.withColumn("a", F.col("a").cast("int")), path, expected)
-    with pytest.raises(ValueError, match="Missing columns"):
+    with pytest.raises(ValueError, match="lacks columns"):
         sinks.write_table(df.drop("b"), path, expected)
     with pytest.raises(PySparkException, match="null in column a"):
         sinks.write_table(df.withColumn("a", F.lit(None).cast("bigint")), path, expected)
@@ -117,3 +117,19 @@ def test_replace_partitions_touches_only_its_own(spark, rows, tmp_path):
     for _ in range(2):
         sinks.replace_partitions(again, path, "p")
     assert rows(spark.read.parquet(path), "v", "p") == [(1, 1), (9, 2)]
+
+
+def test_newest_version_reads_no_data(spark, rows, tmp_path):
+    path, ddl = str(tmp_path / "progress"), layout("k INT")
+    with pytest.raises(FileNotFoundError):
+        sources.newest_version(spark, path)
+    for version in (1, 2, 10):
+        sinks.write_version(spark.createDataFrame([(version,)], "k INT"), path, version, "json")
+    (tmp_path / "progress" / "version=11").mkdir()  # a writer that never finished
+    for part in (tmp_path / "progress" / "version=1").glob("part-*"):
+        part.write_text("no json at all")
+    assert sources.versions(spark, path) == [1, 2, 10]
+    assert rows(sources.read_version(spark, path, ddl, "json")) == [(10,)]
+    assert sources.expire_versions(spark, path, 2) == [1]
+    assert sources.versions(spark, path) == [2, 10]
+    assert rows(sources.read_version(spark, path, ddl, "json", 2)) == [(2,)]

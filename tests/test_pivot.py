@@ -63,3 +63,24 @@ def test_silver_statistics_both_ways(spark, rows):
     assert abs(first.expected_goals_rate - 1.24) < 1e-6
     assert first.passes_success_percentage == 84.0
     assert (first.yellow_cards, first.fouls, first.goalkeeper_saves) == (0, 0, None)
+
+
+def test_entries_in_one_walk(spark, rows):
+    """One map for plain rows, the largest value where a label comes twice, nulls as ever."""
+    entry = "STRUCT<type: STRING, value: STRING>"
+    data = [
+        (1, [("Fouls", "7"), ("Ball Possession", "61%"), ("other", "9")]),
+        (2, [("Fouls", "3"), ("Fouls", "12"), ("Fouls", None)]),
+        (3, [(None, "5"), ("Fouls", "x"), (None, "6")]),
+        (4, []),
+        (5, None),
+        (6, [("Fouls", None)]),
+    ]
+    df = spark.createDataFrame(data, f"k INT, e ARRAY<{entry}>")
+    measures = {"fouls": ("Fouls", parsing.whole), "share": ("Ball Possession", parsing.percent_whole)}
+    found = pivot.pivot_entries(df, F.col("e"), measures, "k")
+    assert rows(found) == [
+        (1, 7, 61), (2, 12, None), (3, None, None), (4, None, None), (5, None, None), (6, None, None),
+    ]
+    slow = df.select("k", *pivot.entry_columns(F.col("e"), measures))
+    assert rows(found) == rows(slow)

@@ -11,7 +11,7 @@ from touchline.operators.tails import read_history
 from touchline.plans import bronze, silver
 from touchline.schemas import RAW_FIXTURE_STATS, RAW_TEAM, layout
 from touchline.sources import landing
-from touchline.streaming import flows
+from touchline.streaming import counts, flows
 
 T0 = datetime(2024, 8, 1)
 
@@ -105,3 +105,32 @@ def test_statistics_stream_equals_batch(spark, rows, tmp_path):
     want = silver.stats_from_rows(bronze.fixture_stats(batch, at))
     assert rows(streamed.select(*want.columns)) == rows(want)
     assert rows(streamed, "fixture_id", "fouls") == [(1, 3), (2, 4)]
+
+
+def test_dropped_rows_are_counted_per_batch(spark, rows, tmp_path):
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for values in ([1, -2, None], [5, -6]):
+        spark.createDataFrame([(v,) for v in values], "v INT").coalesce(1).write.mode("append").parquet(src)
+    counter = counts.DropCounts("values")
+    spark.streams.addListener(counter)
+    stream = spark.readStream.schema("v INT").option("maxFilesPerTrigger", 1).parquet(src)
+    query = flows.append_stream(
+        counts.observed(stream, "values", positive="v > 0", small="v < 5"), out, str(tmp_path / "cp")
+    )
+    run(query)
+    found = counter.batches(spark, query)
+    spark.streams.removeListener(counter)
+    assert found.select("batch_id").distinct().count() == 2
+    totals = found.groupBy("rule").sum("seen", "kept", "dropped")
+    assert rows(totals) == [("positive", 5, 1, 3), ("small", 5, 1, 2)]
+    assert rows(spark.read.schema("v INT").parquet(out)) == [(1,)]
+
+
+def test_stream_in_sql(spark, rows, tmp_path):
+    land_teams(tmp_path / "in", 7, [1, 2])
+    raw = landing.stream_landing(spark, str(tmp_path / "in"), layout(RAW_TEAM))
+    named = flows.sql_stream(
+        spark, raw, "landed_teams", "SELECT team.id AS id, source.file_name AS file FROM landed_teams WHERE team.id > 1"
+    )
+    run(flows.append_stream(named, str(tmp_path / "out"), str(tmp_path / "cp")))
+    assert rows(spark.read.parquet(str(tmp_path / "out"))) == [(2, "teams_7.json")]

@@ -105,3 +105,12 @@ def test_unknown_fixture_without_season_is_refused(spark, root, tmp_path):
     known = stray.withColumn("season", F.lit(2024))
     tracking.record(known, root, F.lit(T1))
     assert tracking.load(spark, root).fixtures.filter("fixture_id = 99").first().season == 2024
+
+
+def test_old_state_expires(spark, rows, root, tmp_path):
+    for ids in ([1], [2], [3]):
+        tracking.record(landed(spark, tmp_path / "in", ids), root, F.lit(T1))
+    tracking.expire(spark, root, 2)
+    kept = sorted(p.name for p in (tmp_path / "state" / "fixture_tracking").glob("version=*"))
+    assert kept == ["version=3", "version=4"]
+    assert rows(tracking.load(spark, root).fixtures.filter("is_fetched_stat"), "fixture_id") == [(1,), (2,), (3,)]

@@ -34,6 +34,33 @@ def entry_columns(entries: Column, measures: Mapping[str, Measure]) -> list[Colu
     ]
 
 
+def pivot_entries(
+    df: DataFrame, entries: Column, measures: Mapping[str, Measure], *keep: Column | str
+) -> DataFrame:
+    """E6 on an array column in one walk: the kept columns and one column per measure.
+
+    The array becomes a map once, and each measure looks its label up and parses one text.
+    Only rows that name a label twice are walked per measure, for the largest parsed value.
+    """
+    named = F.filter(entries, lambda e: e["type"].isNotNull())
+    labels = F.transform(named, lambda e: e["type"])
+    once = F.size(F.array_distinct(labels)) == F.size(labels)
+    pairs = F.map_from_entries(F.transform(named, lambda e: F.struct(e["type"], e["value"])))
+    # A column of its own: the planner does not build the map again for every measure.
+    opened = df.select(*keep, entries.alias("__entries"), F.when(once, pairs).alias("__texts"))
+    kept = opened.columns[:-2]
+    texts = F.col("__texts")
+    return opened.select(
+        *kept,
+        *[
+            F.when(texts.isNotNull(), parse(F.try_element_at(texts, F.lit(label))))
+            .otherwise(entry_value(F.col("__entries"), label, parse))
+            .alias(name)
+            for name, (label, parse) in measures.items()
+        ],
+    )
+
+
 def rejected_values(
     df: DataFrame, label: str, value: str, measures: Mapping[str, Measure]
 ) -> DataFrame:

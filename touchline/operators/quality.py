@@ -25,7 +25,7 @@ class Rule:
 def null_rules(schema: StructType, columns: Sequence[str]) -> list[Rule]:
     """L1: one rule per declared non-null column that the frame has."""
     return [
-        Rule("not_null", f.name, F.col(f.name).isNull(), f"{f.name} has {{n}} null values")
+        Rule("not_null", f.name, F.col(f.name).isNull(), f"{{n}} nulls in {f.name}")
         for f in schema
         if not f.nullable and f.name in columns
     ]
@@ -34,14 +34,14 @@ def null_rules(schema: StructType, columns: Sequence[str]) -> list[Rule]:
 def non_negative(table: str, column: str) -> Rule:
     """L3"""
     return Rule(
-        "non_negative", column, F.col(column) < 0, f"{table}: '{column}' has {{n}} negative values"
+        "non_negative", column, F.col(column) < 0, f"{table}.{column}: {{n}} below zero"
     )
 
 
 def in_range(table: str, column: str, low: float, high: float) -> Rule:
     """Bounds included."""
     broken = (F.col(column) < low) | (F.col(column) > high)
-    text = f"{table}: '{column}' has {{n}} values outside the range {low:g}-{high:g}"
+    text = f"{table}.{column}: {{n}} beyond {low:g} to {high:g}"
     return Rule("range", column, broken, text)
 
 
@@ -72,16 +72,13 @@ def statistics_rules(
     """Business rules of the statistics table, and the issues of columns it lacks."""
     have = set(columns)
     missing = [
-        f"{table}: Column '{c}' is missing from the DataFrame"
+        f"{table} lacks {c}"
         for c in NON_NEGATIVE
         if c not in have
     ]
     rules = [non_negative(table, c) for c in NON_NEGATIVE if c in have]
     if have.issuperset(ATTEMPTS_BY_RESULT + ATTEMPTS_BY_PLACE):
-        text = (
-            "Found {n} records where shot totals don't match "
-            "(on_goal + off_goal + blocked ≠ inside_box + outside_box)"
-        )
+        text = "{n} rows count attempts unlike by result and by place"
         rules.append(balanced(ATTEMPTS_BY_RESULT, ATTEMPTS_BY_PLACE, text))
     rules += [in_range(table, c, 0, 100) for c in PERCENTAGES if c in have]
     if "expected_goals_rate" in have:
@@ -101,13 +98,13 @@ def schema_issues(df: DataFrame, expected: StructType, table: str) -> list[str]:
     actual = dict(df.dtypes)
     missing = [n for n in expected.names if n not in actual]
     extra = [n for n in actual if n not in expected.names]
-    issues = [f"{table}: Missing columns: {sorted(missing)}"] if missing else []
+    issues = [f"{table} lacks columns: {', '.join(sorted(missing))}"] if missing else []
     if extra:
-        issues.append(f"{table}: Extra columns: {sorted(extra)}")
+        issues.append(f"{table} has undeclared columns: {', '.join(sorted(extra))}")
     for f in expected:
         want = f.dataType.simpleString()
         if f.name in actual and actual[f.name] != want:
-            issues.append(f"{table}: Column '{f.name}': expected {want}, got {actual[f.name]}")
+            issues.append(f"{table}.{f.name} is {actual[f.name]}, declared {want}")
     return issues
 
 

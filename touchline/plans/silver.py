@@ -11,7 +11,7 @@ from touchline.operators.history import (
     newest_per_key,
 )
 from touchline.operators.nested import column_or, map_columns
-from touchline.operators.pivot import entry_columns, pivot_rows
+from touchline.operators.pivot import pivot_entries, pivot_rows
 from touchline.operators.quality import drop_violations, gate
 from touchline.schemas import table_layout
 from touchline.sources.landing import FILE_PATH, FILE_TIME, INGESTED, SOURCE_FILE
@@ -171,11 +171,13 @@ def stats_from_payloads(raw: DataFrame) -> DataFrame:
     therefore no state on a stream (J3).  One row per payload and team."""
     per_team = raw.select("fixture_id", "ingestion_time", F.explode_outer("stats").alias("entry"))
     return _filled(
-        per_team.select(
+        pivot_entries(
+            per_team,
+            F.col("entry.statistics"),
+            STATISTICS,
             "fixture_id",
             F.col("entry.team.id").alias("team_id"),
             "ingestion_time",
-            *entry_columns(F.col("entry.statistics"), STATISTICS),
         )
     )
 

@@ -16,7 +16,7 @@ from touchline.operators.quality import require_rows
 from touchline.schemas import table_layout
 from touchline.sinks.manifests import record_manifest
 from touchline.sinks.tables import conform, write_version
-from touchline.sources.tables import newest_version, read_version
+from touchline.sources.tables import expire_versions, newest_version, read_version
 
 FIXTURES, LEAGUES = "fixture_tracking", "league_progress"
 
@@ -39,7 +39,7 @@ def start(fixtures: DataFrame, root: str, at: Column) -> None:
 def load(spark: SparkSession, root: str) -> State:
     """Newest version whose two tables are both written; an empty table is refused."""
     # progress is written last, so its newest version is the newest complete one
-    version = newest_version(spark, f"{root}/{LEAGUES}", "json")
+    version = newest_version(spark, f"{root}/{LEAGUES}")
 
     def table(name: str) -> DataFrame:
         rows = read_version(spark, f"{root}/{name}", table_layout(name), "json", version)
@@ -96,6 +96,15 @@ def reconcile(payloads: DataFrame, root: str, at: Column) -> DataFrame:
     return progress.reconcile(payloads, state.fixtures)
 
 
+def expire(spark: SparkSession, root: str, keep: int = 2) -> None:
+    """Remove all but the newest ``keep`` versions of the state.
+
+    Progress goes first, as it says which versions are complete.
+    """
+    for name in (LEAGUES, FIXTURES):
+        expire_versions(spark, f"{root}/{name}", keep)
+
+
 def _store(root: str, version: int, fixtures: DataFrame, leagues: DataFrame) -> None:
     """Both tables in their declared layouts; nulls where none may be stop the write."""
     fixtures = conform(fixtures, table_layout(FIXTURES), FIXTURES)

@@ -21,7 +21,7 @@ class Files:
 
     def names(self, folder: str) -> list[str]:
         """Names directly below ``folder``; none if it does not exist."""
-        path = self._at(f"{self.root}/{folder}")
+        path = self._at(f"{self.root}/{folder}".rstrip("/"))
         if not self._fs.exists(path):
             return []
         return sorted(status.getPath().getName() for status in self._fs.listStatus(path))
@@ -56,5 +56,10 @@ class Files:
             self._fs.delete(draft, False)
             raise
 
+    def rename(self, name: str, to: str) -> None:
+        """Move a file or folder; fails if the new name is taken."""
+        if self.exists(to) or not self._fs.rename(self._at(f"{self.root}/{name}"), self._at(f"{self.root}/{to}")):
+            raise FileExistsError(f"{self.root}/{to}")
+
     def delete(self, name: str) -> None:
         self._fs.delete(self._at(f"{self.root}/{name}"), True)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+from touchline.sources.files import Files
 
 VERSION = "version"
 
@@ -35,10 +37,31 @@ def stream_table(
     return reader.parquet(path)
 
 
-def newest_version(spark: SparkSession, path: str, source: str = "parquet") -> int:
-    """The largest version below ``path``; reads no columns but the folder's own."""
-    versions = spark.read.schema(f"{VERSION} INT").format(source).load(path)
-    return versions.agg(F.max(VERSION)).first()[0]
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """All complete versions below ``path``, by the names of its folders; no data is read.
+
+    A version is complete once its writer left its mark, which it does last.
+    """
+    files = Files(spark, path)
+    found = [n.partition("=")[2] for n in files.names("") if n.startswith(f"{VERSION}=")]
+    return sorted(int(v) for v in found if files.exists(f"{VERSION}={v}/_SUCCESS"))
+
+
+def newest_version(spark: SparkSession, path: str) -> int:
+    """The largest complete version below ``path``."""
+    known = versions(spark, path)
+    if not known:
+        raise FileNotFoundError(f"{path} has no version")
+    return known[-1]
+
+
+def expire_versions(spark: SparkSession, path: str, keep: int = 2) -> list[int]:
+    """Remove all but the newest ``keep`` versions; a reader of an older one loses its input."""
+    gone = versions(spark, path)[:-keep]
+    files = Files(spark, path)
+    for version in gone:
+        files.delete(f"{VERSION}={version}")
+    return gone
 
 
 def read_version(
@@ -50,7 +73,6 @@ def read_version(
 ) -> DataFrame:
     """The newest (or one given) version of a table written by ``sinks.write_version``."""
     if version is None:
-        version = newest_version(spark, path, source)
-    stored = StructType([*schema, StructField(VERSION, IntegerType())])
-    rows = spark.read.schema(stored).format(source).load(path)
-    return rows.filter(F.col(VERSION) == version).select(*schema.names)
+        version = newest_version(spark, path)
+    folder = f"{path.rstrip('/')}/{VERSION}={version}"
+    return spark.read.schema(schema).format(source).load(folder).select(*schema.names)

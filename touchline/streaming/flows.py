@@ -48,6 +48,16 @@ def bronze_stream(
     return append_stream(bronze.flattened(raw), path, checkpoint)
 
 
+def sql_stream(spark: SparkSession, raw: DataFrame, name: str, statement: str) -> DataFrame:
+    """A6 in SQL: a stream of files under a view's name, transformed by a SELECT statement.
+
+    The statement sees the stream's columns and, as ``source``, its file's ``file_path``,
+    ``file_name``, ``file_size`` and ``file_modification_time``.
+    """
+    raw.select("*", F.col("_metadata").alias("source")).createOrReplaceTempView(name)
+    return spark.sql(statement)
+
+
 def projected_stream(
     spark: SparkSession,
     source: str,

@@ -414,6 +414,36 @@ ORACLES["scd2_hot_keys"] = _scd2("CASE WHEN event_id % 3 = 0 THEN 1 ELSE user_id
 ORACLES["scd2_text_sequence"] = _scd2(ts="strftime(ts, '%Y-%m-%d %H:%M:%S.%f')")
 ORACLES["scd2_big_sequence"] = _scd2(ts="event_id + 1152921504606846976")
 ORACLES["scd2_null_key"] = _scd2("CASE WHEN user_id % 5 <> 0 THEN user_id END")
+SCD2_DELETES = """
+  WITH reduced AS (
+    SELECT user_id, ts, max(event_type) AS event_type FROM events GROUP BY 1, 2),
+  states AS (
+    SELECT *, CASE WHEN event_type <> 'purchase' THEN event_type END AS state FROM reduced),
+  turns AS (
+    SELECT *, lag(state) OVER (PARTITION BY user_id ORDER BY ts) AS before FROM states),
+  kept AS (
+    SELECT *, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS until
+    FROM turns WHERE state IS DISTINCT FROM before)
+  SELECT user_id, ts, event_type, ts AS "__START_AT", until AS "__END_AT"
+  FROM kept WHERE state IS NOT NULL
+"""
+for _name in ("scd2_deletes", "scd2_stream_late"):
+    ORACLES[_name] = SCD2_DELETES
+ORACLES["silver_stream_counts"] = """
+  WITH flags AS (
+    SELECT coalesce(event_type = 'purchase', false) AS a, coalesce(value >= 50, false) AS b FROM events),
+  totals AS (
+    SELECT count(*) AS seen, count(*) FILTER (a AND b) AS kept,
+           count(*) FILTER (NOT a) AS no_a, count(*) FILTER (NOT b) AS no_b FROM flags)
+  SELECT 'is_purchase' AS rule, seen, kept, no_a AS dropped, kept AS written FROM totals
+  UNION ALL
+  SELECT 'is_large', seen, kept, no_b, kept FROM totals
+"""
+ORACLES["sql_stream_rows"] = """
+  SELECT event_id, user_id, round(value, 2) AS amount, event_type AS kind,
+         true AS named, true AS filled
+  FROM events WHERE value IS NOT NULL
+"""
 ORACLES["current_versions"] = f'SELECT * FROM ({SCD2_EVENTS}) AS v WHERE "__END_AT" IS NULL'
 ORACLES["scd2_snapshot"] = """
   WITH states AS (
@@ -476,6 +506,54 @@ PROGRESS = """
   FROM {source} GROUP BY league_id, season
 """
 WITH_PROGRESS = f"SELECT * FROM ({PROGRESS.format(source='tracking')}) AS progress"
+LANDED = """
+  , landed AS (
+    SELECT fixture_id AS o_orderkey, league_id, season AS year,
+           'orders_' || league_id || '_' || (fixture_id // 500) || '.json' AS file FROM tracking)
+"""
+oracle("multi_line_rows", f"{LANDED} SELECT o_orderkey, league_id, year, file AS source_file FROM landed", "tracking")
+oracle(
+    "landing_manifest_files",
+    f"""
+  {LANDED} SELECT league_id, year, file AS file_name, count(*) AS row_counts,
+         TIMESTAMP '2024-08-01 06:00:00' AS ingestion_timestamp
+  FROM landed GROUP BY league_id, year, file
+""",
+    "tracking",
+)
+oracle(
+    "record_manifest_rows",
+    f"""
+  {LANDED} SELECT o_orderkey, league_id, file AS batch_file_name,
+         TIMESTAMP '2024-08-01 06:00:00' AS ingestion_timestamp,
+         count(*) OVER (PARTITION BY file) AS batch_row_count
+  FROM landed
+""",
+    "tracking",
+)
+oracle(
+    "planned_fixtures",
+    """
+  SELECT p.league_id, p.year, f.fixture_id
+  FROM (SELECT CAST(unnest([3, 4, 99]) AS BIGINT) AS league_id,
+               CAST(unnest([1995, 1996, 1996]) AS INTEGER) AS year) AS p
+  LEFT JOIN fixtures AS f ON f.league_id = p.league_id AND f.season = p.year
+""",
+    "fixtures",
+)
+oracle(
+    "catalog_table",
+    "SELECT league_id, name, country, 'silver' AS quality, 'League''s names' AS comment FROM leagues",
+    "leagues",
+)
+ORACLES["upsert_few"] = """
+  WITH updates AS (
+    SELECT CASE WHEN n_nationkey % 2 = 0 THEN n_nationkey ELSE -n_nationkey END AS k FROM nation)
+  SELECT o_orderkey, o_custkey, CASE WHEN k IS NULL THEN o_orderstatus ELSE 'N' END AS o_orderstatus
+  FROM orders LEFT JOIN updates ON o_orderkey = k
+  UNION ALL
+  SELECT k, NULL, 'N' FROM updates WHERE k NOT IN (SELECT o_orderkey FROM orders)
+"""
 oracle("league_progress", WITH_PROGRESS, "tracking")
 oracle(
     "versioned_json",
@@ -616,27 +694,26 @@ _POSITIVE = [m for m in MEASURES if m not in ("offsides", "expected_goals_rate")
 _ATTEMPTS = "shots_on_goal,shots_off_goal,blocked_shots,shots_insidebox,shots_outsidebox"
 _RULES = [
     *[
-        ("not_null", c, f"{c} IS NULL", f"{c} has {{n}} null values")
+        ("not_null", c, f"{c} IS NULL", f"{{n}} nulls in {c}")
         for c in ("fixture_id", "team_id")
     ],
-    ("not_null", "ingestion_time", "false", "ingestion_time has {n} null values"),
+    ("not_null", "ingestion_time", "false", "{n} nulls in ingestion_time"),
     *[
-        ("non_negative", c, f"{c} < 0", f"{_TABLE}: '{c}' has {{n}} negative values")
+        ("non_negative", c, f"{c} < 0", f"{_TABLE}.{c}: {{n}} below zero")
         for c in (*_POSITIVE, "expected_goals_rate")
     ],
     (
         "balance",
         _ATTEMPTS,
         "shots_on_goal + shots_off_goal + blocked_shots <> shots_insidebox + shots_outsidebox",
-        "Found {n} records where shot totals don't match "
-        "(on_goal + off_goal + blocked ≠ inside_box + outside_box)",
+        "{n} rows count attempts unlike by result and by place",
     ),
     *[
         (
             "range",
             c,
             f"{c} < 0 OR {c} > {top}",
-            f"{_TABLE}: '{c}' has {{n}} values outside the range 0-{top}",
+            f"{_TABLE}.{c}: {{n}} beyond 0 to {top}",
         )
         for c, top in (
             ("ball_possession", 100),
@@ -650,14 +727,14 @@ ORACLES["document_report"] = _report(
     "documents",
     [
         *[
-            ("not_null", c, f"{c} IS NULL", f"{c} has {{n}} null values")
+            ("not_null", c, f"{c} IS NULL", f"{{n}} nulls in {c}")
             for c in ("doc_id", "text", "lang", "source", "n_chars")
         ],
         (
             "range",
             "n_chars",
             "n_chars < 1 OR n_chars > 5000",
-            "documents: 'n_chars' has {n} values outside the range 1-5000",
+            "documents.n_chars: {n} beyond 1 to 5000",
         ),
     ],
 )
@@ -665,9 +742,9 @@ ORACLES["schema_report"] = """
   SELECT issue, row_count
   FROM (SELECT count(*) AS row_count FROM customer) AS c,
        (SELECT unnest([
-          'silver_teams: Missing columns: [''ingestion_time'']',
-          'silver_teams: Extra columns: [''extra'']',
-          'silver_teams: Column ''founded'': expected int, got bigint']) AS issue) AS i
+          'silver_teams lacks columns: ingestion_time',
+          'silver_teams has undeclared columns: extra',
+          'silver_teams.founded is bigint, declared int']) AS issue) AS i
 """
 oracle(
     "expect_or_drop",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -18,7 +19,8 @@ from touchline.plans import bronze, catalog, gold, silver
 from touchline.scratch import scratch_dir, spill
 from touchline.sinks import manifests, tables as sinks
 from touchline.sources import landing, tables as sources
-from touchline.streaming import flows
+from touchline.sources.files import Files
+from touchline.streaming import counts, flows
 from workload.frames import AS_OF, frame, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -519,6 +521,14 @@ def scd2_null_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.history_from_changes(changes, ["user_id"], "ts")
 
 
+@query
+def scd2_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 where a purchase ends what a user was doing, until the next event of another kind."""
+    changes = _user_changes(spark, sf_dir)
+    gone = F.col("event_type") == "purchase"
+    return history.history_from_changes(changes, ["user_id"], "ts", delete_when=gone)
+
+
 @query
 def current_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.current(scd2_events(spark, sf_dir))
@@ -568,6 +578,23 @@ def scd2_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_history(spark, f"{folder}/tables")
 
 
+@query
+def scd2_stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J4 over five micro-batches that reach back behind each other, with deletes."""
+    source, folder = scratch_dir(spark, "late-events"), scratch_dir(spark, "scd2-late")
+    changes = _user_changes(spark, sf_dir)
+    late = F.pmod(F.xxhash64("user_id", "ts"), F.lit(5))
+    changes.repartition(5, late).write.parquet(source)
+    stream = spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    _finish(
+        flows.history_stream(
+            stream, f"{folder}/tables", f"{folder}/checkpoint", ["user_id"], "ts",
+            delete_when=F.col("event_type") == "purchase", buckets=4, keep=2,
+        )
+    )
+    return read_history(spark, f"{folder}/tables")
+
+
 def _landed_events(spark: SparkSession, sf_dir: str) -> str:
     """Events as nested JSON lines in a new landing folder."""
     rows = table(spark, sf_dir, "events").select(
@@ -621,6 +648,45 @@ def silver_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/table")
 
 
+@query
+def silver_stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows a stream kept and dropped, per expectation."""
+    folder = scratch_dir(spark, "counted-stream")
+    counter = counts.DropCounts("events")
+    spark.streams.addListener(counter)
+    rows = counts.observed(
+        _event_stream(spark, sf_dir), "events",
+        is_purchase="event_type = 'purchase'", is_large="value >= 50",
+    )
+    stream = flows.append_stream(rows, f"{folder}/table", f"{folder}/checkpoint")
+    _finish(stream)
+    found = counter.batches(spark, stream)
+    spark.streams.removeListener(counter)
+    written = spark.read.schema(rows.schema).parquet(f"{folder}/table").agg(F.count(F.lit(1)).alias("written"))
+    totals = [F.sum(c).alias(c) for c in ("seen", "kept", "dropped")]
+    return found.groupBy("rule").agg(*totals).join(F.broadcast(written))
+
+
+@query
+def sql_stream_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed folders streamed and transformed in SQL, each row with its file's folder."""
+    events = table(spark, sf_dir, "events")
+    path, folder = scratch_dir(spark, "kinds"), scratch_dir(spark, "sql-stream")
+    events.select("event_id", "user_id", "value", "event_type").write.partitionBy("event_type").json(path)
+    raw = spark.readStream.schema("event_id BIGINT, user_id BIGINT, value DOUBLE").json(f"{path}/*")
+    rows = flows.sql_stream(
+        spark, raw, "landed_kinds",
+        """
+        SELECT event_id, user_id, round(value, 2) AS amount,
+               regexp_extract(source.file_path, 'event_type=([^/]*)', 1) AS kind,
+               source.file_name LIKE '%.json' AS named, source.file_size > 0 AS filled
+        FROM landed_kinds WHERE value IS NOT NULL
+        """,
+    )
+    _finish(flows.append_stream(rows, f"{folder}/table", f"{folder}/checkpoint"))
+    return spark.read.parquet(f"{folder}/table")
+
+
 @query
 def pivot_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics payloads landed as JSON, pivoted on a stateless stream."""
@@ -689,6 +755,72 @@ def record_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _landed_leagues(spark: SparkSession, sf_dir: str) -> str:
+    """Files of indented JSON arrays, at most 500 fixtures each, named after league and place."""
+    rows = frame(spark, sf_dir, "tracking").select(
+        F.col("fixture_id").alias("o_orderkey"), "league_id", F.col("season").alias("year")
+    )
+    name = F.format_string("orders_%s_%s", "league_id", F.floor(F.col("o_orderkey") / 500))
+    arrays = rows.withColumn("file", name).groupBy("file").agg(
+        F.to_json(
+            F.collect_list(F.struct("o_orderkey", "league_id", "year")), {"pretty": "true"}
+        ).alias("value")
+    )
+    path = scratch_dir(spark, "landed-leagues")
+    arrays.repartition("file").write.partitionBy("file").text(path)
+    files = Files(spark, path)
+    for folder in files.names(""):
+        for part in files.names(folder):
+            if part.startswith("part-"):
+                files.rename(f"{folder}/{part}", f"{folder.partition('=')[2]}.json")
+    return f"{path}/*.json"
+
+
+def _named_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _landed_leagues(spark, sf_dir)
+    return landing.with_source_file(landing.read_landing(spark, path, LANDED_ORDER))
+
+
+@query
+def multi_line_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of indented arrays, one row per element with its file's name."""
+    return _named_orders(spark, sf_dir)
+
+
+@query
+def landing_manifest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B6, row by row: each file with its league, season and row count."""
+    return manifests.landing_manifest(_named_orders(spark, sf_dir), ["league_id", "year"], _at())
+
+
+@query
+def record_manifest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B7, row by row: each record with its file and the size of that batch."""
+    rows = _named_orders(spark, sf_dir)
+    return manifests.record_manifest(rows, ["o_orderkey", "league_id"], _at())
+
+
+@query
+def planned_fixtures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load plan of driver-side rows, met with the fixtures it asks for."""
+    plan = landing.from_rows(spark, [(3, 1995), (4, 1996), (99, 1996)], "league_id BIGINT, year INT")
+    fixtures = frame(spark, sf_dir, "fixtures").select("fixture_id", "league_id", F.col("season").alias("year"))
+    return plan.join(fixtures, ["league_id", "year"], "left").select("league_id", "year", "fixture_id")
+
+
+@query
+def catalog_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A managed table with comment and quality, its rows and what the catalog says of it."""
+    name = f"touchline_leagues_{uuid.uuid4().hex[:8]}"
+    leagues = frame(spark, sf_dir, "leagues").select("league_id", "name", "country")
+    sinks.write_catalog_table(leagues, name, "League's names", {"quality": "silver"})
+    tags = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    described = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    rows = spill(spark.read.table(name), "catalog-table")
+    spark.sql(f"DROP TABLE {name}")
+    return rows.withColumns({"quality": F.lit(tags["quality"]), "comment": F.lit(described["Comment"])})
+
+
 @query
 def json_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B3 and back: tracking rows written per league as JSON, read as one table."""
@@ -739,6 +871,20 @@ def upsert_coalesce(spark: SparkSession, sf_dir: str) -> DataFrame:
     return progress.upsert(target, updates, ["o_orderkey"])
 
 
+@query
+def upsert_few(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1 with few updates against a large target, known and unknown keys."""
+    orders = table(spark, sf_dir, "orders")
+    target = orders.select("o_orderkey", "o_custkey", "o_orderstatus")
+    nations = table(spark, sf_dir, "nation")
+    key = F.col("n_nationkey")
+    updates = nations.select(
+        F.when(key % 2 == 0, key).otherwise(-key).cast("bigint").alias("o_orderkey"),
+        F.lit("N").alias("o_orderstatus"),
+    )
+    return progress.upsert(target, updates, ["o_orderkey"], few=True)
+
+
 def _progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return progress.league_progress(frame(spark, sf_dir, "tracking"), _at())
 
