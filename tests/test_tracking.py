@@ -111,6 +111,29 @@ def test_old_state_expires(spark, rows, root, tmp_path):
     for ids in ([1], [2], [3]):
         tracking.record(landed(spark, tmp_path / "in", ids), root, F.lit(T1))
     tracking.expire(spark, root, 2)
-    kept = sorted(p.name for p in (tmp_path / "state" / "fixture_tracking").glob("version=*"))
-    assert kept == ["version=3", "version=4"]
+    kept = sorted(str(p.relative_to(tmp_path)) for p in (tmp_path / "state").glob("*/version=*/league_id=*"))
+    # League 30 was never touched again, and version 3 still reads league 20 as it was.
+    assert kept == [
+        f"state/fixture_tracking/version={v}/league_id={league}" for v, league in ((1, 20), (1, 30), (3, 10), (4, 20))
+    ]
     assert rows(tracking.load(spark, root).fixtures.filter("is_fetched_stat"), "fixture_id") == [(1,), (2,), (3,)]
+
+
+def test_a_step_writes_its_leagues_only(spark, rows, root, tmp_path):
+    def written(version):
+        folder = tmp_path / "state" / "fixture_tracking" / f"version={version}"
+        return sorted(p.name for p in folder.glob("league_id=*"))
+
+    tracking.record(landed(spark, tmp_path / "in", [1]), root, F.lit(T1))
+    assert written(2) == ["league_id=10"]
+    ids = spark.createDataFrame([(3,)], "fixture_id BIGINT")
+    tracking.reset(spark, root, ids, F.lit(T1))  # the only fixture of its league
+    assert written(3) == []
+    state = tracking.load(spark, root)
+    assert rows(state.fixtures, "fixture_id", "is_fetched_stat") == [(1, True), (2, False), (4, False)]
+    # A fixture that a payload puts into another league leaves its old one.
+    moved = landed(spark, tmp_path / "in", [4]).withColumn("league_id", F.lit(10).cast("bigint"))
+    tracking.record(moved, root, F.lit(T1))
+    assert written(4) == ["league_id=10"]
+    state = tracking.load(spark, root)
+    assert rows(state.fixtures, "fixture_id", "league_id") == [(1, 10), (2, 10), (4, 10)]
