@@ -187,7 +187,7 @@ def test_texts_of_one_passage_do_not_meet(spark):
     passage = " ".join(f"p{k}" for k in range(60))
     rows = [(k, f"{passage} " + " ".join(f"{rng.random()}" for _ in range(12))) for k in range(300)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    sets = jaccard.set_table(docs, "text", 4, 0).cache()
+    sets = linking.set_table(docs, "text", 4, 0).cache()
     posted = spark.createDataFrame(
         [(1, r["node"], r["n"]) for r in sets.collect()], "token long, node long, n long"
     )
@@ -201,13 +201,14 @@ def test_similar_documents_without_rows(documents):
 
 
 def test_colliding_numbers_are_drawn_again(documents, monkeypatch):
-    real = jaccard._node
-    monkeypatch.setattr(jaccard, "_node", lambda d: 1 if d in first else real(d))
+    real = linking.node_of
+    for module in (jaccard, linking):
+        monkeypatch.setattr(module, "node_of", lambda d: 1 if d in first else real(d))
     texts = [f"text number {k} with its own words" for k in range(4)]
-    first = {jaccard._digest(jaccard.shingle_set(t.encode()), 0) for t in texts[:2]}
+    first = {linking.digest_of(jaccard.shingle_set(t.encode()), 0) for t in texts[:2]}
     seen = []
     plain = jaccard.described
-    monkeypatch.setattr(jaccard, "described", lambda d, t, i, salt: seen.append(salt) or plain(d, t, i, salt))
+    monkeypatch.setattr(jaccard, "described", lambda d, t, i, salt, *more: seen.append(salt) or plain(d, t, i, salt, *more))
     found = jaccard.similar_documents(documents(list(enumerate(texts))))
     assert result(found, "doc_id", "component_id") == [(k, k) for k in range(4)]
     assert seen == [0, 1]

@@ -11,12 +11,14 @@
 3. ``allocation`` chooses per band, from the number of its sets, how many segments are compared
    exactly and how many with their one-deletion neighbourhoods, by the expected number of index
    entries and of pairs that meet under empty segments.  Small sets get neighbourhoods, large
-   ones many exact segments.
-4. A set is posted in its own band, and in the band below if smaller partners may be there.  By
-   the counts of all keys, it leaves out its hottest keys, as long as their weights stay
-   below W - H: of the keys under which two similar sets agree, the rarest is left out by
-   neither.  So common segments (empty ones, parts of a passage in very many texts) bring no
-   candidates.
+   ones many exact segments.  The numbers of sets are guessed from the lengths of the texts, so
+   that texts are split once only; a guess changes the cost, never a result.
+4. A set is posted in its own band, and in the band below if smaller partners may be there.  It
+   may leave out keys, as long as their weights stay below W - H and all sets leave out the last
+   ones of one order: of the keys under which two similar sets agree, the first is left out by
+   neither.  Segments of few elements are left out at once, down to ``SLACK`` more than needed;
+   by the counts of all keys, the hottest of these go then.  So common segments (empty ones, parts
+   of a passage in very many texts) bring no candidates.
 5. Lists are compared by stars and, for what stays open, by the rarest shingles themselves
    (``linking``); every link is confirmed on full sets, and components are found by smallest
    labels with pointer jumping.
@@ -29,7 +31,6 @@ empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
-import hashlib
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -37,18 +38,28 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import Window
+from pyspark.sql import functions as F
 
-from touchline.llm.common import text_of
-from touchline.llm.linking import difference_bound, linked, parity_sketch
+from touchline.llm.linking import (
+    difference_bound,
+    digest_of,
+    linked,
+    node_of,
+    numbered,
+    parity_sketch,
+    placed,
+    whole_texts,
+)
 from touchline.llm.shingles import mix, shingle_set
 from touchline.scratch import spill
 
 PERCENT = 80
 BAND_RATIO = 1.5
+SLACK = 6  # keys that the counts may still leave out
 PAIR_COST = 0.5  # cost of a pair that meets, in index entries
-_EXACT, _WIDE = 0, 1
+LARGEST = 1 << 31  # no text holds more shingles
+SHINGLE_BYTES = 6.5
 _LOW_BITS = np.uint64(0xFFFFFFFFFFFFFFFC)
 
 
@@ -76,21 +87,30 @@ def band_edges(largest: int, percent: int) -> list[int]:
 
 
 def allocation(edges: list[int], counts: dict[int, int], percent: int) -> list[Band]:
-    """Segments and neighbourhoods per band, by the least expected cost."""
+    """Segments and neighbourhoods per band, by the least expected cost.
+
+    The smallest sets of a band have the fewest elements per segment, but need less weight.
+    """
+
+    def needed(size: int) -> int:
+        return difference_bound(size, 100 * size // percent, percent) + 1
+
     bands = []
     for b, low in enumerate(edges[:-1]):
         high = edges[b + 1] - 1
-        need = difference_bound(high, 100 * high // percent, percent) + 1
+        need = needed(high)
         sets = max(counts.get(b, 0), 1)
         best = None
-        for spare in sorted({0, 1, 2, need // 10, need // 5, need // 3}):
+        for spare in sorted({0, 1, 2, 3, 4, 6, 8, 12, need // 10, need // 5, need // 3}):
             for share in (0.0, 0.25, 0.5, 1.0):
                 weight = need + spare
                 wide = min(round(weight * share / (1 + share)), weight // 2)
                 segments = weight - wide
-                per = low / segments
-                entries = sets * (segments + wide * (per + 1))
-                forced = _tail(segments * np.exp(-per), spare)
+                entries = sets * (segments + wide * (high / segments + 1))
+                forced = max(
+                    _tail(segments * np.exp(-size / segments), weight - needed(size))
+                    for size in (low, high)
+                )
                 pairs = (sets * forced) ** 2 / segments
                 cost = (entries + PAIR_COST * pairs, segments, wide)
                 best = min(best or cost, cost)
@@ -107,10 +127,11 @@ def _tail(mean: float, spare: int) -> float:
     return max(0.0, 1.0 - total)
 
 
-def segment_keys(hashes: np.ndarray, band: Band, number: int) -> np.ndarray:
+def segment_keys(hashes: np.ndarray, band: Band, number: int, most: int) -> np.ndarray:
     """Keys of a set in one band: its segments and the neighbourhoods of wide ones.
 
-    The lowest two bits of a key tell the band's parity and whether the segment is wide.
+    The lowest two bits of a key tell the band's parity and whether the segment is wide.  In a
+    band without wide segments only the ``most`` fullest segments count.
     """
     spread = mix(hashes ^ np.uint64(0x5851F42D4C957F2D * (number + 1) & 0xFFFFFFFFFFFFFFFF))
     segment = ((spread >> np.uint64(32)) * np.uint64(band.segments)) >> np.uint64(32)
@@ -118,8 +139,7 @@ def segment_keys(hashes: np.ndarray, band: Band, number: int) -> np.ndarray:
     segment, values = segment[order].astype("i8"), mix(spread[order])
     sums = np.zeros(band.segments, "u8")
     edges = np.flatnonzero(np.diff(segment, prepend=-1))
-    if len(edges):
-        sums[segment[edges]] = np.add.reduceat(values, edges)
+    sums[segment[edges]] = np.add.reduceat(values, edges)
     names = mix(np.arange(band.segments, dtype="u8") + np.uint64((number + 1) << 32))
     kind = np.where(np.arange(band.segments) < band.wide, 2, 0).astype("u8") | np.uint64(number & 1)
     keys = (mix(sums ^ names) & _LOW_BITS) | kind
@@ -127,102 +147,77 @@ def segment_keys(hashes: np.ndarray, band: Band, number: int) -> np.ndarray:
         near = segment < band.wide
         at = segment[near]
         deleted = mix((sums[at] - values[near]) ^ names[at])
-        keys = np.concatenate([keys, (deleted & _LOW_BITS) | kind[at]])
-    return np.unique(keys)
-
-
-def _digest(hashes: np.ndarray, salt: int) -> bytes:
-    return hashlib.blake2b(hashes.tobytes(), digest_size=16, salt=salt.to_bytes(4, "little")).digest()
-
-
-def _node(digest: bytes) -> int:
-    return int.from_bytes(digest[:8], "little", signed=True)
+        return np.concatenate([keys, (deleted & _LOW_BITS) | kind[at]])
+    if most < len(keys):
+        sizes = np.bincount(segment, minlength=band.segments)
+        return keys[np.lexsort((keys, -sizes))[:most]]
+    return keys
 
 
-def _whole(docs: DataFrame, text: str, *ids: Column) -> DataFrame:
-    return docs.select(*ids, text_of(text).cast("binary").alias("text"))
-
+def guessed_counts(docs: DataFrame, text: str, edges: list[int]) -> dict[int, int]:
+    """About how many texts each band holds, by their lengths."""
+    n = F.floor(F.octet_length(F.col(text).cast("string")) / SHINGLE_BYTES)
+    lows = F.array(*[F.lit(e) for e in edges])
+    band = (F.size(F.filter(lows, lambda low: low <= n)) - 1).alias("band")
+    found = docs.groupBy(band).agg(F.count(F.lit(1)).alias("sets")).filter("band >= 0")
+    return {r["band"]: r["sets"] for r in found.collect()}  # one row per band
+
+
+def _tokens(hashes: np.ndarray, bands: list[Band], lows: list[int], percent: int) -> np.ndarray:
+    """Keys of a set in its band and, where partners may be there, in the one below."""
+    n = len(hashes)
+    own = bisect_right(lows, n) - 1
+    most = difference_bound(n, 100 * n // percent, percent) + 1 + SLACK
+    keys = segment_keys(hashes, bands[own], own, most)
+    if own and percent * n <= 100 * bands[own - 1].high:
+        below = bands[own - 1]
+        most = difference_bound(n, below.high, percent) + 1 + SLACK
+        keys = np.concatenate([keys, segment_keys(hashes, below, own - 1, most)])
+    return keys.view("i8")
+
+
+def described(
+    docs: DataFrame, text: str, id_column: str, salt: int, bands: list[Band], percent: int
+) -> DataFrame:
+    """doc_id, n_shingles, node and digest of each row's set, its text, sketch and tokens.
 
-def described(docs: DataFrame, text: str, id_column: str, salt: int = 0) -> DataFrame:
-    """doc_id, n_shingles, node and digest of each row's set."""
+    A task gives the tokens of a set once; copies in other tasks repeat them.
+    """
+    lows = [b.low for b in bands]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            sets = [shingle_set(value.as_buffer()) for value in batch.column(1)]
-            digests = [_digest(s, salt) for s in sets]
+            sizes, digests, nodes, sketches, tokens = [], [], [], [], []
+            for value in batch.column(1):
+                hashes = shingle_set(value.as_buffer())
+                digest = digest_of(hashes, salt)
+                node = node_of(digest)
+                sizes.append(len(hashes))
+                digests.append(digest)
+                nodes.append(node)
+                sketches.append(parity_sketch(hashes) if len(hashes) else None)
+                posted = len(hashes) >= lows[0] and node not in seen
+                tokens.append(_tokens(hashes, bands, lows, percent) if posted else None)
+                seen.add(node)
             columns = [
                 batch.column(0),
-                pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([_node(d) for d in digests], pa.int64()),
+                pa.array(sizes, pa.int64()),
+                pa.array(nodes, pa.int64()),
                 pa.array(digests, pa.binary()),
+                batch.column(1),
+                pa.array(sketches, pa.binary()),
+                pa.array(tokens, pa.list_(pa.int64())),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "node", "digest"])
-
-    rows = _whole(docs, text, F.col(id_column).cast("long").alias("doc_id"))
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, node long, digest binary")
-
-
-def _numbered(docs: DataFrame, text: str, id_column: str) -> tuple[DataFrame, DataFrame, int]:
-    """Described rows, nodes (node, n, first) and the salt under which nodes are unique."""
-    salt = 0
-    while True:
-        rows = spill(described(docs, text, id_column, salt), "jaccard-described")
-        nodes = (
-            rows.filter("n_shingles > 0")
-            .groupBy("node", "digest")
-            .agg(F.min("doc_id").alias("first"), F.max("n_shingles").alias("n"))
-        )
-        nodes = spill(nodes, "jaccard-nodes")
-        twice = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1")
-        if twice.isEmpty():
-            return rows, nodes, salt
-        salt += 1
-
-
-def set_table(docs: DataFrame, text: str, least: int, salt: int) -> DataFrame:
-    """(node, n, text, sketch): one text of each distinct set of ``least`` elements or more."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingle_set(value.as_buffer()) for value in batch.column(0)]
-            keep = [k for k, s in enumerate(sets) if len(s) >= least]
-            columns = [
-                pa.array([_node(_digest(sets[k], salt)) for k in keep], pa.int64()),
-                pa.array([len(sets[k]) for k in keep], pa.int64()),
-                batch.column(0).take(pa.array(keep, pa.int64())),
-                pa.array([parity_sketch(sets[k]) for k in keep], pa.binary()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, ["node", "n", "text", "sketch"])
-
-    rows = _whole(docs, text).mapInArrow(run, "node long, n long, text binary, sketch binary")
-    return rows.dropDuplicates(["node"])
-
-
-def _keys(sets: DataFrame, bands: list[Band], percent: int) -> DataFrame:
-    """(token, node) of every set in its band and, where partners may be there, the one below."""
-    lows = [b.low for b in bands]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found, nodes, held = [], [], 0
-            ids = batch.column(0).to_pylist()
-            for k, value in enumerate(batch.column(1)):
-                hashes = shingle_set(value.as_buffer())
-                n = len(hashes)
-                own = bisect_right(lows, n) - 1
-                parts = [segment_keys(hashes, bands[own], own)]
-                if own and percent * n <= 100 * bands[own - 1].high:
-                    parts.append(segment_keys(hashes, bands[own - 1], own - 1))
-                for keys in parts:
-                    found.append(keys)
-                    nodes.append(np.full(len(keys), ids[k], "i8"))
-                    held += len(keys)
-                if held > 1 << 18 or k == len(ids) - 1:
-                    columns = [np.concatenate(found).view("i8"), np.concatenate(nodes)]
-                    yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["token", "node"])
-                    found, nodes, held = [], [], 0
-
-    return sets.select("node", "text").mapInArrow(run, "token long, node long")
+            names = ["doc_id", "n_shingles", "node", "digest", "text", "sketch", "tokens"]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    rows = whole_texts(docs, text, F.col(id_column).cast("long").alias("doc_id"))
+    return rows.mapInArrow(
+        run,
+        "doc_id long, n_shingles long, node long, digest binary, text binary, sketch binary, "
+        "tokens array<long>",
+    )
 
 
 def _allowance(bands: list[Band], percent: int) -> Column:
@@ -234,20 +229,25 @@ def _allowance(bands: list[Band], percent: int) -> Column:
     lows = F.array(*[F.lit(b.low) for b in bands])
     highs = F.array(*[F.lit(b.high).cast("long") for b in bands])
     weights = F.array(*[F.lit(b.weight) for b in bands])
+    slack = F.array(*[F.lit(b.weight if b.wide else SLACK) for b in bands])
     own = F.size(F.filter(lows, lambda low: low <= n)) - 1
     at = F.when(own % 2 == parity, own).otherwise(own - 1)
     largest = F.floor(100 * n / percent).cast("long")
     other = F.when(at == own, largest).otherwise(F.least(n, F.get(highs, at)))
     differ = F.floor((100 - percent) * (n + other) / (100 + percent))
-    return F.get(weights, at) - differ - 1
+    return F.least(F.get(weights, at) - differ - 1, F.get(slack, at))
 
 
-def postings(sets: DataFrame, bands: list[Band], percent: int = PERCENT) -> DataFrame:
-    """(token, node, n) of every set without the hottest keys that it may leave out."""
-    keys = _keys(sets, bands, percent)
+def postings(
+    rows: DataFrame, sizes: DataFrame, bands: list[Band], percent: int = PERCENT
+) -> DataFrame:
+    """(token, node, n) of every set without the hottest keys that it may leave out.
+
+    ``rows`` holds (node, tokens), ``sizes`` (__node, n), one row per set.
+    """
+    keys = rows.select(F.explode("tokens").alias("token"), "node")
     shared = keys.groupBy("token").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
     shared = spill(shared, "jaccard-shared")
-    sizes = sets.select(F.col("node").alias("__node"), "n")
     wide = F.col("token").bitwiseAND(F.lit(2))
     band = F.col("token").bitwiseAND(F.lit(1))
     hottest = Window.partitionBy("node", band).orderBy(F.desc("times"), F.desc("token"))
@@ -261,6 +261,7 @@ def postings(sets: DataFrame, bands: list[Band], percent: int = PERCENT) -> Data
         .withColumn("spent", spent)
         .filter("spent > allowed")
         .select("token", "node", "n")
+        .distinct()
     )
 
 
@@ -268,33 +269,16 @@ def similar_documents(
     docs: DataFrame, text: str = "text", id_column: str = "doc_id", percent: int = PERCENT
 ) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, kept."""
-    rows, nodes, salt = _numbered(docs, text, id_column)
-    largest = nodes.agg(F.max("n")).first()[0] or 0
-    edges = band_edges(largest, percent)
-    lows = F.array(*[F.lit(e) for e in edges])
-    band = (F.size(F.filter(lows, lambda low: low <= F.col("n"))) - 1).alias("band")
-    sizes = nodes.filter(F.col("n") >= edges[0]).groupBy(band).agg(F.count(F.lit(1)).alias("sets"))
-    counts = {r["band"]: r["sets"] for r in sizes.collect()}  # one row per band
-    component = F.col("node")
-    if counts:
-        bands = allocation(edges, counts, percent)
-        sets = spill(set_table(docs, text, edges[0], salt), "jaccard-sets")
-        posted = spill(postings(sets, bands, percent), "jaccard-postings")
-        labels, _ = linked(posted, sets, percent)
-        own = labels.select(F.col("doc_id").alias("__of"), "component")
-        nodes = nodes.join(own, F.col("node") == F.col("__of"), "left")
-        component = F.coalesce("component", "node")
-    placed = spill(nodes.select("node", component.alias("component"), "first"), "jaccard-placed")
-    smallest = placed.groupBy("component").agg(F.min("first").alias("least"))
-    groups = placed.join(smallest, "component").select(F.col("node").alias("__of"), "least")
-    component_id = F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id"))
-    return (
-        rows.join(spill(groups, "jaccard-groups"), F.col("node") == F.col("__of"), "left")
-        .withColumn("component_id", component_id)
-        .select(
-            "doc_id",
-            "n_shingles",
-            "component_id",
-            ((F.col("n_shingles") == 0) | F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("kept"),
-        )
+    edges = band_edges(LARGEST, percent)
+    bands = allocation(edges, guessed_counts(docs, text, edges), percent)
+    rows, nodes, _ = numbered(lambda salt: described(docs, text, id_column, salt, bands, percent))
+    sizes = nodes.select(F.col("node").alias("__node"), "n")
+    posted = spill(postings(rows, sizes, bands, percent), "jaccard-postings")
+    members = spill(posted.select(F.col("node").alias("__node")).distinct(), "jaccard-members")
+    sets = (
+        rows.join(members, F.col("node") == F.col("__node"), "left_semi")
+        .select("node", F.col("n_shingles").alias("n"), "text", "sketch")
+        .dropDuplicates(["node"])
     )
+    labels, _ = linked(posted, spill(sets, "jaccard-sets"), percent)
+    return placed(rows.drop("text", "sketch", "tokens"), nodes, labels)

@@ -16,25 +16,26 @@ Candidates pass a parity sketch, which can only be too lenient, and are confirme
 
 from __future__ import annotations
 
+import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import Window
+from pyspark.sql import functions as F
 
-from touchline.llm.near import components
+from touchline.llm.common import text_of
 from touchline.llm.shingles import shingle_set, similar
 from touchline.scratch import spill
 
-__all__ = ["components", "confirmed", "difference_bound", "linked", "parity_sketch"]
+Screen = Callable[[DataFrame, DataFrame, int], DataFrame]
 
 STARS = 2
-MEMBERS = 256  # members that meet one copy of their centre's text
+PARTS = 64  # copies of a centre's text that its members meet, at most
 _MIN_BITS = 256
-_SIZE_STEP = math.log(1.03)
+_SIZE_STEP = math.log(1.12)
 
 
 def difference_bound(a: int, b: int, percent: int) -> int:
@@ -49,6 +50,65 @@ def parity_sketch(hashes: np.ndarray) -> bytes:
     return np.packbits((np.bincount(places.astype("i8"), minlength=bits) & 1).astype("u1")).tobytes()
 
 
+def digest_of(hashes: np.ndarray, salt: int) -> bytes:
+    return hashlib.blake2b(hashes.tobytes(), digest_size=16, salt=salt.to_bytes(4, "little")).digest()
+
+
+def node_of(digest: bytes) -> int:
+    return int.from_bytes(digest[:8], "little", signed=True)
+
+
+def whole_texts(docs: DataFrame, text: str, *ids: Column) -> DataFrame:
+    return docs.select(*ids, text_of(text).cast("binary").alias("text"))
+
+
+def numbered(describe: Callable[[int], DataFrame]) -> tuple[DataFrame, DataFrame, int]:
+    """Rows with ``node`` and ``digest`` of their set; the nodes (node, n, first); their salt.
+
+    A node's number is half of its digest.  Should two sets get one number, all numbers are
+    drawn again with another salt.
+    """
+    salt = 0
+    while True:
+        rows = spill(describe(salt), "linking-described")
+        nodes = (
+            rows.filter("n_shingles > 0")
+            .groupBy("node", "digest")
+            .agg(F.min("doc_id").alias("first"), F.max("n_shingles").alias("n"))
+        )
+        nodes = spill(nodes, "linking-nodes")
+        twice = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1")
+        if twice.isEmpty():
+            return rows, nodes, salt
+        salt += 1
+
+
+def set_table(
+    docs: DataFrame, text: str, least: int, salt: int, members: DataFrame | None = None
+) -> DataFrame:
+    """(node, n, text, sketch): one text of each distinct set of ``least`` elements or more.
+
+    With ``members`` (__node), only of those.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(value.as_buffer()) for value in batch.column(0)]
+            keep = [k for k, s in enumerate(sets) if len(s) >= least]
+            columns = [
+                pa.array([node_of(digest_of(sets[k], salt)) for k in keep], pa.int64()),
+                pa.array([len(sets[k]) for k in keep], pa.int64()),
+                batch.column(0).take(pa.array(keep, pa.int64())),
+                pa.array([parity_sketch(sets[k]) for k in keep], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "n", "text", "sketch"])
+
+    rows = whole_texts(docs, text).mapInArrow(run, "node long, n long, text binary, sketch binary")
+    if members is not None:
+        rows = rows.join(members, F.col("node") == F.col("__node"), "left_semi")
+    return rows.dropDuplicates(["node"])
+
+
 def _differing_bits(a: bytes, b: bytes) -> int:
     """Lower bound of the difference; the longer sketch is folded onto the shorter."""
     small, large = sorted((np.frombuffer(a, "u1"), np.frombuffer(b, "u1")), key=len)
@@ -56,7 +116,7 @@ def _differing_bits(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(folded ^ small).sum())
 
 
-def _sketched(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def sketched(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sketches allow the similarity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,24 +137,20 @@ def _sketched(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.select("a", "b", "of_a", "of_b", "n_a", "n_b").mapInArrow(run, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int, screen: Screen = sketched) -> DataFrame:
     """The pairs (a, b) that reach the similarity on full sets.
 
-    Members of a centre b are dealt to parts of about ``MEMBERS``; the centre's text travels
-    once per part, in front of the part's members, and is split into shingles once.
+    Members of a centre b are dealt to up to ``PARTS`` parts; the centre's text travels once
+    per part, in front of the part's members, and is split into shingles once.
     """
-    close = spill(_sketched(pairs, sets, percent), "linking-close")
-    parts = close.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / MEMBERS).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("a"), F.lit(PARTS)).cast("int")
+    close = spill(screen(pairs, sets, percent).withColumn("part", part), "linking-close")
     texts = sets.select("node", "text")
-    members = (
-        close.join(parts, "b")
-        .withColumn("part", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int"))
-        .join(texts, F.col("a") == F.col("node"))
-        .select("b", "part", "a", "text")
-    )
+    members = close.join(texts, F.col("a") == F.col("node")).select("b", "part", "a", "text")
     centres = (
-        parts.join(texts, F.col("b") == F.col("node"))
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        close.select("b", "part")
+        .distinct()
+        .join(texts, F.col("b") == F.col("node"))
         .select("b", "part", F.lit(None).cast("long").alias("a"), "text")
     )
 
@@ -251,16 +307,75 @@ def prefix_pairs(
     return pairs.select(F.col("node").alias("a"), "b").distinct()
 
 
-def linked(posted: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Labels (doc_id = node, component) of all linked nodes, and the links (a, b) behind them."""
+def components(links: DataFrame) -> DataFrame:
+    """(doc_id, component) of all ends of links; smallest label, with pointer jumping."""
+    ends = spill(
+        links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).distinct(), "linking-ends"
+    )
+    first = ends.groupBy(F.col("a").alias("doc_id")).agg(F.min("b").alias("b"))
+    labels = spill(first.select("doc_id", F.least("doc_id", "b").alias("component")), "linking-labels")
+    while True:
+        around = (
+            ends.join(labels, ends["b"] == labels["doc_id"])
+            .groupBy("a")
+            .agg(F.min("component").alias("other"))
+        )
+        lower = labels.join(around, F.col("doc_id") == F.col("a")).select(
+            "doc_id",
+            F.col("component").alias("before"),
+            F.least("component", "other").alias("component"),
+        )
+        jump = labels.select(F.col("doc_id").alias("__to"), F.col("component").alias("__next"))
+        moved = spill(
+            lower.join(jump, F.col("component") == F.col("__to"), "left").select(
+                "doc_id", "before", F.least("component", "__next").alias("component")
+            ),
+            "linking-labels",
+        )
+        changed = moved.filter("before != component").limit(1).count()
+        labels = moved.drop("before")
+        if not changed:
+            return labels
+
+
+def linked(
+    posted: DataFrame, sets: DataFrame, percent: int, screen: Screen = sketched
+) -> tuple[DataFrame, DataFrame]:
+    """Labels (doc_id = node, component) of all linked nodes, and the links (a, b) behind them.
+
+    ``screen`` leaves the candidates (a, b) that are worth a look at their full sets.
+    """
     labels = links = None
     for turn in range(STARS + 1):
         if turn < STARS:
             pairs = star_pairs(posted, labels, turn, percent)
         else:
             pairs = prefix_pairs(posted, labels, sets, percent)
-        found = spill(confirmed(pairs, sets, percent), "linking-links")
+        found = spill(confirmed(pairs, sets, percent, screen), "linking-links")
         if labels is None or not found.isEmpty():
             links = found if links is None else links.unionByName(found)
             labels = components(links)
     return labels, links
+
+
+def placed(rows: DataFrame, nodes: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id (smallest id of its component), kept."""
+    component = F.col("node")
+    if labels is not None:
+        own = labels.select(F.col("doc_id").alias("__of"), "component")
+        nodes = nodes.join(own, F.col("node") == F.col("__of"), "left")
+        component = F.coalesce("component", "node")
+    members = spill(nodes.select("node", component.alias("component"), "first"), "linking-members")
+    smallest = members.groupBy("component").agg(F.min("first").alias("least"))
+    groups = members.join(smallest, "component").select(F.col("node").alias("__of"), "least")
+    component_id = F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id"))
+    return (
+        rows.join(spill(groups, "linking-groups"), F.col("node") == F.col("__of"), "left")
+        .withColumn("component_id", component_id)
+        .select(
+            "doc_id",
+            "n_shingles",
+            "component_id",
+            ((F.col("n_shingles") == 0) | F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("kept"),
+        )
+    )

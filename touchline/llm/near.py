@@ -1,51 +1,47 @@
 """MinHash near-deduplication by an inverted join of signature coordinates (op 7).
 
 1. Each text becomes its set of 5-word shingles and a MinHash signature.  Texts with equal
-   sets are one class, combined map-side; only its smallest id goes on.
-2. The classes are posted under each (coordinate, value) of their signatures.  A pair above
+   sets are one node, combined map-side, whatever their ids are.
+2. The nodes are posted under each (coordinate, value) of their signatures.  A pair above
    the similarity agrees in at least ``AGREE`` of ``COORDINATES`` coordinates but for one
-   case in 1e9.  So by the prefix principle a class needs posting only under its
-   ``COORDINATES - AGREE + 1`` rarest values, and values of one class alone are the rarest
-   of all: a class with fewer than ``AGREE`` shared values is out, and a passage or licence
+   case in 1e9.  So by the prefix principle a node needs posting only under its
+   ``COORDINATES - AGREE + 1`` rarest values, and values of one node alone are the rarest
+   of all: a node with fewer than ``AGREE`` shared values is out, and a passage or licence
    that a third of all documents share is skipped wherever it is not most of a document.
-3. The lists are merged without emitting their pairs.  In each of ``STARS`` rounds one
-   member of a list is its centre, and members of other components are compared with it
-   alone; equal pairs of several lists are one pair.  Lists within one component are done.
-   Members of the remaining lists are posted again, under the rarest quarter of their real
-   shingles; there the members outside a list's largest component meet the others, if the
-   places in both texts leave room for the overlap that their sizes need.  So no link
-   between components is lost, a large group of copies costs one comparison per member, and
-   texts that share only a common passage do not meet.
-4. A pair is counted on the full signatures (``AGREE`` or more), then confirmed on the full
-   shingle sets.  Components are found by smallest labels with pointer jumping.
+3. The lists are merged without emitting their pairs (``linking``): members meet one centre of
+   their list, and what stays open meets under the rarest real shingles, where size and place
+   leave room for the overlap.  So no link between components is lost, a large group of copies
+   costs one comparison per member, and texts that share only a common passage do not meet.
+4. Collisions of a pair are counted on the full signatures (``AGREE`` or more); what is above is
+   confirmed on the full shingle sets.  Components are found by smallest labels with pointer
+   jumping.
 
 All tables between the steps are written to the shared scratch folder.  Nothing is collected
 but the number of changed labels.
 
 Edge cases: null, empty and all-white texts have no shingles, link with nothing and stay;
-texts of fewer than five words are one shingle; repeated rows of one id are one document;
-rows with a null id join the class of their text, and one without any other row has a null
-component and stays; other columns are not read.
+texts of fewer than five words are one shingle; repeated rows, rows with one id and unlike
+texts, and rows with a null id are documents of their own; a component takes its smallest id
+that is not null, so null ids beside another one go, and a component of null ids alone stays
+with a null component; other columns are not read.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import text_of
-from touchline.llm.shingles import shingle_set, similar
+from touchline.llm.linking import digest_of, linked, node_of, numbered, placed, set_table, whole_texts
+from touchline.llm.shingles import shingle_set
 from touchline.scratch import spill
 
 COORDINATES = 96
 AGREE = 45
 PERCENT = 75
-STARS = 2
 
 _rng = np.random.default_rng(11)
 _FACTOR = _rng.integers(0, 1 << 32, COORDINATES, dtype="u4") | np.uint32(1)
@@ -69,34 +65,32 @@ def _batch(names: list[str], columns: list[pa.Array]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names)
 
 
-def described(docs: DataFrame, text: str, id_column: str) -> DataFrame:
-    """doc_id, n_shingles, set_key (digest of the set), signature."""
+def described(docs: DataFrame, text: str, id_column: str, salt: int = 0) -> DataFrame:
+    """doc_id, n_shingles, node, digest and signature of each row's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, keys, signatures = [], [], []
-            for value in batch.column(1):
-                hashes = shingle_set(value.as_buffer())
-                sizes.append(len(hashes))
-                keys.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest())
-                signatures.append(signature(hashes).tobytes() if len(hashes) else None)
+            sets = [shingle_set(value.as_buffer()) for value in batch.column(1)]
+            digests = [digest_of(s, salt) for s in sets]
             yield _batch(
-                ["doc_id", "n_shingles", "set_key", "signature"],
+                ["doc_id", "n_shingles", "node", "digest", "signature"],
                 [
                     batch.column(0),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(keys, pa.binary()),
-                    pa.array(signatures, pa.binary()),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([node_of(d) for d in digests], pa.int64()),
+                    pa.array(digests, pa.binary()),
+                    pa.array([signature(s).tobytes() if len(s) else None for s in sets], pa.binary()),
                 ],
             )
 
-    return docs.select(
-        F.col(id_column).cast("long").alias("doc_id"), text_of(text).cast("binary").alias("text")
-    ).mapInArrow(run, "doc_id long, n_shingles long, set_key binary, signature binary")
+    rows = whole_texts(docs, text, F.col(id_column).cast("long").alias("doc_id"))
+    return rows.mapInArrow(
+        run, "doc_id long, n_shingles long, node long, digest binary, signature binary"
+    )
 
 
-def _tokens(classes: DataFrame) -> DataFrame:
-    """(token, doc_id): coordinate number above the 32 bits of its value."""
+def _tokens(nodes: DataFrame) -> DataFrame:
+    """(token, node): coordinate number above the 32 bits of its value."""
     high = np.arange(COORDINATES, dtype="i8") << 32
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,31 +98,31 @@ def _tokens(classes: DataFrame) -> DataFrame:
             ids = np.repeat(batch.column(0).to_numpy(), COORDINATES)
             values = np.frombuffer(b"".join(batch.column(1).to_pylist()), "u4").astype("i8")
             tokens = values + np.tile(high, len(batch))
-            yield _batch(["token", "doc_id"], [pa.array(tokens), pa.array(ids, pa.int64())])
+            yield _batch(["token", "node"], [pa.array(tokens), pa.array(ids, pa.int64())])
 
-    return classes.select("doc_id", "signature").mapInArrow(run, "token long, doc_id long")
+    return nodes.select("node", "signature").mapInArrow(run, "token long, node long")
 
 
-def postings(classes: DataFrame) -> DataFrame:
-    """(token, doc_id) under each class's rarest shared tokens, as many as the prefix takes."""
-    tokens = _tokens(classes)
+def postings(nodes: DataFrame) -> DataFrame:
+    """(token, node) under each node's rarest shared tokens, as many as the prefix takes."""
+    tokens = _tokens(nodes)
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
     ranked = (
         tokens.join(shared, "token")
-        .groupBy("doc_id")
+        .groupBy("node")
         .agg(F.sort_array(F.collect_list(F.struct("times", "token"))).alias("found"))
     )
     alone = COORDINATES - F.size("found")
     quota = COORDINATES - AGREE + 1 - alone
     return ranked.filter(quota > 0).select(
-        "doc_id", F.explode(F.slice("found", F.lit(1), quota)).alias("one")
-    ).select(F.col("one")["token"].alias("token"), "doc_id")
+        "node", F.explode(F.slice("found", F.lit(1), quota)).alias("one")
+    ).select(F.col("one")["token"].alias("token"), "node")
 
 
-def confirmed(pairs: DataFrame, known: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) that agree in the signatures and then in the full sets."""
+def agreeing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose signatures collide in ``AGREE`` coordinates or more."""
 
-    def agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not len(batch):
                 continue
@@ -139,251 +133,33 @@ def confirmed(pairs: DataFrame, known: DataFrame, texts: DataFrame) -> DataFrame
             good = pa.array((left == right).sum(axis=1) >= AGREE)
             yield batch.select([0, 1]).filter(good)
 
-    def equal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, hashes = None, None
-        for batch in batches:
-            good = []
-            for b, left, right in zip(batch.column(1), batch.column(2), batch.column(3), strict=True):
-                if b.as_py() != last:  # rows arrive in runs of one centre
-                    last, hashes = b.as_py(), shingle_set(right.as_buffer())
-                good.append(similar(hashes, shingle_set(left.as_buffer()), PERCENT))
-            yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
-
-    def both(pairs: DataFrame, side: DataFrame, column: str) -> DataFrame:
-        of_a = side.select(F.col("doc_id").alias("a"), F.col(column).alias("of_a"))
-        of_b = side.select(F.col("doc_id").alias("b"), F.col(column).alias("of_b"))
-        return pairs.join(of_a, "a").join(of_b, "b").select("a", "b", "of_a", "of_b")
-
-    close = both(pairs, known, "signature").mapInArrow(agreeing, "a long, b long")
-    return both(close, texts, "text").mapInArrow(equal, "a long, b long")
-
-
-def components(links: DataFrame) -> DataFrame:
-    """(doc_id, component) of all ends of links; smallest label, with pointer jumping."""
-    ends = spill(
-        links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).distinct(), "near-ends"
-    )
-    first = ends.groupBy(F.col("a").alias("doc_id")).agg(F.min("b").alias("b"))
-    labels = spill(first.select("doc_id", F.least("doc_id", "b").alias("component")), "near-labels")
-    while True:
-        around = (
-            ends.join(labels, ends["b"] == labels["doc_id"])
-            .groupBy("a")
-            .agg(F.min("component").alias("other"))
-        )
-        lower = labels.join(around, F.col("doc_id") == F.col("a")).select(
-            "doc_id",
-            F.col("component").alias("before"),
-            F.least("component", "other").alias("component"),
-        )
-        jump = labels.select(F.col("doc_id").alias("__to"), F.col("component").alias("__next"))
-        moved = spill(
-            lower.join(jump, F.col("component") == F.col("__to"), "left").select(
-                "doc_id", "before", F.least("component", "__next").alias("component")
-            ),
-            "near-labels",
-        )
-        changed = moved.filter("before != component").limit(1).count()
-        labels = moved.drop("before")
-        if not changed:
-            return labels
-
-
-def _labelled(posted: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Postings (token, doc_id, n, component) of lists with more than one component."""
-    if labels is None:
-        rows = posted.withColumn("component", F.col("doc_id"))
-    else:
-        own = labels.withColumnRenamed("doc_id", "__id")
-        rows = posted.join(own, F.col("doc_id") == F.col("__id"), "left").select(
-            *posted.columns, F.coalesce("component", "doc_id").alias("component")
-        )
-    return rows
-
-
-def _fits() -> Column:
-    return (100 * F.least("n", "n2") >= PERCENT * F.greatest("n", "n2"))
-
-
-def star_pairs(posted: DataFrame, labels: DataFrame | None, turn: int) -> DataFrame:
-    """(a, b): each member outside the component of its list's centre b, with that centre."""
-    rows = _labelled(posted, labels)
-    order = F.xxhash64("doc_id", F.lit(turn)) if turn else F.col("doc_id")
-    centres = rows.groupBy("token").agg(
-        F.min(F.struct(order.alias("o"), "doc_id", "component", "n")).alias("c"),
-        F.min("component").alias("low"),
-        F.max("component").alias("high"),
-    )
-    centres = centres.filter("low != high").select(
-        F.col("token").alias("token"),
-        F.col("c")["doc_id"].alias("b"),
-        F.col("c")["component"].alias("component2"),
-        F.col("c")["n"].alias("n2"),
-    )
-    # Written first: the join then has an exchange on either side, and a hot list is split.
-    centres = spill(centres, "near-centres")
-    return (
-        rows.join(centres, "token")
-        .filter((F.col("component") != F.col("component2")) & _fits())
-        .select(F.col("doc_id").alias("a"), "b")
-        .distinct()
-    )
-
-
-def _shingles(texts: DataFrame) -> DataFrame:
-    """(doc_id, n, shingle) of whole texts."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for key, value in zip(batch.column(0), batch.column(1), strict=True):
-                hashes = shingle_set(value.as_buffer()).view("i8")
-                n = len(hashes)
-                yield _batch(
-                    ["doc_id", "n", "shingle"],
-                    [
-                        pa.array(np.full(n, key.as_py(), "i8")),
-                        pa.array(np.full(n, n, "i8")),
-                        pa.array(hashes),
-                    ],
-                )
-
-    return texts.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, shingle long")
+    def side(name: str) -> DataFrame:
+        return nodes.select(F.col("node").alias(name), F.col("signature").alias(f"of_{name}"))
 
-
-def exact_postings(texts: DataFrame) -> DataFrame:
-    """(token, doc_id, n, place): the rarest quarter of each text's shingles, if shared.
-
-    A set that shares three quarters of another's shingles shares one of its rarest quarter,
-    so a passage that is less than that of a text brings no pair, however common it is.
-    ``place`` counts the text's shingles from the rarest on; what two texts share from their
-    first common shingle on is at most what the shorter rest holds.
-    """
-    rows = _shingles(texts)
-    shared = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
-    ranked = (
-        rows.join(shared, "shingle")
-        .groupBy("doc_id", "n")
-        .agg(F.sort_array(F.collect_list(F.struct("times", "shingle"))).alias("found"))
-    )
-    prefix = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1
-    alone = F.col("n") - F.size("found")
-    quota = (prefix - alone).cast("int")
-    return (
-        ranked.filter(quota > 0)
-        .select(
-            F.posexplode(F.slice("found", F.lit(1), quota)).alias("at", "one"),
-            "doc_id",
-            "n",
-            alone.alias("alone"),
-        )
-        .select(
-            F.col("one")["shingle"].alias("token"),
-            "doc_id",
-            "n",
-            (F.col("alone") + F.col("at") + 1).alias("place"),
-        )
-    )
-
-
-def _open_lists(posted: DataFrame, labels: DataFrame) -> DataFrame:
-    """Labelled postings of lists of several components, with each list's largest (main)."""
-    rows = _labelled(posted, labels)
-    sizes = rows.groupBy("token", "component").agg(F.count(F.lit(1)).alias("k"))
-    main = (
-        sizes.groupBy("token")
-        .agg(F.max(F.struct("k", "component")).alias("m"), F.count(F.lit(1)).alias("c"))
-        .filter("c > 1")
-        .select("token", F.col("m")["component"].alias("main"))
-    )
-    return rows.join(main, "token")
-
-
-def remaining_pairs(posted: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b): all pairs of different components that the lists still hold.
-
-    Members of open lists are posted again under their rarest shingles, which is the sharper
-    prefix.  Members outside a list's largest component meet those of other components.
-    """
-    members = spill(
-        _open_lists(posted, labels).select(F.col("doc_id").alias("__id")).distinct(), "near-open"
-    )
-    again = exact_postings(texts.join(members, F.col("doc_id") == F.col("__id"), "left_semi"))
-    rows = spill(_open_lists(spill(again, "near-exact"), labels), "near-rows")
-    minor = rows.filter("component != main").select(
-        "token",
-        F.col("doc_id").alias("b"),
-        F.col("component").alias("component2"),
-        F.col("n").alias("n2"),
-        F.col("place").alias("place2"),
-    )
-    # Overlap needed for the pair's sizes against what can follow their places.
-    possible = 1 + F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2"))
-    enough = (100 + PERCENT) * possible >= PERCENT * (F.col("n") + F.col("n2"))
-    apart = (F.col("component") != F.col("component2")) & _fits() & enough
-    once = (F.col("component") == F.col("main")) | (F.col("doc_id") < F.col("b"))
-    met = rows.join(minor, "token").filter(apart & once)
-    return met.select(F.col("doc_id").alias("a"), "b").distinct()
+    met = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "of_a", "of_b")
+    return met.mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, kept."""
-    known = spill(described(docs, text, id_column), "near-described")
-    classes = spill(
-        known.filter("n_shingles > 0")
-        .groupBy("set_key")
-        .agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("rows")),
-        "near-classes",
-    )
-    reps = spill(
-        known.join(
-            classes.select(F.col("set_key").alias("__key"), "first"),
-            (F.col("doc_id") == F.col("first")) & (F.col("set_key") == F.col("__key")),
-            "left_semi",
-        )
-        .dropDuplicates(["doc_id", "set_key"])
-        .select("doc_id", F.col("n_shingles").alias("n"), "signature"),
-        "near-reps",
-    )
-    sizes = reps.select(F.col("doc_id").alias("__id"), "n")
-    posted = postings(reps)
-    posted = spill(
-        posted.join(sizes, F.col("doc_id") == F.col("__id")).select("token", "doc_id", "n"),
-        "near-postings",
-    )
-    members = spill(posted.select(F.col("doc_id").alias("__id")).distinct(), "near-members")
+    rows, nodes, salt = numbered(lambda salt: described(docs, text, id_column, salt))
     signatures = spill(
-        reps.join(members, F.col("doc_id") == F.col("__id"), "left_semi").select("doc_id", "signature"),
+        rows.filter("n_shingles > 0")
+        .select("node", F.col("n_shingles").alias("n"), "signature")
+        .dropDuplicates(["node"]),
         "near-signatures",
     )
-    texts = docs.select(
-        F.col(id_column).cast("long").alias("doc_id"), text_of(text).cast("binary").alias("text")
-    )
-    texts = spill(
-        texts.join(members, F.col("doc_id") == F.col("__id"), "left_semi").dropDuplicates(["doc_id"]),
-        "near-texts",
-    )
-    labels = links = None
-    for turn in range(STARS + 1):
-        if turn < STARS:
-            pairs = star_pairs(posted, labels, turn)
-        else:
-            pairs = remaining_pairs(posted, labels, texts)
-        found = spill(confirmed(pairs, signatures, texts), "near-links")
-        if labels is None or not found.isEmpty():
-            links = found if links is None else links.unionByName(found)
-            labels = components(links)
-    own = labels.select(F.col("doc_id").alias("__rep"), "component")
-    groups = classes.join(own, F.col("first") == F.col("__rep"), "left").select(
-        F.col("set_key").alias("__key"), F.coalesce("component", "first").alias("component")
-    )
-    groups = spill(groups, "near-groups")
-    return known.join(groups, F.col("set_key") == F.col("__key"), "left").select(
-        "doc_id",
-        "n_shingles",
-        F.when(F.col("n_shingles") > 0, F.coalesce("component", "doc_id"))
-        .otherwise(F.col("doc_id"))
-        .alias("component_id"),
-        F.when(F.col("n_shingles") > 0, F.col("doc_id").eqNullSafe(F.coalesce("component", "doc_id")))
-        .otherwise(True)
-        .alias("kept"),
+    sizes = signatures.select(F.col("node").alias("__node"), "n")
+    posted = spill(
+        postings(signatures)
+        .join(sizes, F.col("node") == F.col("__node"))
+        .select("token", "node", "n"),
+        "near-postings",
     )
+    members = spill(posted.select(F.col("node").alias("__node")).distinct(), "near-members")
+    texts = set_table(docs, text, 1, salt, members)
+    sets = spill(texts, "near-texts")
+    held = signatures.join(members, F.col("node") == F.col("__node"), "left_semi")
+    held = spill(held.select("node", "signature"), "near-held")
+    labels, _ = linked(posted, sets, PERCENT, lambda pairs, sets, percent: agreeing(pairs, held))
+    return placed(rows.drop("signature"), nodes, labels)
