@@ -31,6 +31,7 @@ empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -119,11 +120,15 @@ def allocation(edges: list[int], counts: dict[int, int], percent: int) -> list[B
 
 
 def _tail(mean: float, spare: int) -> float:
-    """Chance that a Poisson number exceeds ``spare``."""
-    term = total = float(np.exp(-mean))
+    """Chance that a Poisson number exceeds ``spare``; by the normal curve where the mean is large."""
+    if mean > 500:
+        return 0.5 * math.erfc((spare + 0.5 - mean) / math.sqrt(2 * mean))
+    term = total = math.exp(-mean)
     for k in range(1, spare + 1):
         term *= mean / k
         total += term
+        if k > mean and term < 1e-18:
+            break
     return max(0.0, 1.0 - total)
 
 
