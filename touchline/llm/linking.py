@@ -339,15 +339,20 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def linked(
-    posted: DataFrame, sets: DataFrame, percent: int, screen: Screen = sketched
+    posted: DataFrame,
+    sets: DataFrame,
+    percent: int,
+    screen: Screen = sketched,
+    stars: int = STARS,
 ) -> tuple[DataFrame, DataFrame]:
     """Labels (doc_id = node, component) of all linked nodes, and the links (a, b) behind them.
 
-    ``screen`` leaves the candidates (a, b) that are worth a look at their full sets.
+    ``screen`` leaves the candidates (a, b) that are worth a look at their full sets.  More turns
+    of ``stars`` leave fewer members of a large group to the exact rest; no result depends on them.
     """
     labels = links = None
-    for turn in range(STARS + 1):
-        if turn < STARS:
+    for turn in range(stars + 1):
+        if turn < stars:
             pairs = star_pairs(posted, labels, turn, percent)
         else:
             pairs = prefix_pairs(posted, labels, sets, percent)

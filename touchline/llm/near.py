@@ -42,6 +42,7 @@ from touchline.scratch import spill
 COORDINATES = 96
 AGREE = 45
 PERCENT = 75
+STARS = 4
 
 _rng = np.random.default_rng(11)
 _FACTOR = _rng.integers(0, 1 << 32, COORDINATES, dtype="u4") | np.uint32(1)
@@ -161,5 +162,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_column: str = "doc_i
     sets = spill(texts, "near-texts")
     held = signatures.join(members, F.col("node") == F.col("__node"), "left_semi")
     held = spill(held.select("node", "signature"), "near-held")
-    labels, _ = linked(posted, sets, PERCENT, lambda pairs, sets, percent: agreeing(pairs, held))
+    labels, _ = linked(
+        posted, sets, PERCENT, lambda pairs, sets, percent: agreeing(pairs, held), STARS
+    )
     return placed(rows.drop("signature"), nodes, labels)
