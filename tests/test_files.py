@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from touchline.schemas import layout
 from touchline.sinks import manifests, tables as sinks
 from touchline.sources import landing, tables as sources
+from workload import queries
 
 T0 = datetime(2024, 8, 1)
+SF_DIR = "/root/testdata/sf0.001"
 
 
 def land(folder, **files):
@@ -133,3 +135,30 @@ def test_newest_version_reads_no_data(spark, rows, tmp_path):
     assert sources.expire_versions(spark, path, 2) == [1]
     assert sources.versions(spark, path) == [2, 10]
     assert rows(sources.read_version(spark, path, ddl, "json", 2)) == [(2,)]
+
+
+def test_packed_files_grow_with_rows_not_with_names(spark, rows, tmp_path):
+    df = spark.range(300).select(
+        F.format_string("part %s/\u00e9.json", F.col("id") % 100).alias("file"),
+        F.when(F.col("id") % 3 > 0, F.col("id")).alias("id"),
+    )
+    df = df.unionByName(df.limit(2))
+    sinks.write_packed(df, str(tmp_path / "packed"), "file", pack=100)
+    back = landing.read_packed(spark, str(tmp_path / "packed"), "id BIGINT")
+    assert back.columns == ["id", "source_file"]
+    assert len(back.inputFiles()) <= 4
+    assert rows(back) == rows(df.select("id", "file"))
+    assert rows(landing.read_packed(spark, str(tmp_path / "packed"), layout("other INT")).distinct(), "other") == [
+        (None,)
+    ] * 100
+
+
+def test_packed_rows_of_nothing(spark, rows, tmp_path):
+    empty = spark.createDataFrame([], "file STRING, id BIGINT")
+    sinks.write_packed(empty, str(tmp_path / "packed"), "file")
+    assert rows(landing.read_packed(spark, str(tmp_path / "packed"), "id BIGINT")) == []
+
+
+def test_landed_orders_are_not_a_file_per_name(spark):
+    landed = queries.multi_line_rows(spark, SF_DIR)
+    assert len(landed.inputFiles()) < landed.select("source_file").distinct().count()

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 from touchline.operators.quality import schema_issues
+from touchline.sources.landing import PACKED_ROWS, SOURCE_FILE
 from touchline.sources.tables import VERSION
 
 
@@ -91,6 +92,24 @@ def write_json_groups(df: DataFrame, path: str, by: str, mode: str = "overwrite"
     writer.json(path, timestampFormat=EXACT_TIME)
 
 
+def write_packed(df: DataFrame, path: str, by: str, pack: int = 50_000) -> None:
+    """B3 for very many small files: an indented JSON array per value of ``by``, packed.
+
+    Each file written is one indented array, whose elements hold a small file's name and rows;
+    ``landing.read_packed`` opens them.  Files hold about ``pack`` rows, so their number grows
+    with the rows and not with the names; nothing is listed or renamed on the driver.
+    """
+    packs = max(1, -(-df.count() // pack))
+    dealt = df.withColumn("__pack", F.pmod(F.xxhash64(by), F.lit(packs))).repartition("__pack")
+    rows = F.struct(*[c for c in df.columns if c != by])
+    files = dealt.groupBy("__pack", by).agg(F.collect_list(rows).alias(PACKED_ROWS))
+    named = F.struct(F.col(by).alias(SOURCE_FILE), PACKED_ROWS)
+    texts = files.groupBy("__pack").agg(
+        F.to_json(F.collect_list(named), {"pretty": "true", "timestampFormat": EXACT_TIME}).alias("value")
+    )
+    texts.select("value").write.option("maxRecordsPerFile", 1).text(path)
+
+
 def write_version(
     df: DataFrame,
     path: str,
