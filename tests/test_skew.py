@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from touchline.plans import gold
 from touchline.sinks.tables import write_json_groups
-from touchline.scratch import drop_scratch, scratch_dir, spill
+from touchline.scratch import dealt, drop_scratch, scratch_dir, spill
 
 SHUFFLED = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -78,3 +78,16 @@ def test_scratch_is_shared_and_removable(spark, rows):
     assert drop_scratch(spark)
     with pytest.raises(Exception):
         kept.count()
+
+
+def test_slices_follow_the_rows_and_not_the_session(spark, rows):
+    df = spark.range(2000).select((F.col("id") % 500).alias("k"), F.col("id").alias("v"))
+    slices = dealt(df, "test-dealt", "k", rows=100)
+    assert slices.rdd.getNumPartitions() == 20 > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    homes = slices.select("k", F.spark_partition_id().alias("slice")).distinct()
+    assert homes.count() == 500
+    assert rows(slices) == rows(df)
+    assert "Exchange" not in slices.groupBy("k").count()._jdf.queryExecution().executedPlan().toString().replace(
+        "Exchange hashpartitioning(k", "", 1
+    )
+    assert dealt(df.filter("v < 0"), "test-dealt", "k").count() == 0

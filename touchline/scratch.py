@@ -44,6 +44,17 @@ def spill(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dealt(df: DataFrame, label: str, *by: str, rows: int = 100_000) -> DataFrame:
+    """``df`` spilled, then dealt by hash of ``by`` to slices of about ``rows`` rows.
+
+    The number of slices follows the rows and not the session's shuffle partitions, so that
+    later steps on ``by``, which need no further exchange, hold as much in a task at any size.
+    """
+    kept = spill(df, label)
+    slices = max(1, -(-kept.count() // rows))
+    return kept.repartition(slices, *by)
+
+
 def drop_scratch(spark: SparkSession) -> bool:
     """Delete what this application spilled; call it once the results are written."""
     path = spark._jvm.org.apache.hadoop.fs.Path(_root(spark))
