@@ -2,6 +2,7 @@
 
 import json
 from datetime import datetime, timedelta
+from glob import glob
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,9 +10,11 @@ from pyspark.sql import functions as F
 from touchline.operators.history import history_from_changes
 from touchline.operators.tails import read_history
 from touchline.plans import bronze, silver
+from touchline.scratch import _root
 from touchline.schemas import RAW_FIXTURE_STATS, RAW_TEAM, layout
 from touchline.sources import landing
 from touchline.streaming import counts, flows
+from workload import queries
 
 T0 = datetime(2024, 8, 1)
 
@@ -134,3 +137,19 @@ def test_stream_in_sql(spark, rows, tmp_path):
     )
     run(flows.append_stream(named, str(tmp_path / "out"), str(tmp_path / "cp")))
     assert rows(spark.read.parquet(str(tmp_path / "out"))) == [(2, "teams_7.json")]
+
+
+def test_payloads_land_compressed_and_a_batch_is_written_in_place(spark, monkeypatch):
+    write, options = flows.replace_partitions, []
+
+    def noted(*args, **named):
+        options.append(named)
+        write(*args, **named)
+
+    monkeypatch.setattr(flows, "replace_partitions", noted)
+    before = set(glob(f"{_root(spark)}/landed-stats-*"))
+    assert queries.pivot_stream(spark, "/root/testdata/sf0.001").count() > 0
+    (landed,) = set(glob(f"{_root(spark)}/landed-stats-*")) - before
+    files = glob(f"{landed}/part-*")
+    assert files and all(f.endswith(".json.gz") for f in files)
+    assert options == [{"spread": False}]

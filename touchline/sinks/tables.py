@@ -129,10 +129,14 @@ def write_version(
     writer.save(f"{path.rstrip('/')}/{VERSION}={version}")
 
 
-def replace_partitions(df: DataFrame, path: str, *by: str) -> None:
-    """Overwrite only the partitions that ``df`` holds (idempotent batch write, B5)."""
+def replace_partitions(df: DataFrame, path: str, *by: str, spread: bool = True) -> None:
+    """Overwrite only the partitions that ``df`` holds (idempotent batch write, B5).
+
+    Without ``spread`` rows are written from where they are, which spares an exchange where
+    ``df`` holds one partition only.
+    """
     (
-        spread_for_write(df, *by)
+        (spread_for_write(df, *by) if spread else df)
         .write.partitionBy(*by)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -78,12 +78,13 @@ def replace_batches(
 ) -> StreamingQuery:
     """B5 for flows that reduce rows inside a micro-batch: one partition per batch id.
 
-    Running a batch again overwrites its own partition, so a replay changes nothing.
+    Running a batch again overwrites its own partition, so a replay changes nothing.  A batch
+    is one partition, so its rows are written from where the merge left them.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         tagged = merge(batch).withColumn(BATCH, F.lit(batch_id))
-        replace_partitions(tagged, path, BATCH)
+        replace_partitions(tagged, path, BATCH, spread=False)
 
     return (
         rows.writeStream.foreachBatch(write)
