@@ -234,6 +234,21 @@ def test_star_joins_are_not_gathered(load):
     assert "SinglePartition" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
 
 
+def test_statistics_are_numbered_before_the_joins(load, rows, monkeypatch):
+    stats = load.table("gold", "dim_fixture_stats")
+    star = [load.table("gold", f"dim_{n}") for n in ("fixtures", "teams", "leagues", "dates")]
+    number, numbered = gold.dense_key, []
+    monkeypatch.setattr(gold, "dense_key", lambda df, *rest: (numbered.append(df.columns), number(df, *rest))[1])
+    facts = gold.fact_match_stats(stats, *star)
+    assert numbered == [stats.columns]
+    want = rows(stats.select(F.col("fixture_stat_key"), F.col("fixture_stat_key")))
+    assert rows(facts, "dim_fixture_stat_key", "match_statistic_key") == want and want
+    for dim in star:
+        twice = [dim.unionByName(dim) if d is dim else d for d in star]
+        with pytest.raises(Exception, match="match_statistic_key: duplicate order key"):
+            gold.fact_match_stats(stats, *twice).count()
+
+
 def test_second_run_keeps_history_and_tracking(spark, rows, tmp_path):
     def land(name, records):
         path = tmp_path / "landing" / f"{name}.json"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from touchline.functions import scores
 from touchline.functions.calendar import calendar, calendar_covering  # noqa: F401  (N1)
@@ -94,11 +94,12 @@ def _league_part(leagues: DataFrame) -> DataFrame:
         "league_id",
         F.col("league_key").alias("dim_league_key"),
         F.col("name").alias("league_name"),
+        *_copies(leagues),
     )
 
 
 def _date_part(dates: DataFrame) -> DataFrame:
-    return dates.select("date", F.col("date_key").alias("dim_date_key"), "season")
+    return dates.select("date", F.col("date_key").alias("dim_date_key"), "season", *_copies(dates))
 
 
 def match_star(
@@ -186,6 +187,19 @@ def fact_team_result_summary(team_results: DataFrame) -> DataFrame:
     )
 
 
+COPY = "__copy_"
+
+
+def _with_copies(df: DataFrame, key: str) -> DataFrame:
+    """The rows of each key counted on; shares the exchange and the sort of a join on it."""
+    place = F.row_number().over(Window.partitionBy(key).orderBy(key))
+    return df.withColumn(f"{COPY}{key}", place)
+
+
+def _copies(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c.startswith(COPY)]
+
+
 # --- statistics facts ----------------------------------------------------------------
 
 
@@ -212,12 +226,14 @@ def stats_star(
         "goals_home",
         "goals_away",
         *[c for c in fixtures.columns if c.startswith("score_") and c.endswith(("_home", "_away"))],
+        *_copies(fixtures),
     )
     team = teams.select(
         "team_id",
         F.col("team_id").alias("known_team_id"),
         F.col("team_key").alias("dim_team_key"),
         F.col("name").alias("team_name"),
+        *_copies(teams),
     )
     joined = (
         stats.withColumnRenamed("fixture_stat_key", "dim_fixture_stat_key")
@@ -241,18 +257,27 @@ def fact_match_stats(
     leagues: DataFrame,
     dates: DataFrame,
 ) -> DataFrame:
-    """One row per fixture and team with statistics, goals and result."""
-    star = stats_star(stats, fixtures, teams, dates).join(
-        _league_part(leagues), "league_id", "left"
-    )
+    """One row per fixture and team with statistics, goals and result.
+
+    The narrow statistics rows are numbered before the joins, which keep each of them once:
+    one that meets a dimension's key twice is refused.
+    """
+    keyed = dense_key(stats, "match_statistic_key", ["fixture_stat_key"])
+    star = stats_star(
+        keyed,
+        _with_copies(fixtures, "fixture_id"),
+        _with_copies(teams, "team_id"),
+        _with_copies(dates, "date"),
+    ).join(_league_part(_with_copies(leagues, "league_id")), "league_id", "left")
+    again = F.greatest(*[F.coalesce(F.col(c), F.lit(1)) for c in _copies(star)]) > 1
+    refused = F.raise_error(F.lit("match_statistic_key: duplicate order key"))
     rows = star.withColumns(
         {
             "match_result": scores.team_label(F.col("goals_scored"), F.col("goals_conceded")),
             "dim_date_key": F.col("dim_date_key").cast("bigint"),
         }
     )
-    keyed = dense_key(rows, "match_statistic_key", ["dim_fixture_stat_key"])
-    return _laid_out(keyed, "fact_match_stats")
+    return _laid_out(rows.filter(F.when(again, refused).otherwise(True)), "fact_match_stats")
 
 
 # Output name of the total and of the average of each measure.
