@@ -325,3 +325,48 @@ def test_wrong_frames_stop_a_run(load, monkeypatch):
     leagues = load.table("silver", "leagues")
     with pytest.raises(ValueError, match="missing columns country"):
         gold.dim_leagues(leagues.drop("country"))
+
+
+def test_team_statistics_number_no_statistics_or_fixtures(spark, monkeypatch, tmp_path):
+    from workload import queries
+
+    given = {
+        "nation": "SELECT 1L n_nationkey, 'N' n_name, 0L n_regionkey",
+        "customer": "SELECT id c_custkey, concat('C', id) c_name, 1L c_nationkey, 'M' c_mktsegment, "
+        "1.0D c_acctbal FROM range(1, 30)",
+        "orders": "SELECT id o_orderkey, id % 5 + 1 o_custkey, 'F' o_orderstatus, 100.0D + id o_totalprice, "
+        "timestamp_ntz'2024-01-01 00:00:00' o_orderdate FROM range(8)",
+        "lineitem": "SELECT id % 8 l_orderkey, id l_linenumber, 'R' l_returnflag, 'O' l_linestatus, "
+        "3.0D l_quantity, 0.1D l_discount, 0.1D l_tax FROM range(24)",
+    }
+    for name, text in given.items():
+        spark.sql(text).write.parquet(f"{tmp_path}/{name}.parquet")
+    numbered = []
+
+    def recorded(df, name, order_by):
+        numbered.append(name)
+        return gold_key(df, name, order_by)
+
+    gold_key = gold.dense_key
+    monkeypatch.setattr(gold, "dense_key", recorded)
+    found = queries.team_match_stats(spark, str(tmp_path))
+    assert found.agg(F.sum("match_played")).first()[0] == queries.frame(spark, str(tmp_path), "stats").count()
+    assert sorted(numbered) == ["fact_key", "team_key"]
+
+
+def test_unnumbered_rows_refuse_equal_keys(spark):
+    def fixtures(*ids):
+        return spark.createDataFrame([(i, "r") for i in ids], "fixture_id long, round string")
+
+    def stats(*keys):
+        return spark.createDataFrame(list(keys), "fixture_id long, team_id long")
+
+    left = spark.range(3).withColumnRenamed("id", "fixture_id")
+    assert left.join(gold.unnumbered_fixtures(fixtures(1, 2, None)), "fixture_id", "left").count() == 3
+    assert gold.unnumbered_stats(stats((1, 1), (1, 2), (1, None), (None, 1))).count() == 4
+    for twice in ((1, 2, 2), (1, None, None), (7, 7)):
+        with pytest.raises(Exception, match="duplicate order key"):
+            left.join(gold.unnumbered_fixtures(fixtures(*twice)), "fixture_id", "left").collect()
+    for twice in ([(1, 1), (1, 1)], [(1, None), (1, None)], [(None, None), (None, None)]):
+        with pytest.raises(Exception, match="duplicate order key"):
+            gold.unnumbered_stats(stats(*twice)).collect()

@@ -46,6 +46,19 @@ def dense_key(df: DataFrame, name: str, order_by: Sequence[str]) -> DataFrame:
     )
 
 
+def refusing_copies(df: DataFrame, name: str, order_by: Sequence[str]) -> DataFrame:
+    """The rows of ``df`` as they are; equal keys are refused as by ``dense_key``.
+
+    For results in which the numbers do not appear.  Rows meet by the first column, so the
+    exchange is the one that a join on it needs anyway; ``name`` is 1 on each row.  Rows that a
+    later step drops by a column of the key alone, as an inner join does null keys, are not met.
+    """
+    same_key = Window.partitionBy(*order_by).orderBy(*order_by)
+    counted = df.repartition(order_by[0]).withColumn(name, F.row_number().over(same_key))
+    copy = F.col(name)
+    return counted.withColumn(name, _refusing_copies(copy, name, copy)).filter(F.col(name) == 1)
+
+
 def _refusing_copies(copy: Column, name: str, number: Column) -> Column:
     refused = F.raise_error(F.lit(f"{name}: duplicate order key"))
     return F.when(copy > 1, refused).otherwise(number).cast("bigint")

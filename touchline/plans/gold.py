@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from touchline.functions import scores
 from touchline.functions.calendar import calendar, calendar_covering  # noqa: F401  (N1)
 from touchline.operators.history import END, START, current
-from touchline.operators.keys import dense_key
+from touchline.operators.keys import dense_key, refusing_copies
 from touchline.operators.sides import goals_of, split_sides
 from touchline.schemas import table_layout
 
@@ -77,6 +77,23 @@ def dim_fixture_stats(
     return _laid_out(keyed.join(leagues, "fixture_id", "left"), "dim_fixture_stats")
 
 
+def unnumbered_fixtures(silver: DataFrame) -> DataFrame:
+    """N4 for results that hold no fixture key: rows neither dealt by range nor written.
+
+    Null keys are met first, since a join on the key drops them before their copies are.
+    """
+    rows = _open_versions(silver, False)
+    if len(rows.filter("fixture_id is null").select("fixture_id").head(2)) > 1:
+        raise ValueError("fixture_key: duplicate order key")
+    return refusing_copies(rows, "fixture_key", ["fixture_id"])
+
+
+def unnumbered_stats(silver_stats: DataFrame) -> DataFrame:
+    """N5 likewise, without the league of the fixture."""
+    rows = _open_versions(silver_stats, False)
+    return refusing_copies(rows, "fixture_stat_key", ["fixture_id", "team_id"])
+
+
 # --- match facts ---------------------------------------------------------------------
 
 
