@@ -36,6 +36,7 @@ STARS = 2
 PARTS = 64  # copies of a centre's text that its members meet, at most
 _MIN_BITS = 256
 _SIZE_STEP = math.log(1.12)
+CELLS, CELL_BITS = 1 << 10, 1 << 15  # the bits that bitmap_construct_agg puts into one value
 
 
 def difference_bound(a: int, b: int, percent: int) -> int:
@@ -83,13 +84,43 @@ def numbered(describe: Callable[[int], DataFrame]) -> tuple[DataFrame, DataFrame
         salt += 1
 
 
+def possibly_in(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """All rows whose ``column`` is among the values of ``wanted`` (one column), and few others.
+
+    So wide rows need not be shuffled to be met.  Null is a value.  A bitmap of hashes is
+    broadcast, of 4 MB at most whatever the input: with very many values more others stay.
+    """
+
+    def hashed(name: str) -> Column:
+        return F.pmod(F.xxhash64(name), F.lit(CELLS * CELL_BITS))
+
+    place = hashed(wanted.columns[0])
+    cells = wanted.groupBy(F.floor(place / CELL_BITS).alias("__cell")).agg(
+        F.bitmap_construct_agg(place % CELL_BITS).alias("__bits")
+    )
+    at = hashed(column)
+    byte = F.substring("__bits", (F.floor(at % CELL_BITS / 8) + 1).cast("int"), F.lit(1))
+    value = F.conv(F.hex(byte), 16, 10).cast("int")
+    met = (F.floor(at / CELL_BITS) == F.col("__cell")) & (F.getbit(value, (at % 8).cast("int")) == 1)
+    return rows.join(F.broadcast(cells), met, "left_semi")
+
+
 def set_table(
-    docs: DataFrame, text: str, least: int, salt: int, members: DataFrame | None = None
+    docs: DataFrame,
+    text: str,
+    least: int,
+    salt: int,
+    members: DataFrame | None = None,
+    id_column: str | None = None,
 ) -> DataFrame:
     """(node, n, text, sketch): one text of each distinct set of ``least`` elements or more.
 
-    With ``members`` (__node), only of those.
+    With ``members`` (__node, first: the least id of the node's rows), only of those; the texts
+    of other ids in ``id_column`` are mostly not looked at.
     """
+    if members is not None and id_column is not None:
+        ids = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"))
+        docs, text = possibly_in(ids, "doc_id", members.select("first")), "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -145,7 +176,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int, screen: Screen =
     """
     part = F.pmod(F.xxhash64("a"), F.lit(PARTS)).cast("int")
     close = spill(screen(pairs, sets, percent).withColumn("part", part), "linking-close")
-    texts = sets.select("node", "text")
+    texts = sets.select("node", "text").hint("merge")  # they move to the pairs at every size alike
     members = close.join(texts, F.col("a") == F.col("node")).select("b", "part", "a", "text")
     centres = (
         close.select("b", "part")

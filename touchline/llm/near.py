@@ -35,7 +35,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.linking import digest_of, linked, node_of, numbered, placed, set_table, whole_texts
+from touchline.llm.linking import (
+    digest_of,
+    linked,
+    node_of,
+    numbered,
+    placed,
+    possibly_in,
+    set_table,
+    whole_texts,
+)
 from touchline.llm.shingles import shingle_set
 from touchline.scratch import spill
 
@@ -157,10 +166,13 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_column: str = "doc_i
         .select("token", "node", "n"),
         "near-postings",
     )
-    members = spill(posted.select(F.col("node").alias("__node")).distinct(), "near-members")
-    texts = set_table(docs, text, 1, salt, members)
-    sets = spill(texts, "near-texts")
-    held = signatures.join(members, F.col("node") == F.col("__node"), "left_semi")
+    members = posted.select(F.col("node").alias("__node")).distinct()
+    members = spill(
+        members.join(nodes, F.col("node") == F.col("__node")).select("__node", "first"), "near-members"
+    )
+    sets = spill(set_table(docs, text, 1, salt, members, id_column), "near-texts")
+    few = possibly_in(signatures, "node", members.select("__node"))
+    held = few.join(members, F.col("node") == F.col("__node"), "left_semi")
     held = spill(held.select("node", "signature"), "near-held")
     labels, _ = linked(
         posted, sets, PERCENT, lambda pairs, sets, percent: agreeing(pairs, held), STARS
