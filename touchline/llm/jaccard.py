@@ -50,6 +50,7 @@ from touchline.llm.linking import (
     numbered,
     parity_sketch,
     placed,
+    possibly_in,
     whole_texts,
 )
 from touchline.llm.shingles import mix, shingle_set
@@ -281,7 +282,8 @@ def similar_documents(
     posted = spill(postings(rows, sizes, bands, percent), "jaccard-postings")
     members = spill(posted.select(F.col("node").alias("__node")).distinct(), "jaccard-members")
     sets = (
-        rows.join(members, F.col("node") == F.col("__node"), "left_semi")
+        possibly_in(rows, "node", members)
+        .join(members, F.col("node") == F.col("__node"), "left_semi")
         .select("node", F.col("n_shingles").alias("n"), "text", "sketch")
         .dropDuplicates(["node"])
     )
