@@ -100,6 +100,34 @@ def test_contexts_of_one_text_are_dealt_to_parts(spark):
     assert sum(sizes) == 2000 and len(sizes) == 4 and max(sizes) < 600
 
 
+def test_contexts_that_cannot_repeat_are_not_ordered(monkeypatch):
+    rng = random.Random(4)
+    anchor = "".join(rng.choice("klm") for _ in range(32))
+    shared = "".join(rng.choice("xyz") for _ in range(60))
+
+    def context(doc, before, after):
+        return (1, 0, 1, doc, 10, (before + anchor + after).encode(), len(before))
+
+    noise = [["".join(rng.choice("abc") for _ in range(60)) for _ in range(2)] for _ in range(20)]
+    rows = [context(k, *pair) for k, pair in enumerate(noise)]
+    rows += [context(30, noise[0][0], shared), context(31, noise[1][1], shared), context(32, "ab" + shared, shared[:40])]
+    rows += [context(33, "b" + shared, shared[:30]), context(34, "", "")]
+    ordered = []
+
+    def recorded(texts, length):
+        ordered.extend(texts)
+        return grouping.prefix_intervals(texts, length)
+
+    whole = [
+        (r[3], r[4] + i) for r in rows for i in range(len(r[5]) - 99)
+        if any(r[5][i : i + 100] in o[5] for o in rows if o[3] < r[3])
+    ]
+    monkeypatch.setattr(repeats, "prefix_intervals", recorded)
+    found = [(doc, s) for _, doc, start, end in repeats._of_bucket(rows) for s in range(start, end - 99)]
+    assert found == whole and len(whole) > 20
+    assert len(ordered) < 8 and repeats._repeating(rows[:20]) == []
+
+
 def test_bytes_of_ids_with_unlike_texts(documents):
     """Rows without an id, and unlike texts of one id, are documents of their own."""
     rng = random.Random(9)
@@ -170,6 +198,28 @@ def test_near_without_links_or_rows(documents, as_dict):
     assert near.near_duplicates(documents([(1, "a")]).limit(0)).collect() == []
 
 
+def test_rows_that_may_be_wanted(spark):
+    rows = spark.range(20_000).selectExpr("IF(id = 5, NULL, id) AS k", "id")
+    wanted = spark.createDataFrame([(i,) for i in (None, 3, 19_999, 7, 7, -4)], "w long")
+    found = {r["id"] for r in linking.possibly_in(rows, "k", wanted).collect()}
+    assert found >= {3, 5, 7, 19_999} and len(found) < 100
+    assert linking.possibly_in(rows, "k", wanted.limit(0)).count() == 0
+
+
+def test_near_sets_of_other_ids_are_not_built(documents):
+    texts = [(i, f"w{i} a b c d e f g h {i}") for i in range(50)]
+    docs = documents([*texts, (None, texts[3][1]), (None, "n u l l i d s"), (3, "x y z u v w")])
+    every = {r["n"]: r["node"] for r in linking.set_table(documents(texts[3:4]), "text", 1, 0).collect()}
+    spark = docs.sparkSession
+    members = spark.createDataFrame([(n, 3) for n in every.values()], "__node long, first long")
+    assert [r["node"] for r in linking.set_table(docs, "text", 1, 0, members, "doc_id").collect()] == [
+        *every.values()
+    ]
+    node = linking.set_table(documents([(None, "n u l l i d s")]), "text", 1, 0).first()["node"]
+    members = spark.createDataFrame([(node, None)], "__node long, first long")
+    assert linking.set_table(docs, "text", 1, 0, members, "doc_id").first()["n"] == 3
+
+
 def test_near_ids(documents):
     """Rows without an id, and unlike texts of one id, are documents of their own."""
     words = [f"w{k}" for k in range(40)]

@@ -8,8 +8,8 @@ bytes; only suffixes that share a string need to meet.  So:
    anchor; equal strings have equal anchors.  Buckets of one anchor are out at once, which
    is nearly all of a text without repeats.
 2. Equal contexts of a bucket are combined: all but the earliest are later copies as a whole.
-3. Of the distinct contexts of a bucket a suffix array is built by Lyndon grouping (see
-   ``grouping``); its intervals with a common prefix of ``LENGTH`` bytes are the repeated
+3. Of the distinct contexts of a bucket, cut to what agrees with any other one on either side of
+   their anchors, a suffix array is built by Lyndon grouping (see ``grouping``); its intervals with a common prefix of ``LENGTH`` bytes are the repeated
    strings, and the earliest suffix of an interval is the original.
 4. A bucket of more than ``CONTEXTS`` distinct contexts is dealt to several tasks, by hashes
    of the contexts' places, so parts hold about ``CONTEXTS`` of them, also if all are in one
@@ -96,9 +96,17 @@ def _end(at: Column) -> Column:
 
 
 def _contexts(owners: DataFrame, texts: DataFrame) -> DataFrame:
-    """(gram, part, parts, doc, start, bytes) of the contexts that ``owners`` names."""
+    """(gram, part, parts, doc, start, bytes, left) of the contexts that ``owners`` names."""
     wanted = owners.groupBy(F.col("doc").alias("__doc")).agg(
-        F.collect_list(F.struct("gram", "parts", _start(F.col("at")).alias("s"), _end(F.col("at")).alias("e"))).alias("w")
+        F.collect_list(
+            F.struct(
+                "gram",
+                "parts",
+                _start(F.col("at")).alias("s"),
+                _end(F.col("at")).alias("e"),
+                F.shiftright("at", 8).bitwiseAND(F.lit(255)).alias("left"),
+            )
+        ).alias("w")
     )
     cut = texts.join(wanted, F.col("doc") == F.col("__doc")).select("doc", "text", F.explode("w").alias("w"))
     raw = F.substring(F.col("text"), F.col("w")["s"].cast("int") + 1, (F.col("w")["e"] - F.col("w")["s"]).cast("int"))
@@ -109,11 +117,51 @@ def _contexts(owners: DataFrame, texts: DataFrame) -> DataFrame:
         "doc",
         F.col("w")["s"].alias("start"),
         raw.alias("bytes"),
+        F.col("w")["left"].alias("left"),
     )
 
 
+def _shared(a: bytes, b: bytes, order: str) -> int:
+    """Length of the common prefix ("big") or suffix ("little") of two strings of one length."""
+    differ = int.from_bytes(a, order) ^ int.from_bytes(b, order)
+    return len(a) - (differ.bit_length() + 7) // 8
+
+
+def _reach(sides: list[bytes], order: str) -> list[int]:
+    """Longest common prefix (suffix) of each string with any other; neighbours in order tell."""
+    ranked = sorted(range(len(sides)), key=lambda k: sides[k] if order == "big" else sides[k][::-1])
+    reach = [0] * len(sides)
+    for i, k in zip(ranked, ranked[1:]):
+        n = min(len(sides[i]), len(sides[k]))
+        if order == "big":
+            shared = _shared(sides[i][:n], sides[k][:n], order)
+        else:
+            shared = _shared(sides[i][len(sides[i]) - n :], sides[k][len(sides[k]) - n :], order)
+        reach[i], reach[k] = max(reach[i], shared), max(reach[k], shared)
+    return reach
+
+
+def _repeating(rows: list[tuple]) -> list[tuple]:
+    """Contexts of a whole bucket, cut to what may repeat in another one; the rest are left out.
+
+    Equal strings have their anchor in the same place, so what two contexts share reaches from
+    the anchor to either side, no farther than each side agrees with any other context.
+    """
+    right = _reach([r[5][r[6] :] for r in rows], "big")
+    left = _reach([r[5][: r[6]] for r in rows], "little")
+    return [
+        (*r[:4], r[4] + r[6] - to_left, r[5][r[6] - to_left : r[6] + to_right], to_left)
+        for r, to_left, to_right in zip(rows, left, right, strict=True)
+        if to_left + to_right >= LENGTH
+    ]
+
+
 def _of_bucket(rows: list[tuple]) -> Iterator[tuple]:
     """(digest, doc, start, end) of one bucket part; digest only where parts must be compared."""
+    if rows[0][2] == 1:
+        rows = _repeating(rows)
+        if not rows:
+            return
     rows = sorted(rows, key=lambda r: (r[3], r[4]))
     places = [(r[3], r[4]) for r in rows]
     later: list[list[int]] = [[] for _ in rows]
