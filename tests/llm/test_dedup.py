@@ -4,9 +4,10 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 
-from touchline.llm import exact, grouping, linking, lines, near, repeats
+from touchline.llm import anchors, exact, grouping, linking, lines, near, repeats
 
 from .test_queries import components
 
@@ -128,6 +129,43 @@ def test_contexts_that_cannot_repeat_are_not_ordered(monkeypatch):
     assert len(ordered) < 8 and repeats._repeating(rows[:20]) == []
 
 
+def test_contexts_equal_as_cut_are_ordered_once(monkeypatch):
+    rng = random.Random(3)
+    shared = "".join(rng.choice("klmxyz") for _ in range(120)).encode()
+    rows = [(1, 0, 1, doc, 9, b"%d" % doc + shared + b"%d" % doc, 41) for doc in (4, 2, 3)]
+    ordered = []
+
+    def recorded(texts, length):
+        ordered.extend(texts)
+        return grouping.prefix_intervals(texts, length)
+
+    monkeypatch.setattr(repeats, "prefix_intervals", recorded)
+    assert list(repeats._of_bucket(rows)) == [(None, 3, 10, 130), (None, 4, 10, 130)]
+    assert ordered == [shared]
+
+
+@pytest.mark.parametrize("piece", [256, 1 << 16])
+def test_anchors_of_equal_strings_are_equal(monkeypatch, piece):
+    """Every string has one owner; equal strings have it in the same place, also across pieces."""
+    monkeypatch.setattr(anchors, "PIECE", piece)
+    rng = random.Random(2)
+    shared = bytes(rng.choice(b"abc") for _ in range(300))
+    texts = [b"x" * 70 + shared, b"short", shared[:99], b"yz" * 400 + shared, shared[50:], b"a" * 400]
+    data = np.frombuffer(b"".join(texts), "u1")
+    owner, contexts, equal = {}, {}, {}
+    for found in anchors.find(data, np.cumsum([0, *map(len, texts)])):
+        for text, place, left, owned, gram, context in zip(*found, strict=True):
+            start = place - left
+            raw = texts[text][start : start + owned + anchors.LENGTH - 1]
+            assert contexts.setdefault(context, (raw, left)) == (raw, left)
+            for s in range(start, start + owned):
+                assert owner.setdefault((text, s), (gram, place - s)) == (gram, place - s)
+    for (text, s), anchor in owner.items():
+        string = texts[text][s : s + anchors.LENGTH]
+        assert equal.setdefault(string, anchor) == anchor and 0 <= anchor[1] <= 68
+    assert len(owner) == sum(max(0, len(t) - 99) for t in texts)
+
+
 def test_bytes_of_ids_with_unlike_texts(documents):
     """Rows without an id, and unlike texts of one id, are documents of their own."""
     rng = random.Random(9)

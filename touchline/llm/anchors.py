@@ -17,7 +17,7 @@ from touchline.llm.shingles import mix
 
 LENGTH = 100
 GRAM = 32
-PIECE = 1 << 18
+PIECE = 1 << 16
 _SPAN = LENGTH - GRAM + 1
 _LOW = np.uint64((1 << 20) - 1)
 _BASE = 0xD6E8FEB86659FD93
@@ -30,8 +30,7 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-_POWERS = _powers(_BASE, PIECE + 2 * LENGTH)
-_INVERSE = _powers(pow(_BASE, -1, 1 << 64), PIECE + 2 * LENGTH)
+_POWERS = _powers(_BASE, GRAM)
 
 
 class Anchors(NamedTuple):
@@ -66,31 +65,43 @@ def _pieces(offsets: np.ndarray) -> Iterator[tuple[int, int, list[tuple[int, int
         yield group[0][1], group[-1][2], group
 
 
+def _context(gram: np.ndarray, start: np.ndarray, end: np.ndarray, shape: np.ndarray) -> np.ndarray:
+    """Hash of the shape and of the bytes from start to end, by grams that cover them."""
+    out = mix(shape)
+    for at in range(0, LENGTH + _SPAN - 1, GRAM):
+        out = mix(out + gram[np.minimum(start + at, end - GRAM)])
+    return out
+
+
 def find(data: np.ndarray, offsets: np.ndarray) -> Iterator[Anchors]:
     """Anchors of the texts ``data[offsets[i]:offsets[i + 1]]``, some texts at a time."""
+    # Passes over a piece go to and fro between buffers that stay in the processor's cache.
+    buffers, numbers = np.empty((3, PIECE), "u8"), np.arange(PIECE, dtype="u8")
     for begin, stop, texts in _pieces(offsets):
-        raw = data[begin:stop]
-        n = len(raw)
-        value = _VALUES[raw]
-        gram, size = value, 1
+        gram, other, low = buffers
+        n, size = stop - begin, 1
+        # The indices are bytes, so no mode changes them; this one needs no copy of the result.
+        np.take(_VALUES, data[begin:stop], out=gram[:n], mode="clip")
         while size < GRAM:
-            gram = gram[:-size] * _POWERS[size] + gram[size:]
-            size *= 2
-        gram = mix(gram)
-        low = (gram & ~_LOW) | np.arange(len(gram), dtype="u8")
+            n -= size
+            np.multiply(gram[:n], _POWERS[size], out=other[:n])
+            other[:n] += gram[size : n + size]
+            gram, other, size = other, gram, size * 2
+        np.bitwise_and(gram[:n], ~_LOW, out=low[:n])
+        low[:n] |= numbers[:n]
         size = 1
         while size * 2 <= _SPAN:
-            low = np.minimum(low[:-size], low[size:])
-            size *= 2
-        low = np.minimum(low[: n - LENGTH + 1], low[_SPAN - size :])
+            n -= size
+            np.minimum(low[:n], low[size : n + size], out=other[:n])
+            low, other, size = other, low, size * 2
+        n = stop - begin - LENGTH + 1
+        np.minimum(low[:n], low[_SPAN - size : n + _SPAN - size], out=other[:n])
         starts = np.concatenate([np.arange(s - begin, e - begin - LENGTH + 1) for _, s, e in texts])
-        chosen = (low[starts] & _LOW).astype("i8")
-        first = np.flatnonzero(np.diff(chosen, prepend=-1))
-        owned = np.diff(first, append=len(chosen))
-        lo, place = starts[first], chosen[first]
-        sums = np.zeros(n + 1, "u8")
-        np.cumsum(value * _POWERS[:n], out=sums[1:])
-        context = (sums[lo + owned + LENGTH - 1] - sums[lo]) * _INVERSE[lo]
+        # The place is part of what is compared, so strings of one anchor, and only they, agree.
+        least = other[starts]
+        first = np.concatenate([[0], np.flatnonzero(least[1:] != least[:-1]) + 1])
+        owned = np.diff(first, append=len(least))
+        lo, place = starts[first], (least[first] & _LOW).astype("i8")
         shape = ((place - lo) * 128 + owned).astype("u8")
         bounds = np.array([s - begin for _, s, _ in texts])
         number = np.searchsorted(bounds, lo, side="right") - 1
@@ -100,6 +111,6 @@ def find(data: np.ndarray, offsets: np.ndarray) -> Iterator[Anchors]:
             place + begin - text_start,
             place - lo,
             owned,
-            gram[place],
-            mix(context + mix(shape)),
+            mix(gram[place]),
+            _context(gram, lo, lo + owned + LENGTH - 1, shape),
         )

@@ -9,8 +9,9 @@ bytes; only suffixes that share a string need to meet.  So:
    is nearly all of a text without repeats.
 2. Equal contexts of a bucket are combined: all but the earliest are later copies as a whole.
 3. Of the distinct contexts of a bucket, cut to what agrees with any other one on either side of
-   their anchors, a suffix array is built by Lyndon grouping (see ``grouping``); its intervals with a common prefix of ``LENGTH`` bytes are the repeated
-   strings, and the earliest suffix of an interval is the original.
+   their anchors, a suffix array is built by Lyndon grouping (see ``grouping``); contexts that are
+   equal as cut enter it once.  Its intervals with a common prefix of ``LENGTH`` bytes are the
+   repeated strings, and the earliest suffix of an interval is the original.
 4. A bucket of more than ``CONTEXTS`` distinct contexts is dealt to several tasks, by hashes
    of the contexts' places, so parts hold about ``CONTEXTS`` of them, also if all are in one
    text.  The originals of such parts are compared once more by digest, so nothing is lost
@@ -33,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +47,7 @@ from touchline.scratch import spill
 
 CONTEXTS = 500
 _LAST = "9223372036854775807"
+_END = (1 << 32) - 1
 
 
 def _id(column: str) -> Column:
@@ -62,18 +65,32 @@ def _documents(rows: DataFrame) -> DataFrame:
     return spill(rows.join(known, same).withColumn("doc", F.col("number")).select(*rows.columns), "repeat-numbered")
 
 
+def _found(column: pa.Array) -> Iterator[anchors.Anchors]:
+    """Anchors of a column of texts."""
+    if not len(column) or column.buffers()[2] is None:
+        return
+    offsets = np.frombuffer(column.buffers()[1], "i4")[column.offset :][: len(column) + 1]
+    yield from anchors.find(np.frombuffer(column.buffers()[2], "u1"), offsets)
+
+
+def _text_grams(texts: DataFrame) -> DataFrame:
+    """(gram) of every anchor, from (doc, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in _found(batch.column(0)):
+                yield pa.RecordBatch.from_arrays([pa.array(a.gram.view("i8"))], ["gram"])
+
+    return texts.select("text").mapInArrow(run, "gram long")
+
+
 def text_anchors(texts: DataFrame) -> DataFrame:
     """(gram, context, doc, at) from (doc, text); ``at`` is place, left and owned in one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = batch.column(1)
-            if not len(column) or column.buffers()[2] is None:
-                continue
-            offsets = np.frombuffer(column.buffers()[1], "i4")[column.offset :][: len(column) + 1]
-            data = np.frombuffer(column.buffers()[2], "u1")
             ids = batch.column(0).to_numpy()
-            for a in anchors.find(data, offsets):
+            for a in _found(batch.column(1)):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(a.gram.view("i8")),
@@ -157,33 +174,47 @@ def _repeating(rows: list[tuple]) -> list[tuple]:
 
 
 def _of_bucket(rows: list[tuple]) -> Iterator[tuple]:
-    """(digest, doc, start, end) of one bucket part; digest only where parts must be compared."""
-    if rows[0][2] == 1:
+    """(digest, doc, start, end) of one bucket part; digest only where parts must be compared.
+
+    Contexts that are equal, as cut, enter the suffix array once.
+    """
+    whole = rows[0][2] == 1
+    if whole:
         rows = _repeating(rows)
         if not rows:
             return
-    rows = sorted(rows, key=lambda r: (r[3], r[4]))
-    places = [(r[3], r[4]) for r in rows]
-    later: list[list[int]] = [[] for _ in rows]
-    for interval in prefix_intervals([r[5] for r in rows], LENGTH):
-        original = min(interval, key=lambda m: (places[m[0]][0], places[m[0]][1] + m[1]))
-        for k, i in interval:
-            if (k, i) != original:
-                later[k].append(i)
-        if rows[0][2] > 1:
+    holders: dict[bytes, list[tuple[int, int]]] = {}
+    for place, raw in sorted(((r[3], r[4]), r[5]) for r in rows):
+        holders.setdefault(raw, []).append(place)
+    texts, places = list(holders), [held[0] for held in holders.values()]
+    later: list[list[int]] = [[] for _ in texts]
+    for interval in prefix_intervals(texts, LENGTH):
+        original = interval[0]
+        if len(interval) > 1:
+            original = min(interval, key=lambda m: (places[m[0]][0], places[m[0]][1] + m[1]))
+            for k, i in interval:
+                if (k, i) != original:
+                    later[k].append(i)
+        if not whole:
             k, i = original
-            digest = hashlib.blake2b(rows[k][5][i : i + LENGTH], digest_size=16).digest()
+            digest = hashlib.blake2b(texts[k][i : i + LENGTH], digest_size=16).digest()
             start = places[k][1] + i
             yield digest, places[k][0], start, start + LENGTH
-    for k, found in enumerate(later):
+    spans = []
+    for text, held, found in zip(texts, holders.values(), later, strict=True):
+        doc, start = held[0]
         found.sort()
         at = 0
         while at < len(found):
             to = at
             while to + 1 < len(found) and found[to + 1] == found[to] + 1:
                 to += 1
-            yield None, places[k][0], places[k][1] + found[at], places[k][1] + found[to] + LENGTH
+            spans.append((doc, start + found[at], start + found[to] + LENGTH))
             at = to + 1
+        # Every string of the others is in the first one too.
+        spans += [(doc, start, start + len(text)) for doc, start in held[1:] if len(text) >= LENGTH]
+    for span in sorted(spans):
+        yield None, *span
 
 
 def _compared(contexts: DataFrame) -> DataFrame:
@@ -216,19 +247,19 @@ def _compared(contexts: DataFrame) -> DataFrame:
 
 def repeated_spans(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """From (doc, text): (doc, start, end) of later copies, and the texts concerned."""
-    found = text_anchors(texts)
-    twice = (
-        found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
-    )
+    twice = _text_grams(texts).groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     # Written first: the join then has an exchange on either side, and a hot bucket is split.
-    twice = spill(twice, "repeat-grams")
-    shared = spill(found.join(twice, "gram", "left_semi"), "repeat-anchors")
+    # Grams, and classes below, come once each: hashing their slices spares a sort of all anchors.
+    twice = spill(twice.select("gram"), "repeat-grams")
+    shared = spill(
+        text_anchors(texts).join(twice.hint("shuffle_hash"), "gram", "left_semi"), "repeat-anchors"
+    )
     place = F.struct("doc", "at")
     classes = spill(
         shared.groupBy("gram", "context").agg(F.min(place).alias("first")), "repeat-contexts"
     )
     copies = (
-        shared.join(classes, ["gram", "context"])
+        shared.join(classes.hint("shuffle_hash"), ["gram", "context"])
         .filter(F.col("first") != place)
         .select("doc", _start(F.col("at")).alias("start"), _end(F.col("at")).alias("end"))
     )
@@ -262,14 +293,16 @@ def repeated_spans(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     return copies.unionByName(local).unionByName(across), held
 
 
-def _merged(spans: list[dict]) -> list[tuple[int, int]]:
-    merged: list[list[int]] = []
-    for span in spans:
-        if merged and span["start"] <= merged[-1][1]:
-            merged[-1][1] = max(merged[-1][1], span["end"])
-        else:
-            merged.append([span["start"], span["end"]])
-    return [(a, b) for a, b in merged]
+def _merged(spans: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, start, end) of the maximal runs that packed spans, ascending in a row, cover."""
+    packed = spans.flatten().to_numpy()
+    row = np.repeat(np.arange(len(spans)), pc.list_value_length(spans).to_numpy())
+    # Rows lie one after the other on one line, farther apart than a text is long.
+    start = (row << 32) + (packed >> 32)
+    end = np.maximum.accumulate((row << 32) + (packed & _END))
+    first = np.flatnonzero(np.concatenate([[True], start[1:] > end[:-1]])[: len(row)])
+    last = np.append(first[1:], len(row))[: len(first)] - 1
+    return row[first], start[first] & _END, end[last] & _END
 
 
 def remaining_text(texts: DataFrame, spans: DataFrame) -> DataFrame:
@@ -277,28 +310,32 @@ def remaining_text(texts: DataFrame, spans: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept, removed, runs = [], [], []
-            for text, spans in zip(batch.column(1), batch.column(2).to_pylist(), strict=True):
-                raw, merged, at, parts = memoryview(text.as_buffer()), _merged(spans), 0, []
-                for start, end in merged:
-                    parts.append(raw[at:start])
-                    at = end
+            row, start, end = _merged(batch.column(2))
+            bounds = np.searchsorted(row, np.arange(len(batch) + 1))
+            sums = np.concatenate([[0], np.cumsum(end - start)])[bounds]
+            first, last, bounds = start.tolist(), end.tolist(), bounds.tolist()
+            kept = []
+            for text, low, high in zip(batch.column(1), bounds, bounds[1:], strict=False):
+                raw, at, parts = memoryview(text.as_buffer()), 0, []
+                for k in range(low, high):
+                    parts.append(raw[at : first[k]])
+                    at = last[k]
                 parts.append(raw[at:])
                 kept.append(b"".join(parts))
-                removed.append(sum(b - a for a, b in merged))
-                runs.append(len(merged))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     pa.array(kept, pa.binary()),
-                    pa.array(removed, pa.int64()),
-                    pa.array(runs, pa.int64()),
+                    pa.array(np.diff(sums)),
+                    pa.array(np.diff(np.array(bounds, "i8"))),
                 ],
                 ["doc", "kept", "n_removed", "n_spans"],
             )
 
+    # A text is shorter than 2**31 bytes, so a span fits into one number and sorts by its start.
+    packed = F.shiftleft("start", 32).bitwiseOR(F.col("end"))
     by_text = spans.groupBy(F.col("doc").alias("__doc")).agg(
-        F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans")
+        F.sort_array(F.collect_set(packed)).alias("spans")
     )
     return (
         texts.join(by_text, F.col("doc") == F.col("__doc"))
